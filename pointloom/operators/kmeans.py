@@ -13,8 +13,9 @@ from pointloom.functions import column, squared_distance
 
 Center = Sequence[float]
 
-# Splits per core the fit works on where spark.default.parallelism is not set.
-FIT_SPLITS_PER_CORE = 4
+# Most splits the fit works on where spark.default.parallelism is not set. A fixed
+# number: the cores present when the job starts say little under dynamic allocation.
+MAX_FIT_SPLITS = 20_000
 
 _DISTANCES = "__center_distances"
 
@@ -28,17 +29,16 @@ def balance(points: DataFrame) -> DataFrame:
     """Give the iterations a number of splits that fits the cluster.
 
     Fewer splits than cores (a small or unsplittable input): spread them, since every
-    iteration would leave cores idle. Many more: MLlib shuffles k partial sums per split
+    iteration would leave cores idle. Very many: MLlib shuffles k partial sums per split
     into as many reducers as there are splits unless ``spark.default.parallelism`` says
     otherwise, so pack neighbouring splits together (``coalesce`` moves no rows).
     """
     context = points.sparkSession.sparkContext
-    cores = context.defaultParallelism
     splits = points.rdd.getNumPartitions()
-    if splits < cores:
-        return points.repartition(cores)
-    if context.getConf().get("spark.default.parallelism") is None:
-        return points.coalesce(FIT_SPLITS_PER_CORE * cores)
+    if splits < context.defaultParallelism:
+        return points.repartition(context.defaultParallelism)
+    if splits > MAX_FIT_SPLITS and context.getConf().get("spark.default.parallelism") is None:
+        return points.coalesce(MAX_FIT_SPLITS)
     return points
 
 
@@ -55,7 +55,8 @@ def fit_kmeans(
     which ``auto`` looks at the data to pick one; ``block`` fails where the points have
     fewer than k distinct values, ``row`` then returns fewer centers.
     """
-    vectors = assemble(points, columns).select("features")
+    vectors = assemble(balance(points.select(*map(column, columns))), columns)
+    vectors = vectors.select("features")
     return KMeans(k=k, seed=seed, solver=solver, featuresCol="features").fit(vectors)
 
 

@@ -41,10 +41,11 @@ def run_job(
 ) -> JobResult:
     """Cluster the points of a table (a path or a DataFrame).
 
-    The iterations see a persisted table of just the feature columns, so the input is
-    parsed once for fit and score; a lost block is read again from the scan. The full
-    rows pass through once more, from scan to label to writer, in one stage without a
-    shuffle. With ``output`` the metrics and the results are written there.
+    Fit and score see a table of just the feature columns, parsed once and kept on the
+    executors' disks: memory is left to the vectors MLlib iterates over, and a lost block
+    is read again from the scan. The full rows pass through once more, from scan to label
+    to writer, in one stage without a shuffle. With ``output`` the metrics and the results
+    are written there.
     """
     table = source if isinstance(source, DataFrame) else read_points(
         spark, source, schema, file_format
@@ -57,7 +58,7 @@ def run_job(
     names = list(features.columns)
 
     points = balance(rows.select([column(c).cast("double").alias(c) for c in names]))
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    points = points.persist(StorageLevel.DISK_ONLY)
     try:
         if points.isEmpty():
             raise ValueError("no complete rows to cluster")
