@@ -49,12 +49,16 @@ def test_geo_points(spark, write_csv):
 
 
 def test_elevation_is_a_feature_unscaled(spark, write_csv):
-    path = write_csv("lat,lon,elevation\n1,1,0\n1,1,1\n1,1,900000\n1,1,900001\n1,1,-900000\n1,1,-900001\n")
+    """Metres swamp kilometres: rows group by elevation although they are far apart."""
+    path = write_csv(
+        "lat,lon,elevation\n0,0,0\n60,90,1\n0,0,900000\n60,90,900001\n0,0,1800000\n60,90,1800001\n"
+    )
     job = run_job(spark, path)
     assert job.features.columns == ("distance_to_center_km", "elevation")
-    rows = canonical_ids(job.labelled, sorted(job.centers, key=lambda c: c[1])).collect()
-    groups = {abs(r["elevation"]) > 10 and r["elevation"] > 0: r["cluster"] for r in rows}
-    assert len(groups) == 2
+    by_height = {}
+    for row in job.labelled.collect():
+        by_height.setdefault(row["elevation"] // 900000, set()).add(row["cluster"])
+    assert sorted(map(sorted, by_height.values())) == [[0], [1], [2]]
 
 
 def test_numeric_fallback(spark, write_csv):
