@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_KM = 6371.0
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def column(name: str) -> Column:
     """A top-level column by its exact name, dots and backticks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_quoted(name))
 
 
 def _double(name: str) -> Column:
@@ -43,6 +47,13 @@ def haversine_km(lat: str, lon: str, ref_lat: float, ref_lon: float) -> Column:
 
 
 def squared_distance(names: Sequence[str], center: Sequence[float]) -> Column:
-    """Squared Euclidean distance of the named columns to a fixed center."""
-    gaps = [_double(n) - F.lit(float(c)) for n, c in zip(names, center, strict=True)]
-    return reduce(add, [g * g for g in gaps])
+    """Squared Euclidean distance of the named columns to a fixed center.
+
+    One SQL text per center: built operator by operator, the expression would take
+    longer to put together than a small table takes to scan.
+    """
+    gaps = [
+        f"(CAST({_quoted(n)} AS DOUBLE) - CAST('{float(c)!r}' AS DOUBLE))"
+        for n, c in zip(names, center, strict=True)
+    ]
+    return F.expr(" + ".join(f"{g} * {g}" for g in gaps))

@@ -7,6 +7,8 @@ from pointloom.operators.kmeans import (
     cluster_points,
     fit_kmeans,
     lloyd_steps,
+    staged,
+    update_centers,
 )
 from pointloom.operators.silhouette import silhouette
 
@@ -22,4 +24,6 @@ __all__ = [
     "fit_kmeans",
     "lloyd_steps",
     "silhouette",
+    "staged",
+    "update_centers",
 ]

@@ -28,6 +28,16 @@ class FeatureSet:
     kind: str
     columns: tuple[str, ...]
 
+    @property
+    def stored(self) -> tuple[str, ...]:
+        """The features worth keeping between passes: the magnitude is not, it costs
+        less to compute again than to hold."""
+        return tuple(c for c in self.columns if (self.kind, c) != ("cloud", CLOUD_DERIVED))
+
+    def complete(self, points: DataFrame) -> DataFrame:
+        """All features again from the stored ones."""
+        return add_features(points, self) if self.kind == "cloud" else points
+
 
 def choose_features(
     df: DataFrame, fallback_types: Sequence[str] = FALLBACK_TYPES

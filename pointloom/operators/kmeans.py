@@ -1,9 +1,11 @@
-"""k-means: MLlib for the fit, column expressions for everything around it."""
+"""k-means: MLlib's fit, updates as plain aggregations for large inputs, native labels."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -11,12 +13,20 @@ from pyspark.sql import functions as F
 
 from pointloom.functions import column, squared_distance
 
-Center = Sequence[float]
+Centers = list[list[float]]
 
-# Most splits the fit works on where spark.default.parallelism is not set. A fixed
+# MLlib's defaults for the number of updates and the stopping distance.
+MAX_ITERATIONS = 20
+TOLERANCE = 1e-4
+
+# Most splits to work on where spark.default.parallelism is not set. A fixed
 # number: the cores present when the job starts say little under dynamic allocation.
 MAX_FIT_SPLITS = 20_000
 
+# Most rows for which MLlib runs the updates. It caches about 100 bytes per row as
+# objects, and slows down several times once these do not fit into memory.
+MAX_VECTOR_ROWS = 20_000_000
+
 _DISTANCES = "__center_distances"
 
 
@@ -29,9 +39,9 @@ def balance(points: DataFrame) -> DataFrame:
     """Give the iterations a number of splits that fits the cluster.
 
     Fewer splits than cores (a small or unsplittable input): spread them, since every
-    iteration would leave cores idle. Very many: MLlib shuffles k partial sums per split
-    into as many reducers as there are splits unless ``spark.default.parallelism`` says
-    otherwise, so pack neighbouring splits together (``coalesce`` moves no rows).
+    pass would leave cores idle. Very many: MLlib aggregates into as many reducers as
+    there are splits unless ``spark.default.parallelism`` says otherwise, so pack
+    neighbouring splits together (``coalesce`` moves no rows).
     """
     context = points.sparkSession.sparkContext
     splits = points.rdd.getNumPartitions()
@@ -42,28 +52,81 @@ def balance(points: DataFrame) -> DataFrame:
     return points
 
 
+@contextmanager
+def staged(df: DataFrame, columns: Sequence[str]) -> Iterator[DataFrame]:
+    """Just the named columns as doubles, kept on the executors while in use.
+
+    The input is parsed once for all passes. Blocks that memory cannot hold go to disk;
+    the blocks of a lost executor are read again from the scan.
+    """
+    narrow = df.select([column(c).cast("double").alias(c) for c in columns])
+    points = balance(narrow).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield points
+    finally:
+        points.unpersist()
+
+
 def fit_kmeans(
+    points: DataFrame, columns: Sequence[str], k: int = 3, seed: int = 1
+) -> Centers:
+    """Centers of MLlib's k-means with its defaults (features unscaled), at most k of them.
+
+    Small inputs go through MLlib as a whole. Beyond ``MAX_VECTOR_ROWS`` only its start
+    does, and the updates are aggregations over the columns: the same centers, in the
+    memory the staged columns take. Hand in :func:`staged` points, they are read once per
+    pass. The solvers are named to save the pass in which ``auto`` looks for one: ``row``
+    copes with fewer distinct points than k, ``block`` keeps no vectors for the start.
+    """
+    size = points.count()
+    if size == 0:
+        raise ValueError("no complete rows to cluster")
+    vectors = assemble(points, columns).select("features")
+    if size <= MAX_VECTOR_ROWS:
+        return _centers(KMeans(k=k, seed=seed, solver="row").fit(vectors))
+    start = _centers(KMeans(k=k, seed=seed, solver="block", maxIter=0).fit(vectors))
+    return update_centers(points, columns, start)[0]
+
+
+def _centers(model: KMeansModel) -> Centers:
+    return [[float(v) for v in center] for center in model.clusterCenters()]
+
+
+def update_centers(
     points: DataFrame,
     columns: Sequence[str],
-    k: int = 3,
-    seed: int = 1,
-    solver: str = "row",
-) -> KMeansModel:
-    """Fit MLlib's k-means (k-means|| start, 20 iterations, tolerance 1e-4) unscaled.
-
-    Only the feature vector is handed over. Naming the solver saves the extra pass in
-    which ``auto`` looks at the data to pick one; ``block`` fails where the points have
-    fewer than k distinct values, ``row`` then returns fewer centers.
+    centers: Sequence[Sequence[float]],
+    max_iterations: int = MAX_ITERATIONS,
+    tolerance: float | None = TOLERANCE,
+) -> tuple[Centers, list[int]]:
+    """Move each center to the mean of its rows until none moves further than ``tolerance``.
+
+    Returns the centers and the number of rows averaged in the last update. An update is
+    one aggregation: every split combines its rows to at most k partial sums in generated
+    code, k rows reach the driver, and nothing but the points' columns is read. A center
+    without rows stays where it is.
     """
-    vectors = assemble(balance(points.select(*map(column, columns))), columns)
-    vectors = vectors.select("features")
-    return KMeans(k=k, seed=seed, solver=solver, featuresCol="features").fit(vectors)
+    centers = [[float(v) for v in center] for center in centers]
+    sizes = [0] * len(centers)
+    sums = [F.count(F.lit(1)), *[F.sum(column(c).cast("double")) for c in columns]]
+    for _ in range(max_iterations):
+        rows = assign_nearest(points, columns, centers).groupBy("cluster").agg(*sums).collect()
+        sizes = [0] * len(centers)
+        furthest = 0.0
+        for label, size, *total in rows:
+            mean = [value / size for value in total]
+            moved = sum((new - old) ** 2 for new, old in zip(mean, centers[label], strict=True))
+            furthest = max(furthest, moved)
+            sizes[label], centers[label] = size, mean
+        if tolerance is not None and furthest <= tolerance**2:
+            break
+    return centers, sizes
 
 
 def assign_nearest(
     df: DataFrame,
     columns: Sequence[str],
-    centers: Sequence[Center],
+    centers: Sequence[Sequence[float]],
     output: str = "cluster",
 ) -> DataFrame:
     """Append the index of the nearest center; ties go to the lowest index.
@@ -87,19 +150,15 @@ def cluster_points(
     k: int = 3,
     seed: int = 1,
     output: str = "cluster",
-) -> tuple[DataFrame, KMeansModel]:
-    """Fit on ``df`` and return it labelled, with its ``features`` vector, and the model."""
-    model = fit_kmeans(df, columns, k, seed)
-    model.setPredictionCol(output)
-    return model.transform(assemble(df, columns)), model
-
-
-def centers_of(model: KMeansModel) -> list[list[float]]:
-    return [[float(v) for v in center] for center in model.clusterCenters()]
+) -> tuple[DataFrame, Centers]:
+    """Fit on ``df``; returns it labelled, with its ``features`` vector, and the centers."""
+    with staged(df, columns) as points:
+        centers = fit_kmeans(points, columns, k, seed)
+    return assign_nearest(assemble(df, columns), columns, centers, output), centers
 
 
 def canonical_ids(
-    df: DataFrame, centers: Sequence[Center], label: str = "cluster"
+    df: DataFrame, centers: Sequence[Sequence[float]], label: str = "cluster"
 ) -> DataFrame:
     """Renumber labels by the sort order of their centers.
 
@@ -112,27 +171,11 @@ def canonical_ids(
 
 
 def lloyd_steps(
-    points: DataFrame, columns: Sequence[str], start: Sequence[Center], steps: int
+    points: DataFrame, columns: Sequence[str], start: Sequence[Sequence[float]], steps: int
 ) -> DataFrame:
-    """Centers and sizes after a fixed number of k-means updates from given centers.
-
-    One row per center: ``cluster``, ``n`` (rows averaged in the last update) and the
-    feature columns. Each update is one partial + final aggregation to k rows; only
-    those k rows reach the driver. A center without rows stays where it is. Hand in
-    persisted points, they are read once per step.
-    """
-    centers = [[float(v) for v in c] for c in start]
-    sizes = [0] * len(centers)
-    for _ in range(steps):
-        means = (
-            assign_nearest(points, columns, centers)
-            .groupBy("cluster")
-            .agg(F.count(F.lit(1)).alias("n"), *[F.avg(column(c)).alias(c) for c in columns])
-        )
-        sizes = [0] * len(centers)
-        for row in means.collect():
-            sizes[row["cluster"]] = row["n"]
-            centers[row["cluster"]] = [float(row[c]) for c in columns]
+    """Centers after a fixed number of updates from given ones, one row per center:
+    ``cluster``, ``n`` (rows averaged last) and the feature columns."""
+    centers, sizes = update_centers(points, columns, start, steps, tolerance=None)
     schema = ", ".join(["cluster int", "n bigint", *[f"`{c}` double" for c in columns]])
     rows = [(i, n, *center) for i, (n, center) in enumerate(zip(sizes, centers, strict=True))]
     return points.sparkSession.createDataFrame(rows, schema)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from pointloom import operators as op
 from pointloom.functions import column
-from pointloom.operators.kmeans import centers_of
 from pointloom.plans import inputs
 from pointloom.plans.cluster_job import run_job
 from pointloom.session import scratch_dir
@@ -151,26 +150,23 @@ def assign_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_cloud(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled, model = op.cluster_points(_with_magnitude(inputs.blobs(spark, sf_dir)), CLOUD)
-    return op.canonical_ids(labelled, centers_of(model)).select("c_custkey", "cluster")
+    labelled, centers = op.cluster_points(_with_magnitude(inputs.blobs(spark, sf_dir)), CLOUD)
+    return op.canonical_ids(labelled, centers).select("c_custkey", "cluster")
 
 
 def kmeans_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = inputs.rings(spark, sf_dir)
     features = op.choose_features(points)
     located = op.add_features(points, features, inputs.REFERENCE)
-    labelled, model = op.cluster_points(located, features.columns)
-    return op.canonical_ids(labelled, centers_of(model)).select(
+    labelled, centers = op.cluster_points(located, features.columns)
+    return op.canonical_ids(labelled, centers).select(
         "c_custkey", _rounded("distance_to_center_km"), "cluster"
     )
 
 
 def kmeans_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = inputs.pts(spark, sf_dir).select(*XYZ).persist()
-    try:
+    with op.staged(inputs.pts(spark, sf_dir), XYZ) as points:
         centers = op.lloyd_steps(points, XYZ, inputs.START, 3)
-    finally:
-        points.unpersist()
     return centers.select("cluster", "n", *[_rounded(c) for c in XYZ])
 
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from pointloom.functions import column
 from pointloom.operators.cleaning import drop_incomplete
 from pointloom.operators.featureset import FeatureSet, add_features, choose_features
-from pointloom.operators.kmeans import assign_nearest, balance, centers_of, fit_kmeans
+from pointloom.operators.kmeans import assign_nearest, fit_kmeans, staged
 from pointloom.operators.silhouette import silhouette
 from pointloom.sources.points import read_points
 from pointloom.sources.results import write_metrics, write_results
@@ -41,11 +39,9 @@ def run_job(
 ) -> JobResult:
     """Cluster the points of a table (a path or a DataFrame).
 
-    Fit and score see a table of just the feature columns, parsed once and kept on the
-    executors' disks: memory is left to the vectors MLlib iterates over, and a lost block
-    is read again from the scan. The full rows pass through once more, from scan to label
-    to writer, in one stage without a shuffle. With ``output`` the metrics and the results
-    are written there.
+    Fit and score read staged feature columns, so the input is parsed once for them. The
+    full rows pass through once more, from scan to label to writer, in one stage without
+    a shuffle. With ``output`` the metrics and the results are written there.
     """
     table = source if isinstance(source, DataFrame) else read_points(
         spark, source, schema, file_format
@@ -57,15 +53,10 @@ def run_job(
     rows = add_features(drop_incomplete(table), features, reference)
     names = list(features.columns)
 
-    points = balance(rows.select([column(c).cast("double").alias(c) for c in names]))
-    points = points.persist(StorageLevel.DISK_ONLY)
-    try:
-        if points.isEmpty():
-            raise ValueError("no complete rows to cluster")
-        centers = centers_of(fit_kmeans(points, names, k, seed))
+    with staged(rows, features.stored) as points:
+        points = features.complete(points)
+        centers = fit_kmeans(points, names, k, seed)
         score = silhouette(assign_nearest(points, names, centers), names)
-    finally:
-        points.unpersist()
 
     labelled = assign_nearest(rows, names, centers)
     if output:

@@ -6,15 +6,18 @@ from pyspark.sql import functions as F
 from conftest import SAMPLE_CENTERS, plan_of
 from pointloom.operators import (
     add_features,
+    assemble,
     assign_nearest,
     canonical_ids,
     choose_features,
     cluster_points,
     fit_kmeans,
+    kmeans,
     lloyd_steps,
+    staged,
+    update_centers,
 )
-from pointloom.operators import kmeans
-from pointloom.operators.kmeans import balance, centers_of
+from pointloom.operators.kmeans import balance
 from pointloom.plans import inputs
 from pointloom.sources import read_points
 
@@ -25,22 +28,26 @@ CLOUD = ["x", "y", "z", "magnitude"]
 def test_sample_groups_do_not_depend_on_splits(spark, sample, splits):
     df = read_points(spark, sample).repartition(splits)
     features = choose_features(df)
-    labelled, model = cluster_points(add_features(df, features), features.columns)
-    centers = centers_of(model)
+    labelled, centers = cluster_points(add_features(df, features), features.columns)
     assert sorted(centers) == [pytest.approx(c, abs=1e-6) for c in SAMPLE_CENTERS]
     rows = canonical_ids(labelled, centers).collect()
     assert {(r["x"] > 5) + (r["x"] > 20): r["cluster"] for r in rows} == {0: 0, 1: 1, 2: 2}
-    assert len(rows) == 9 and "features" in labelled.columns
-    assert model.summary.trainingCost == pytest.approx(5.109436816394496)
+    assert len(rows) == 9 and len(rows[0]["features"]) == 5
 
 
-def test_native_labels_equal_the_models(spark):
+@pytest.mark.parametrize("vector_rows", [10**9, 0])
+def test_centers_and_labels_are_those_of_mllib(spark, monkeypatch, vector_rows):
+    """Overlapping groups, so that the whole path of 20 updates counts; both ways to fit."""
+    monkeypatch.setattr(kmeans, "MAX_VECTOR_ROWS", vector_rows)
     points = inputs.pts(spark, "/root/testdata/sf0.01")
     points = add_features(points, choose_features(points))
-    labelled, model = cluster_points(points, CLOUD, output="by_model")
-    both = assign_nearest(labelled, CLOUD, centers_of(model))
-    assert both.filter("cluster != by_model").count() == 0
-    assert [r[0] for r in both.select("cluster").distinct().orderBy("cluster").collect()] == [0, 1, 2]
+    with staged(points, CLOUD) as kept:
+        model = kmeans.KMeans(k=3, seed=1).fit(assemble(kept, CLOUD))
+        centers = fit_kmeans(kept, CLOUD)
+        assert centers == [pytest.approx(list(c), abs=1e-9) for c in model.clusterCenters()]
+        labelled = assign_nearest(model.transform(assemble(kept, CLOUD)), CLOUD, centers)
+        assert labelled.filter("cluster != prediction").count() == 0
+        assert labelled.select("cluster").distinct().count() == 3
 
 
 def test_ties_go_to_the_lowest_index(spark):
@@ -62,16 +69,18 @@ def test_labelling_is_a_projection_in_the_scan_stage(spark, sf_dir):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,l_extendedprice" in plan
 
 
+@pytest.mark.parametrize("vector_rows", [10**9, 0])
 @pytest.mark.parametrize(("values", "found"), [([1.0] * 5, 1), ([1.0, 1.0, 9.0], 2)])
-def test_fewer_distinct_points_than_clusters(spark, values, found):
+def test_fewer_distinct_points_than_clusters(spark, monkeypatch, values, found, vector_rows):
+    monkeypatch.setattr(kmeans, "MAX_VECTOR_ROWS", vector_rows)
     df = spark.createDataFrame([(v,) for v in values], "a double")
-    assert len(fit_kmeans(df, ["a"]).clusterCenters()) == found
+    assert sorted(fit_kmeans(df, ["a"])) == [[v] for v in sorted(set(values))][:found]
 
 
 def test_k_and_output_name(spark):
     df = spark.sql("SELECT CAST(id % 4 * 100 AS DOUBLE) AS a FROM range(40)")
-    labelled, model = cluster_points(df, ["a"], k=4, output="group")
-    assert len(model.clusterCenters()) == 4
+    labelled, centers = cluster_points(df, ["a"], k=4, output="group")
+    assert sorted(centers) == [[0.0], [100.0], [200.0], [300.0]]
     assert labelled.groupBy("a").agg(F.count_distinct("group").alias("n")).filter("n > 1").count() == 0
 
 
@@ -81,24 +90,18 @@ def test_lloyd_keeps_a_center_without_rows(spark):
     assert [tuple(r) for r in rows] == [(0, 2, 0.5), (1, 2, 2.5), (2, 0, 1e6)]
 
 
-def test_lloyd_from_the_fitted_start_ends_at_the_fitted_centers(spark, sf_dir):
-    points = inputs.pts(spark, sf_dir).select("x", "y", "z").repartition(4).persist()
-    start = kmeans.KMeans(k=3, seed=1, maxIter=0).fit(kmeans.assemble(points, ["x", "y", "z"]))
-    fitted = fit_kmeans(points, ["x", "y", "z"])
-    steps = fitted.summary.numIter
-    rows = lloyd_steps(points, ["x", "y", "z"], centers_of(start), steps).orderBy("cluster")
-    assert [list(r)[2:] for r in rows.collect()] == [
-        pytest.approx(c, abs=1e-9) for c in centers_of(fitted)
-    ]
-    points.unpersist()
+def test_updates_stop_when_no_center_moves(spark):
+    df = spark.sql("SELECT CAST(id AS DOUBLE) AS x FROM range(4)")
+    centers, sizes = update_centers(df, ["x"], [[0.0], [3.0]])
+    assert (centers, sizes) == ([[0.5], [2.5]], [2, 2])
 
 
 def test_one_hot_group_is_combined_before_the_shuffle(spark):
     """Two thirds of all rows are one point; only k rows per split are shuffled."""
     df = spark.sql("SELECT IF(id % 3 < 2, 1.0D, CAST(id AS DOUBLE)) AS x FROM range(3000)")
-    step = assign_nearest(df, ["x"], [[1.0], [1500.0]]).groupBy("cluster").agg(F.avg("x"))
-    assert "partial_avg" in plan_of(step)
-    labelled, model = cluster_points(df, ["x"])
+    step = assign_nearest(df, ["x"], [[1.0], [1500.0]]).groupBy("cluster").agg(F.sum("x"))
+    assert "HashAggregate" in plan_of(step) and "partial_sum" in plan_of(step)
+    labelled, _ = cluster_points(df, ["x"])
     assert labelled.filter("x = 1.0").select("cluster").distinct().count() == 1
 
 
