@@ -23,11 +23,12 @@ TOLERANCE = 1e-4
 # number: the cores present when the job starts say little under dynamic allocation.
 MAX_FIT_SPLITS = 20_000
 
-# Most rows for which MLlib runs the updates. It caches about 100 bytes per row as
-# objects, and slows down several times once these do not fit into memory.
-MAX_VECTOR_ROWS = 20_000_000
+# Most rows per core for which MLlib runs the updates. It caches about 100 bytes per row
+# as objects, and slows down several times once these do not fit into memory.
+VECTOR_ROWS_PER_CORE = 2_000_000
 
 _DISTANCES = "__center_distances"
+_ROW = "__scan_order"
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -38,15 +39,21 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
 def balance(points: DataFrame) -> DataFrame:
     """Give the iterations a number of splits that fits the cluster.
 
-    Fewer splits than cores (a small or unsplittable input): spread them, since every
-    pass would leave cores idle. Very many: MLlib aggregates into as many reducers as
-    there are splits unless ``spark.default.parallelism`` says otherwise, so pack
-    neighbouring splits together (``coalesce`` moves no rows).
+    Fewer splits than cores (a small or unsplittable input): deal the rows out, since
+    every pass would leave cores idle, and keep them in scan order, on which the seeded
+    start depends. Very many: MLlib aggregates into as many reducers as there are splits
+    unless ``spark.default.parallelism`` says otherwise, so pack neighbouring splits
+    together (``coalesce`` moves no rows).
     """
     context = points.sparkSession.sparkContext
     splits = points.rdd.getNumPartitions()
     if splits < context.defaultParallelism:
-        return points.repartition(context.defaultParallelism)
+        return (
+            points.withColumn(_ROW, F.monotonically_increasing_id())
+            .repartition(context.defaultParallelism, _ROW)
+            .sortWithinPartitions(_ROW)
+            .drop(_ROW)
+        )
     if splits > MAX_FIT_SPLITS and context.getConf().get("spark.default.parallelism") is None:
         return points.coalesce(MAX_FIT_SPLITS)
     return points
@@ -72,9 +79,9 @@ def fit_kmeans(
 ) -> Centers:
     """Centers of MLlib's k-means with its defaults (features unscaled), at most k of them.
 
-    Small inputs go through MLlib as a whole. Beyond ``MAX_VECTOR_ROWS`` only its start
-    does, and the updates are aggregations over the columns: the same centers, in the
-    memory the staged columns take. Hand in :func:`staged` points, they are read once per
+    Small inputs go through MLlib as a whole. Beyond ``VECTOR_ROWS_PER_CORE`` only its
+    start does, and the updates are aggregations over the columns: the same centers, in
+    the memory the staged columns take. Hand in :func:`staged` points, they are read once per
     pass. The solvers are named to save the pass in which ``auto`` looks for one: ``row``
     copes with fewer distinct points than k, ``block`` keeps no vectors for the start.
     """
@@ -82,7 +89,8 @@ def fit_kmeans(
     if size == 0:
         raise ValueError("no complete rows to cluster")
     vectors = assemble(points, columns).select("features")
-    if size <= MAX_VECTOR_ROWS:
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    if size <= VECTOR_ROWS_PER_CORE * cores:
         return _centers(KMeans(k=k, seed=seed, solver="row").fit(vectors))
     start = _centers(KMeans(k=k, seed=seed, solver="block", maxIter=0).fit(vectors))
     return update_centers(points, columns, start)[0]

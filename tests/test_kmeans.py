@@ -38,7 +38,7 @@ def test_sample_groups_do_not_depend_on_splits(spark, sample, splits):
 @pytest.mark.parametrize("vector_rows", [10**9, 0])
 def test_centers_and_labels_are_those_of_mllib(spark, monkeypatch, vector_rows):
     """Overlapping groups, so that the whole path of 20 updates counts; both ways to fit."""
-    monkeypatch.setattr(kmeans, "MAX_VECTOR_ROWS", vector_rows)
+    monkeypatch.setattr(kmeans, "VECTOR_ROWS_PER_CORE", vector_rows)
     points = inputs.pts(spark, "/root/testdata/sf0.01")
     points = add_features(points, choose_features(points))
     with staged(points, CLOUD) as kept:
@@ -72,7 +72,7 @@ def test_labelling_is_a_projection_in_the_scan_stage(spark, sf_dir):
 @pytest.mark.parametrize("vector_rows", [10**9, 0])
 @pytest.mark.parametrize(("values", "found"), [([1.0] * 5, 1), ([1.0, 1.0, 9.0], 2)])
 def test_fewer_distinct_points_than_clusters(spark, monkeypatch, values, found, vector_rows):
-    monkeypatch.setattr(kmeans, "MAX_VECTOR_ROWS", vector_rows)
+    monkeypatch.setattr(kmeans, "VECTOR_ROWS_PER_CORE", vector_rows)
     df = spark.createDataFrame([(v,) for v in values], "a double")
     assert sorted(fit_kmeans(df, ["a"])) == [[v] for v in sorted(set(values))][:found]
 
@@ -107,7 +107,11 @@ def test_one_hot_group_is_combined_before_the_shuffle(spark):
 
 def test_balance(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
-    assert balance(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
+    spread = balance(spark.range(1000).coalesce(1))
+    assert spread.rdd.getNumPartitions() == cores and spread.columns == ["id"]
+    parts = [[r["id"] for r in part] for part in spread.rdd.glom().collect()]
+    assert all(part == sorted(part) and 150 < len(part) < 350 for part in parts)
+    assert sorted(i for part in parts for i in part) == list(range(1000))
     assert balance(spark.range(0, 100, 1, 32)).rdd.getNumPartitions() == 32
     monkeypatch.setattr(kmeans, "MAX_FIT_SPLITS", 16)
     packed = balance(spark.range(0, 100, 1, 32))
