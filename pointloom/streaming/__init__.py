@@ -1,6 +1,7 @@
 from pointloom.streaming.intake import intake
 from pointloom.streaming.ledger import (
-    append_status,
+    Change,
+    append_changes,
     current_jobs,
     find_job,
     list_jobs,
@@ -8,7 +9,8 @@ from pointloom.streaming.ledger import (
 )
 
 __all__ = [
-    "append_status",
+    "Change",
+    "append_changes",
     "current_jobs",
     "find_job",
     "intake",

@@ -9,7 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from pointloom.plans.cluster_job import run_job
-from pointloom.streaming.ledger import COMPLETED, FAILED, QUEUED, RUNNING, append_status
+from pointloom.streaming.ledger import (
+    COMPLETED,
+    FAILED,
+    QUEUED,
+    RUNNING,
+    Change,
+    append_changes,
+)
 
 # The binary file source lists files; its content column is never selected, so
 # uploads are not opened to learn their names.
@@ -66,27 +73,29 @@ def intake(
 def run_uploads(
     arrived: DataFrame, batch_id: int, outputs: str, ledger_path: str, job_options: dict
 ) -> None:
-    """Run the jobs of one batch one after the other, noting each change of state."""
-    spark = arrived.sparkSession
-    files = arrived.collect()  # at most files_per_batch names
-
-    def note(step: int, job_id: str, status: str, ts: datetime, **values) -> None:
-        append_status(spark, ledger_path, batch_id, step, job_id, status, ts, **values)
+    """Run the jobs of one batch one after the other, noting each change of state.
 
-    for i, file in enumerate(files):
-        note(i, job_id_of(file["path"]), QUEUED, min(_utc(file["modificationTime"]), _now()))
-    for i, file in enumerate(files):
-        job_id = job_id_of(file["path"])
-        step = len(files) + 2 * i
-        note(step, job_id, RUNNING, _now())
+    The end of a job and the beginning of the next are written together, which keeps the
+    ledger at one file per job and one per batch.
+    """
+    spark = arrived.sparkSession
+    files = [(job_id_of(f["path"]), f) for f in arrived.collect()]  # at most files_per_batch
+    changes = [
+        Change(job_id, QUEUED, min(_utc(file["modificationTime"]), _now()))
+        for job_id, file in files
+    ]
+    step = 0
+    for job_id, file in files:
+        changes.append(Change(job_id, RUNNING, _now()))
+        step = append_changes(spark, ledger_path, batch_id, step, changes)
         output = f"{outputs.rstrip('/')}/{job_id}"
         try:
-            result = run_job(spark, literal_path(file["path"]), output, **job_options)
+            score = run_job(spark, literal_path(file["path"]), output, **job_options).score
+            changes = [Change(job_id, COMPLETED, _now(), output, score)]
         except Exception as error:  # any failure belongs to this job alone
-            note(step + 1, job_id, FAILED, _now(), error=f"{type(error).__name__}: {error}")
-        else:
-            note(step + 1, job_id, COMPLETED, _now(),
-                 result_path=output, silhouette_score=result.score)
+            reason = f"{type(error).__name__}: {error}"
+            changes = [Change(job_id, FAILED, _now(), error=reason)]
+    append_changes(spark, ledger_path, batch_id, step, changes)
 
 
 def _now() -> datetime:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,30 +18,37 @@ LEDGER_SCHEMA = (
     "job_id string, status string, result_path string, silhouette_score double, "
     "error string, ts timestamp, seq bigint"
 )
-STEPS_PER_BATCH = 1_000_000
-
-
-def append_status(
-    spark: SparkSession,
-    ledger_path: str,
-    batch_id: int,
-    step: int,
-    job_id: str,
-    status: str,
-    ts: datetime,
-    result_path: str | None = None,
-    silhouette_score: float | None = None,
-    error: str | None = None,
-) -> None:
-    """Record one state change.
-
-    Each change has its own folder, named by stream batch and step and overwritten, so
-    a batch that runs again after a failure replaces its rows and adds none.
+CHANGES_PER_BATCH = 1_000_000
+
+
+class Change(NamedTuple):
+    """A job enters a state; what is not known at that time stays None."""
+
+    job_id: str
+    status: str
+    ts: datetime
+    result_path: str | None = None
+    silhouette_score: float | None = None
+    error: str | None = None
+
+
+def append_changes(
+    spark: SparkSession, ledger_path: str, batch_id: int, step: int, changes: Sequence[Change]
+) -> int:
+    """Record the next state changes of a stream batch; returns the step that follows.
+
+    They go to a folder named by batch and step, which is overwritten, so a batch that
+    runs again after a failure replaces its rows and adds none.
     """
-    row = (job_id, status, result_path, silhouette_score, error, ts,
-           batch_id * STEPS_PER_BATCH + step)
-    change = spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1)
-    change.write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}/step={step}")
+    if changes:
+        first = batch_id * CHANGES_PER_BATCH + step
+        rows = [
+            (c.job_id, c.status, c.result_path, c.silhouette_score, c.error, c.ts, first + i)
+            for i, c in enumerate(changes)
+        ]
+        folder = f"{ledger_path}/batch_id={batch_id}/step={step}"
+        spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(folder)
+    return step + len(changes)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
@@ -51,7 +59,7 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return changes.select(*[name for name in spark.createDataFrame([], LEDGER_SCHEMA).columns])
+    return changes.drop("batch_id", "step")
 
 
 def current_jobs(ledger: DataFrame, order_by: Sequence[str] = ("ts", "seq")) -> DataFrame:

@@ -4,7 +4,14 @@ from datetime import datetime, timedelta, timezone
 
 from conftest import plan_of
 from pointloom.plans import inputs
-from pointloom.streaming import append_status, current_jobs, find_job, list_jobs, read_ledger
+from pointloom.streaming import (
+    Change,
+    append_changes,
+    current_jobs,
+    find_job,
+    list_jobs,
+    read_ledger,
+)
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -14,7 +21,8 @@ def test_fold(spark, tmp_path):
 
     def note(batch, step, job, status, **values):
         ts = START + timedelta(minutes=10 * batch + step)
-        append_status(spark, path, batch, step, job, status, ts, **values)
+        change = Change(job, status, ts, **values)
+        assert append_changes(spark, path, batch, step, [change]) == step + 1
 
     note(0, 0, "a", "Queued")
     note(0, 1, "a", "Running")
@@ -50,6 +58,16 @@ def test_equal_times_are_ordered_by_sequence(spark):
     assert current_jobs(df).first()["status"] == "Completed"
 
 
+def test_changes_written_together_keep_their_order(spark, tmp_path):
+    path = f"{tmp_path}/ledger"
+    together = [Change("a", "Queued", START), Change("b", "Queued", START), Change("a", "Running", START)]
+    assert append_changes(spark, path, 3, 0, together) == 3
+    assert append_changes(spark, path, 3, 3, []) == 3
+    rows = read_ledger(spark, path).orderBy("seq").collect()
+    assert [(r["job_id"], r["seq"]) for r in rows] == [("a", 3000000), ("b", 3000001), ("a", 3000002)]
+    assert find_job(read_ledger(spark, path), "a").first()["status"] == "Running"
+
+
 def test_missing_ledger_is_empty(spark, tmp_path):
     assert read_ledger(spark, f"{tmp_path}/none").count() == 0
     assert current_jobs(read_ledger(spark, f"{tmp_path}/none")).count() == 0
@@ -62,7 +80,7 @@ def test_fold_combines_before_the_shuffle(spark, sf_dir):
 
 
 def test_lookup_filters_the_scan(spark, tmp_path):
-    append_status(spark, f"{tmp_path}/l", 0, 0, "a", "Queued", START)
+    append_changes(spark, f"{tmp_path}/l", 0, 0, [Change("a", "Queued", START)])
     plan = plan_of(find_job(read_ledger(spark, f"{tmp_path}/l"), "a"))
     assert "EqualTo(job_id,a)" in plan
 
