@@ -19,8 +19,8 @@ Centers = list[list[float]]
 MAX_ITERATIONS = 20
 TOLERANCE = 1e-4
 
-# Most splits to work on where spark.default.parallelism is not set. A fixed
-# number: the cores present when the job starts say little under dynamic allocation.
+# Most splits to iterate over. A fixed number: the cores present when the job starts say
+# little under dynamic allocation.
 MAX_FIT_SPLITS = 20_000
 
 # Most rows per core for which MLlib runs the updates. It caches about 100 bytes per row
@@ -41,22 +41,19 @@ def balance(points: DataFrame) -> DataFrame:
 
     Fewer splits than cores (a small or unsplittable input): deal the rows out, since
     every pass would leave cores idle, and keep them in scan order, on which the seeded
-    start depends. Very many: MLlib aggregates into as many reducers as there are splits
-    unless ``spark.default.parallelism`` says otherwise, so pack neighbouring splits
-    together (``coalesce`` moves no rows).
+    start depends. Very many: some 30 passes of one task per split would keep the driver
+    scheduling, and MLlib aggregates into as many reducers as there are splits, so pack
+    neighbouring splits together (``coalesce`` moves no rows).
     """
-    context = points.sparkSession.sparkContext
-    splits = points.rdd.getNumPartitions()
-    if splits < context.defaultParallelism:
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    if points.rdd.getNumPartitions() < cores:
         return (
             points.withColumn(_ROW, F.monotonically_increasing_id())
-            .repartition(context.defaultParallelism, _ROW)
+            .repartition(cores, _ROW)
             .sortWithinPartitions(_ROW)
             .drop(_ROW)
         )
-    if splits > MAX_FIT_SPLITS and context.getConf().get("spark.default.parallelism") is None:
-        return points.coalesce(MAX_FIT_SPLITS)
-    return points
+    return points.coalesce(MAX_FIT_SPLITS)
 
 
 @contextmanager

@@ -41,7 +41,8 @@ def run_job(
 
     Fit and score read staged feature columns, so the input is parsed once for them. The
     full rows pass through once more, from scan to label to writer, in one stage without
-    a shuffle. With ``output`` the metrics and the results are written there.
+    a shuffle. So a DataFrame as source is computed twice; write one that is costly to
+    compute to a table first. With ``output`` the metrics and the results are written there.
     """
     table = source if isinstance(source, DataFrame) else read_points(
         spark, source, schema, file_format

@@ -6,7 +6,8 @@ import pytest
 
 from conftest import SAMPLE, SAMPLE_CENTERS, SAMPLE_SCORE, plan_of
 from pointloom import run_job
-from pointloom.operators import canonical_ids
+from pointloom.operators import canonical_ids, kmeans
+from pointloom.plans import inputs
 from pointloom.session import scratch_dir
 from pointloom.sources import read_metrics, read_points
 
@@ -36,6 +37,22 @@ def test_same_groups_however_the_input_is_split(spark, sample, splits):
     assert [r["cluster"] for r in rows] == [0, 0, 0, 1, 1, 1, 2, 2, 2]
 
 
+def test_a_job_run_again_gives_the_same_centers(spark, sf_dir):
+    points = inputs.pts(spark, sf_dir)
+    first, second = run_job(spark, points), run_job(spark, points)
+    assert (first.centers, first.score) == (second.centers, second.score)
+
+
+def test_large_inputs_give_the_same_job(spark, sf_dir, monkeypatch):
+    points = inputs.pts(spark, sf_dir)
+    small = run_job(spark, points)
+    monkeypatch.setattr(kmeans, "VECTOR_ROWS_PER_CORE", 0)
+    large = run_job(spark, points)
+    assert large.centers == [pytest.approx(c, abs=1e-9) for c in small.centers]
+    assert large.score == pytest.approx(small.score, abs=1e-9)
+    assert large.labelled.exceptAll(small.labelled).count() == 0
+
+
 def test_geo_points(spark, write_csv):
     path = write_csv("lat,lon,name\n1,1,a\n2,2,b\n60,60,c\n61,61,d\n-50,179,e\n-50,178,f\n")
     job = run_job(spark, path)

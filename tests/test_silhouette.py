@@ -47,6 +47,16 @@ def test_equals_the_evaluator(spark):
     )
 
 
+def test_many_clusters(spark):
+    df = spark.sql(
+        "SELECT CAST(id % 200 AS INT) AS cluster, CAST(id % 200 AS DOUBLE) * 3 + id % 7 AS a, "
+        "CAST(id % 11 AS DOUBLE) AS b FROM range(4000)"
+    )
+    evaluator = ClusteringEvaluator(predictionCol="cluster")
+    expected = evaluator.evaluate(assemble(df, ["a", "b"]))
+    assert silhouette(df, ["a", "b"]) == pytest.approx(expected, abs=1e-9)
+
+
 def test_two_distinct_points(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 1.0), (1, 9.0)], "cluster int, a double")
     assert silhouette(df, ["a"]) == pytest.approx(2 / 3)
