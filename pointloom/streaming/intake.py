@@ -23,13 +23,22 @@ from pointloom.streaming.ledger import (
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def job_id_of(path: str) -> str:
-    """The id in an upload named ``<job id>_<name>``, else its name without suffix."""
-    name = path.rstrip("/").rsplit("/", 1)[-1]
+def job_id_of(path: str, uploads: str = "") -> str:
+    """The id in an upload named ``<job id>_<name>`` or ``<job id>/<name>`` below the
+    upload folder, else its name without suffix."""
+    folder = f"{_without_scheme(uploads).rstrip('/')}/"
+    inside = _without_scheme(path)
+    if uploads and inside.startswith(folder) and "/" in inside[len(folder):]:
+        return inside[len(folder):].split("/", 1)[0]
+    name = inside.rsplit("/", 1)[-1]
     head, found, _ = name.partition("_")
     return head if found and head else name.split(".", 1)[0]
 
 
+def _without_scheme(path: str) -> str:
+    return re.sub(r"^\w+:/*", "/", path)
+
+
 def literal_path(path: str) -> str:
     """A path that Spark reads as it stands, without globbing."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
@@ -54,13 +63,14 @@ def intake(
         spark.readStream.format("binaryFile")
         .schema(LISTING_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("recursiveFileLookup", True)
         .load(uploads)
         .select("path", "modificationTime", "length")
     )
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         arrived = batch.filter("length > 0").orderBy("modificationTime", "path")
-        run_uploads(arrived, batch_id, outputs, ledger_path, job_options)
+        run_uploads(arrived, batch_id, uploads, outputs, ledger_path, job_options)
 
     return (
         listing.writeStream.foreachBatch(run_batch)
@@ -71,7 +81,12 @@ def intake(
 
 
 def run_uploads(
-    arrived: DataFrame, batch_id: int, outputs: str, ledger_path: str, job_options: dict
+    arrived: DataFrame,
+    batch_id: int,
+    uploads: str,
+    outputs: str,
+    ledger_path: str,
+    job_options: dict,
 ) -> None:
     """Run the jobs of one batch one after the other, noting each change of state.
 
@@ -79,7 +94,8 @@ def run_uploads(
     ledger at one file per job and one per batch.
     """
     spark = arrived.sparkSession
-    files = [(job_id_of(f["path"]), f) for f in arrived.collect()]  # at most files_per_batch
+    # At most files_per_batch names.
+    files = [(job_id_of(f["path"], uploads), f) for f in arrived.collect()]
     changes = [
         Change(job_id, QUEUED, min(_utc(file["modificationTime"]), _now()))
         for job_id, file in files

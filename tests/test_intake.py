@@ -21,6 +21,7 @@ def upload(tmp_path):
 
     def drop(name: str, text: str) -> None:
         path = folder / name
+        path.parent.mkdir(exist_ok=True)
         path.write_text(text)
         when = 1_700_000_000 + next(count)
         os.utime(path, (when, when))
@@ -42,16 +43,20 @@ def run(spark, tmp_path):
 
 
 @pytest.mark.parametrize(
-    ("path", "job_id"),
+    ("path", "uploads", "job_id"),
     [
-        ("file:/u/1f-2a_points.csv", "1f-2a"),
-        ("s3a://b/u/id_my_points.csv", "id"),
-        ("/u/part-0001.c000.csv", "part-0001"),
-        ("/u/_x.csv", "_x"),
+        ("file:/u/1f-2a_points.csv", "/u", "1f-2a"),
+        ("s3a://b/u/id_my_points.csv", "s3a://b/u/", "id"),
+        ("/u/part-0001.c000.csv", "/u", "part-0001"),
+        ("/u/_x.csv", "/u", "_x"),
+        ("file:/u/1f-2a/my_points.csv", "/u/", "1f-2a"),
+        ("s3a://b/u/1f/a_b/c.csv", "s3a://b/u", "1f"),
+        ("file:/u/1f/c.csv", "file:///u", "1f"),
+        ("file:/else/where/id_c.csv", "/u", "id"),
     ],
 )
-def test_job_id(path, job_id):
-    assert job_id_of(path) == job_id
+def test_job_id(path, uploads, job_id):
+    assert job_id_of(path, uploads) == job_id
 
 
 def test_uploads_run_in_order_and_fail_alone(spark, tmp_path, upload, run):
@@ -83,10 +88,11 @@ def test_uploads_run_in_order_and_fail_alone(spark, tmp_path, upload, run):
 def test_later_uploads_only(spark, upload, run):
     upload("a_points.csv", SAMPLE)
     run()
-    upload("b_points.csv", GEO)
+    upload("b/my_points.csv", GEO)
     ledger = run(reference=(34.0522, -118.2437))
     assert ledger.count() == 6
-    assert current_jobs(ledger).filter("status = 'Completed'").count() == 2
+    done = current_jobs(ledger).filter("status = 'Completed'").orderBy("job_id")
+    assert [r["job_id"] for r in done.collect()] == ["a", "b"]
 
 
 def test_several_files_per_batch_are_queued_first(upload, run):
@@ -106,7 +112,9 @@ def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path, upload):
         "path", "modificationTime", "length"
     )
     for _ in range(2):
-        run_uploads(listing, 7, f"{tmp_path}/outputs", f"{tmp_path}/ledger", {})
+        run_uploads(
+            listing, 7, f"{tmp_path}/uploads", f"{tmp_path}/outputs", f"{tmp_path}/ledger", {}
+        )
     ledger = read_ledger(spark, f"{tmp_path}/ledger")
     assert ledger.count() == 3
     assert current_jobs(ledger).first()["status"] == "Completed"
