@@ -10,7 +10,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructType
 
 from pointloom.functions import column, squared_distance
 
@@ -182,8 +182,8 @@ def lloyd_steps(
     """Centers after a fixed number of updates from given ones, one row per center:
     ``cluster``, ``n`` (rows averaged last) and the feature columns."""
     centers, sizes = update_centers(points, columns, start, steps, tolerance=None)
-    schema = StructType().add("cluster", "int").add("n", "bigint")
+    schema = StructType().add("cluster", IntegerType()).add("n", LongType())
     for name in columns:
-        schema = schema.add(name, "double")
+        schema = schema.add(name, DoubleType())
     rows = [(i, n, *center) for i, (n, center) in enumerate(zip(sizes, centers, strict=True))]
     return points.sparkSession.createDataFrame(rows, schema)
