@@ -4,17 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pointloom.llm import simhash
+from pointloom.llm import mixing, positional, secrets, simhash, toxicity
 from pointloom.llm.common import written
 
 
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model calls toxic go. It learns from those that it judges."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.keep_clean(docs, model)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return simhash.keep_one_of_each(docs)
 
 
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which words of a benchmark item occur go."""
+    return positional.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays, with its secrets masked."""
+    return secrets.masked_documents(docs, secrets.fit(docs))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the training mix takes of each document; last, so no longer a corpus."""
+    return mixing.mixed(docs)
+
+
 STAGES = [
+    ("toxicity", toxic_documents),
     ("simhash near-dedup", near_duplicates),
+    ("benchmark decontamination", benchmark_passages),
+    ("secret scans", secret_scans),
+    ("mixing", mixture),
 ]
 
 # Toxicity, trained networks and the choice among equals are no SQL.

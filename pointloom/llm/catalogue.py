@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointloom.llm import simhash
+from pointloom.llm import mixing, pii, positional, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,16 +16,83 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scanned(_table(spark, sf_dir, "documents"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return secrets.scanned(docs, secrets.fit(docs))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = positional.build_index(_table(spark, sf_dir, "documents"))
+    found = positional.contaminated(index, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    held_out = (~toxicity.training_fold()).alias("held_out")
+    return toxicity.scored(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op5_pii,
+        op6_secrets,
+        op7_decontamination,
+        op8_mixing,
         op9_simhash_trie,
+        op10_toxicity,
     )
 }
 
-ORACLES: dict[str, str] = {}
+# Windows are compared as their words, joined.
+_FOLDED = r"""regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_OP7 = f"""
+    WITH w AS (SELECT doc_id, row_number() OVER () AS rid, {_FOLDED} AS words FROM documents),
+    b AS (SELECT item_id, {_FOLDED} AS words FROM benchmark),
+    bw AS (
+        SELECT DISTINCT item_id, least(10, len(words)) AS size,
+            array_to_string(words[i : i + 9], ' ') AS win
+        FROM (SELECT item_id, words,
+                unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)),
+    sizes AS (SELECT DISTINCT size FROM bw),
+    dw AS (
+        SELECT rid, size, i, array_to_string(words[i : i + size - 1], ' ') AS win
+        FROM (SELECT rid, size, words, unnest(range(1, len(words) - size + 2)) AS i
+              FROM w, sizes WHERE len(words) >= size)),
+    m AS (SELECT rid, item_id, i, dw.size FROM dw JOIN bw USING (win, size)),
+    h AS (SELECT rid, count(DISTINCT p) AS n_hit
+          FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM m) GROUP BY rid),
+    t AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM m) GROUP BY rid)
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+        coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AS contaminated
+    FROM w LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)"""
+
+ORACLES: dict[str, str] = {
+    "op7_decontamination": _OP7,
+}

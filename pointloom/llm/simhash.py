@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -257,8 +258,6 @@ def keep_one_of_each(
 
 
 def _fingerprint_column(shingle: int, seed: int):
-    import pandas as pd
-
     @F.pandas_udf("long")
     def column(texts: pd.Series) -> pd.Series:
         return pd.Series([signed(fingerprint(t, shingle, seed)) for t in texts], dtype="int64")
