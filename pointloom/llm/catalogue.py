@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointloom.llm import mixing, pii, positional, secrets, simhash, toxicity
+from pointloom.llm import (
+    minhash,
+    mixing,
+    pii,
+    positional,
+    secrets,
+    simhash,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +25,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written, indexed, looked up by the keys of all pages, and read back."""
+    pages = _table(spark, sf_dir, "pages")
+    index = warc.archived(pages)
+    return warc.read_records(index, warc.lookup(index, warc.keys_of(pages)))
+
+
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.compared_with_next(_table(spark, sf_dir, "documents"))
+    prints = ("fingerprint", "edited_fingerprint")
+    return found.withColumns({name: F.lower(F.hex(name)) for name in prints})
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scanned(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +79,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_warc,
+        op2_minhash,
         op5_pii,
         op6_secrets,
         op7_decontamination,
@@ -93,6 +117,17 @@ _OP7 = f"""
         coalesce(n_hit, 0) > 0 AS contaminated
     FROM w LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)"""
 
+_OP1 = """
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN shared THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN shared THEN leader END AS refers_to
+    FROM (SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+            sha1(payload) AS payload_digest, max(page_id) OVER (PARTITION BY payload) AS leader,
+            octet_length(encode(payload)) >= 1000
+                AND page_id < max(page_id) OVER (PARTITION BY payload) AS shared
+          FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))"""
+
 ORACLES: dict[str, str] = {
+    "op1_warc": _OP1,
     "op7_decontamination": _OP7,
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +49,19 @@ def folder_of(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
+def shingle_hashes(words: list[bytes], size: int, seed: int) -> list[int]:
+    """XXH64 of every run of ``size`` words, joined by a space, repeats included. Fewer
+    words are one shingle, no words none."""
+    if not words:
+        return []
+    line, digest = b" ".join(words), xxhash.xxh64_intdigest
+    if len(words) <= size:
+        return [digest(line, seed)]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = [0, *(ends[:-size] + 1).tolist()]
+    return [digest(line[a:b], seed) for a, b in zip(starts, ends[size - 1 :].tolist(), strict=True)]
+
+
 def by_batch(
     df: DataFrame, schema: str, convert: Callable[[pa.RecordBatch], dict[str, object]]
 ) -> DataFrame:

@@ -14,11 +14,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointloom.llm.common import by_batch, by_task, pick, utf8, written
+from pointloom.llm.common import by_batch, by_task, pick, shingle_hashes, utf8, written
 from pointloom.llm.graph import connected
 
 BITS = 64
@@ -32,20 +31,9 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     Words are lower-cased in A to Z. A text of fewer words than a shingle is one shingle;
     without words the fingerprint is zero.
     """
-    words = text.lower().split()
-    if not words:
+    hashes = shingle_hashes(text.lower().split(), shingle, seed)
+    if not hashes:
         return 0
-    if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), seed)]
-    else:
-        line = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = [0, *(ends[: -shingle] + 1).tolist()]
-        digest = xxhash.xxh64_intdigest
-        hashes = [
-            digest(line[a:b], seed)
-            for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)
-        ]
     count = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         some = np.array(hashes[at : at + (1 << 16)], ">u8")

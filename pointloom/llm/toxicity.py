@@ -26,9 +26,9 @@ POSITIVES, UNLABELLED = 4_000, 8_000
 # Weights of the model: a word counts by itself and by its beginnings.
 BUCKETS = 1 << 18
 BEGINNINGS = (4, 6)
-STEPS, RATE, DECAY = 100, 0.05, 1e-4
-# Toxic examples that must have a bucket for it to get a weight: a share, and a least number.
-SUPPORT, LEAST_EXAMPLES = 0.02, 2
+STEPS, RATE, DECAY = 150, 0.05, 5e-4
+# A bucket gets a weight if so many toxic examples have it, so much more often than usual.
+LEAST_EXAMPLES, CLEARLY = 3, 5.0
 # Words whose weights a task remembers.
 MEMO = 1 << 20
 
@@ -103,14 +103,14 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     """Descent on the non-negative risk with logistic losses, over whole samples.
 
     Where the estimated cost of the non-toxic part falls below nothing, which only
-    overfitting can bring about, the step undoes that part instead. Buckets that few toxic
-    examples have keep the weight nothing: they would be learned by heart.
+    overfitting can bring about, the step undoes that part instead. Only buckets that are
+    clearly more frequent in toxic than in unlabelled text get a weight: others would be
+    learned by heart.
     """
-    support = np.bincount(np.concatenate(positive), minlength=BUCKETS)
-    columns = np.flatnonzero(support >= max(LEAST_EXAMPLES, SUPPORT * len(positive)))
+    columns = _telling(positive, unlabelled)
     p, u = _Rows(positive, columns), _Rows(unlabelled, columns)
     model = np.append(np.zeros(len(columns)), math.log(prior / (1 - prior)))
-    slope, square = np.zeros(len(model)), np.zeros(len(model))
+    slope, square, total = np.zeros(len(model)), np.zeros(len(model)), np.zeros(len(model))
     for step in range(1, STEPS + 1):
         p_out, u_out = p.score(model), u.score(model)
         p_one, u_one = _sigmoid(p_out), _sigmoid(u_out)
@@ -126,11 +126,27 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
         square = 0.999 * square + 0.001 * gradient**2
         scale = np.sqrt(square / (1 - 0.999**step)) + 1e-8
         model = model - RATE * slope / (1 - 0.9**step) / scale
+        total = total + model * (step > STEPS // 2)
+    # The mean of the later steps, as undoing makes them go to and fro.
+    model = total / (STEPS - STEPS // 2)
     weights = np.zeros(BUCKETS)
     weights[columns] = model[:-1]
     return Model(weights, float(model[-1]))
 
 
+def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+    """Buckets whose share of the toxic examples is ``CLEARLY`` standard errors above their
+    share of the unlabelled ones, and which at least ``LEAST_EXAMPLES`` of the former have."""
+    nothing = np.zeros(0, np.int32)
+    have = np.bincount(np.concatenate([*positive, nothing]), minlength=BUCKETS)
+    usual = (np.bincount(np.concatenate([*unlabelled, nothing]), minlength=BUCKETS) + 0.5) / (
+        len(unlabelled) + 1
+    )
+    error = np.sqrt(usual * (1 - usual) / len(positive))
+    clearly = have / len(positive) - usual >= CLEARLY * error
+    return np.flatnonzero(clearly & (have >= LEAST_EXAMPLES))
+
+
 class _Rows:
     """Documents as positions in ``columns``, end to end, other buckets left out."""
 
