@@ -14,6 +14,7 @@ from pointloom.llm import (
     positional,
     secrets,
     simhash,
+    substrings,
     toxicity,
     warc,
 )
@@ -38,6 +39,11 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({name: F.lower(F.hex(name)) for name in prints})
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scanned(_table(spark, sf_dir, "documents"))
 
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_warc,
         op2_minhash,
+        op3_substrings,
         op5_pii,
         op6_secrets,
         op7_decontamination,
@@ -127,7 +134,29 @@ _OP1 = """
                 AND page_id < max(page_id) OVER (PARTITION BY payload) AS shared
           FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))"""
 
+_OP3 = r"""
+    WITH w AS (
+        SELECT doc_id, row_number() OVER () AS rid,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+        FROM documents),
+    win AS (
+        SELECT rid, i, array_to_string(words[i : i + 34], ' ') AS win
+        FROM (SELECT rid, words, unnest(range(1, len(words) - 33)) AS i FROM w
+              WHERE len(words) >= 35)),
+    dup AS (SELECT rid, i FROM win JOIN (SELECT win FROM win GROUP BY win HAVING count(*) > 1)
+            USING (win)),
+    gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS p FROM dup),
+    kept AS (
+        SELECT t.rid, string_agg(word, ' ' ORDER BY t.p) AS text, count(*) AS n
+        FROM (SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w) t
+        ANTI JOIN gone ON t.rid = gone.rid AND t.p = gone.p GROUP BY t.rid)
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+        CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (rid)"""
+
 ORACLES: dict[str, str] = {
+    "op3_substrings": _OP3,
     "op1_warc": _OP1,
     "op7_decontamination": _OP7,
 }
