@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pointloom.llm import (
     minhash,
     mixing,
+    ngrams,
     pii,
     positional,
     secrets,
@@ -44,6 +45,11 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return ngrams.scored(docs, ngrams.fit(docs))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scanned(_table(spark, sf_dir, "documents"))
 
@@ -88,6 +94,7 @@ QUERIES: dict[str, Query] = {
         op1_warc,
         op2_minhash,
         op3_substrings,
+        op4_ngrams,
         op5_pii,
         op6_secrets,
         op7_decontamination,
