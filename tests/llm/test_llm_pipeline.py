@@ -1,0 +1,148 @@
+"""The registered queries and the pipeline, on the smallest tables."""
+
+from __future__ import annotations
+
+import zlib
+from pathlib import Path
+
+import corpus_pipeline
+import duckdb
+import pytest
+from corpus_cases import clean, multiset
+from test_llm_scanners import plain_pii, plain_secrets
+from test_llm_simhash import plain_components
+
+import __spark_entry__ as contract
+from pointloom.llm import positional, secrets, simhash, toxicity
+from pointloom.llm.catalogue import ORACLES, QUERIES
+from pointloom.llm.spans import digest
+
+NUMBERS = range(1, 11)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    from conftest import SF_DIR
+
+    connection = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+    return connection
+
+
+def test_one_query_for_each_operator_and_the_pipeline():
+    names = contract.queries()
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in NUMBERS]
+    assert QUERIES.items() <= names.items() and names["pipeline"] is corpus_pipeline.run
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_equals_its_sql(spark, duck, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    result = duck.execute(ORACLES[name])
+    names = [d[0] for d in result.description]
+    assert sorted(names) == sorted(df.columns)
+    assert multiset(map(tuple, df.select(*names).collect())) == multiset(result.fetchall())
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    from conftest import SF_DIR
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    return [tuple(r) for r in docs.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+
+
+def test_personal_data_on_the_table(spark, sf_dir, documents):
+    found = {r["doc_id"]: r for r in QUERIES["op5_pii"](spark, sf_dir).collect()}
+    for doc_id, text, *_ in documents:
+        assert found[doc_id]["base_sha256"] == digest(plain_pii(text or ""))
+
+
+def test_secrets_on_the_table(spark, sf_dir, documents):
+    found = {r["doc_id"]: r for r in QUERIES["op6_secrets"](spark, sf_dir).collect()}
+    for doc_id, text, *_ in documents:
+        base = plain_secrets(text or "")
+        assert found[doc_id]["base_sha256"] == digest(base)
+        assert found[doc_id]["n_hex"] == sum(s.kind == "hex" for s in base)
+
+
+def test_components_on_the_table(spark, sf_dir, documents):
+    found = QUERIES["op9_simhash_trie"](spark, sf_dir)
+    assert multiset(map(tuple, found.collect())) == multiset(r[:3] for r in plain_components(documents))
+
+
+def test_mixture_on_the_table(spark, sf_dir, documents):
+    found = {r["doc_id"]: r for r in QUERIES["op8_mixing"](spark, sf_dir).collect()}
+    for doc_id, text, *_ in documents:
+        assert found[doc_id]["size"] == len(clean(text))
+    for source in {d[3] for d in documents}:
+        mine = [found[d[0]] for d in documents if d[3] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 1
+
+
+def test_toxicity_query_tells_the_folds(spark, sf_dir):
+    for row in QUERIES["op10_toxicity"](spark, sf_dir).collect():
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 4 == 2)
+        assert row["predicted"] == int(row["score"] >= 0.3)
+
+
+def test_stages_follow_each_other(spark, sf_dir, documents):
+    """Every stage works on what is left, keeps the columns, and its decisions take effect."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = docs.columns
+    steps = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, sf_dir), "test-stage")
+        steps[name] = docs
+        if name != "mixing":
+            assert docs.columns == columns
+    ids = {n: {r["doc_id"] for r in d.select("doc_id").collect()} for n, d in steps.items()}
+
+    raw = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.fit(raw, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    clean_ids = {r["doc_id"] for r in toxicity.scored(raw, model).filter("predicted = 0").collect()}
+    assert ids["toxicity"] == clean_ids
+
+    left = [d for d in documents if d[0] in clean_ids]
+    assert ids["simhash near-dedup"] == {c for _, _, c, _ in plain_components(left)}
+
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    before = steps["simhash near-dedup"]
+    hits = positional.contaminated(positional.build_index(before), bench).filter("n_hit > 0")
+    bad = {r["doc_id"] for r in hits.collect()}
+    assert ids["benchmark decontamination"] == ids["simhash near-dedup"] - bad
+
+    assert ids["secret scans"] == ids["benchmark decontamination"]
+    texts = {d[0]: d[1] for d in documents}
+    for row in steps["secret scans"].collect():
+        base = secrets.base_spans(texts[row["doc_id"]] or "")
+        if not base and "[secret]" not in (row["text"] or ""):
+            assert row["text"] == texts[row["doc_id"]]
+        assert secrets.base_spans(row["text"] or "") == []
+        assert row["n_chars"] == len(row["text"])
+    assert ids["mixing"] == ids["secret scans"]
+
+
+def test_run_is_the_chain_of_stages(spark, sf_dir):
+    found = corpus_pipeline.run(spark, sf_dir)
+    assert found.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    assert found.filter("taken > 2 * size").count() == 0 and found.count() > 0
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == [
+        "toxicity", "simhash near-dedup", "benchmark decontamination", "secret scans", "mixing"
+    ]
+
+
+def test_library_without_the_corpus_part(tmp_path):
+    """Without the folders and the pipeline all else is still registered."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = Path(contract.__file__).parent
+    shutil.copytree(root / "pointloom", tmp_path / "pointloom", ignore=shutil.ignore_patterns("llm"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; assert e.queries() and not any('op1' in n for n in e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+    assert simhash.__name__.startswith("pointloom.llm")
