@@ -1,4 +1,5 @@
-"""``python -m pointloom --input points.csv --output folder [--config job.yaml]``"""
+"""``python -m pointloom --input points.csv --output folder [--config job.yaml] [--k 3] [--seed 1]
+[--schema "x double, y double, z double"] [--format parquet]``"""
 
 from __future__ import annotations
 
@@ -21,8 +22,12 @@ def read_config(path: str) -> dict:
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="pointloom", description="Cluster a table of points")
     parser.add_argument("--config", help="YAML file with input, output and reference point")
-    parser.add_argument("--input", help="path or URI of the points, a CSV with a header")
+    parser.add_argument("--input", help="path or URI of the points, by default a CSV with a header")
     parser.add_argument("--output", help="folder or URI for results.csv and metrics.json")
+    parser.add_argument("--schema", help="columns and types of the input, saves inferring them")
+    parser.add_argument("--format", default="csv", help="format of the input (csv, parquet, ...)")
+    parser.add_argument("--k", type=int, default=3, help="number of clusters")
+    parser.add_argument("--seed", type=int, default=1, help="seed of the start")
     args = parser.parse_args(argv)
 
     config = read_config(args.config) if args.config else {}
@@ -33,7 +38,16 @@ def main(argv: list[str] | None = None) -> int:
         print("error: give --input, or input_path in --config", file=sys.stderr)
         return 1
 
-    job = run_job(get_spark(), source, output, reference=(point["lat"], point["lon"]))
+    job = run_job(
+        get_spark(),
+        source,
+        output,
+        reference=(point["lat"], point["lon"]),
+        k=args.k,
+        seed=args.seed,
+        schema=args.schema,
+        file_format=args.format,
+    )
     print(f"features: {', '.join(job.features.columns)}")
     print(f"silhouette: {'undefined' if job.score is None else job.score}")
     preview(job.labelled).show()

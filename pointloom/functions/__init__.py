@@ -3,7 +3,8 @@ from pointloom.functions.geometry import (
     column,
     haversine_km,
     magnitude,
+    quoted,
     squared_distance,
 )
 
-__all__ = ["EARTH_RADIUS_KM", "column", "haversine_km", "magnitude", "squared_distance"]
+__all__ = ["EARTH_RADIUS_KM", "column", "haversine_km", "magnitude", "quoted", "squared_distance"]

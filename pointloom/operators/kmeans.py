@@ -1,14 +1,16 @@
-"""k-means: MLlib's fit, updates as plain aggregations for large inputs, native labels."""
+"""k-means: MLlib's start, updates as plain aggregations, labels as column expressions."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructType
 
@@ -20,16 +22,7 @@ Centers = list[list[float]]
 MAX_ITERATIONS = 20
 TOLERANCE = 1e-4
 
-# Most splits to iterate over. A fixed number: the cores present when the job starts say
-# little under dynamic allocation.
-MAX_FIT_SPLITS = 20_000
-
-# Most rows per core for which MLlib runs the updates. It caches about 100 bytes per row
-# as objects, and slows down several times once these do not fit into memory.
-VECTOR_ROWS_PER_CORE = 2_000_000
-
 _DISTANCES = "__center_distances"
-_ROW = "__scan_order"
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -37,65 +30,62 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
     return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)
 
 
-def balance(points: DataFrame) -> DataFrame:
-    """Give the iterations a number of splits that fits the cluster.
-
-    Fewer splits than cores (a small or unsplittable input): deal the rows out, since
-    every pass would leave cores idle, and keep them in scan order, on which the seeded
-    start depends. Very many: some 30 passes of one task per split would keep the driver
-    scheduling, and MLlib aggregates into as many reducers as there are splits, so pack
-    neighbouring splits together (``coalesce`` moves no rows).
-    """
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    if points.rdd.getNumPartitions() < cores:
-        return (
-            points.withColumn(_ROW, F.monotonically_increasing_id())
-            .repartition(cores, _ROW)
-            .sortWithinPartitions(_ROW)
-            .drop(_ROW)
-        )
-    return points.coalesce(MAX_FIT_SPLITS)
-
-
 @contextmanager
-def staged(df: DataFrame, columns: Sequence[str]) -> Iterator[DataFrame]:
+def staged(
+    df: DataFrame, columns: Sequence[str], splits: int | None = None
+) -> Iterator[DataFrame]:
     """Just the named columns as doubles, kept on the executors while in use.
 
     The input is parsed once for all passes. Blocks that memory cannot hold go to disk;
-    the blocks of a lost executor are read again from the scan.
+    the blocks of a lost executor are read again from the scan. ``splits`` deals the rows
+    out evenly first, which pays for an input of few, large splits (a file that cannot be split);
+    otherwise the passes have the splits of the scan.
     """
-    narrow = df.select([column(c).cast("double").alias(c) for c in columns])
-    points = balance(narrow).persist(StorageLevel.MEMORY_AND_DISK)
+    points = df.select([column(c).cast("double").alias(c) for c in columns])
+    if splits is not None:
+        points = points.repartition(splits)
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield points
     finally:
         points.unpersist()
 
 
+def finite(columns: Sequence[str]) -> Column:
+    """Whether all the columns are numbers a distance can be taken of."""
+    values = [column(c).cast("double") for c in columns]
+    return reduce(and_, [~F.isnan(v) & (F.abs(v) < float("inf")) for v in values])
+
+
 def fit_kmeans(
-    points: DataFrame, columns: Sequence[str], k: int = 3, seed: int = 1
+    points: DataFrame,
+    columns: Sequence[str],
+    k: int = 3,
+    seed: int = 1,
+    start: Sequence[Sequence[float]] | None = None,
+    max_iterations: int = MAX_ITERATIONS,
+    tolerance: float | None = TOLERANCE,
 ) -> Centers:
     """Centers of MLlib's k-means with its defaults (features unscaled), at most k of them.
 
-    Small inputs go through MLlib as a whole. Beyond ``VECTOR_ROWS_PER_CORE`` only its
-    start does, and the updates are aggregations over the columns: the same centers, in
-    the memory the staged columns take. Hand in :func:`staged` points, they are read once per
-    pass. The solvers are named to save the pass in which ``auto`` looks for one: ``row``
-    copes with fewer distinct points than k, ``block`` keeps no vectors for the start.
+    Inputs of all sizes go the same way: MLlib chooses the start, unless one is given, and the
+    updates are aggregations over the columns. Its own updates would cache an object of
+    about 100 bytes per row; these need the memory of the staged columns. Hand in
+    :func:`staged` points, they are read once per pass. Which start the seed gives depends on the
+    splits of the points. Infinite coordinates are an error, found before the fit.
     """
-    size = points.count()
-    if size == 0:
+    checked = points.agg(F.count(F.lit(1)).alias("n"), F.min(finite(columns)).alias("finite"))
+    row = checked.first()
+    if not row["n"]:
         raise ValueError("no complete rows to cluster")
-    vectors = assemble(points, columns).select("features")
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    if size <= VECTOR_ROWS_PER_CORE * cores:
-        return _centers(KMeans(k=k, seed=seed, solver="row").fit(vectors))
-    start = _centers(KMeans(k=k, seed=seed, solver="block", maxIter=0).fit(vectors))
-    return update_centers(points, columns, start)[0]
-
-
-def _centers(model: KMeansModel) -> Centers:
-    return [[float(v) for v in center] for center in model.clusterCenters()]
+    if not row["finite"]:
+        raise ValueError(f"infinite coordinates: {', '.join(columns)} must be finite in all rows")
+    if start is None:
+        vectors = assemble(points, columns).select("features")
+        # The block solver keeps no vectors for the start.
+        model = KMeans(k=k, seed=seed, solver="block", maxIter=0).fit(vectors)
+        start = [[float(v) for v in center] for center in model.clusterCenters()]
+    return update_centers(points, columns, start, max_iterations, tolerance)[0]
 
 
 def update_centers(
@@ -156,9 +146,10 @@ def cluster_points(
     k: int = 3,
     seed: int = 1,
     output: str = "cluster",
+    splits: int | None = None,
 ) -> tuple[DataFrame, Centers]:
     """Fit on ``df``; returns it labelled, with its ``features`` vector, and the centers."""
-    with staged(df, columns) as points:
+    with staged(df, columns, splits) as points:
         centers = fit_kmeans(points, columns, k, seed)
     return assign_nearest(assemble(df, columns), columns, centers, output), centers
 

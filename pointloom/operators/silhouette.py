@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from pointloom.functions import column, squared_distance
-
-# Cluster statistics become literals of the second pass, so their number is bounded.
-MAX_CLUSTERS = 1000
+from pointloom.functions import column, quoted
 
 
 def silhouette(
@@ -29,35 +26,44 @@ def silhouette(
     for i, name in enumerate(names):
         value = column(name).cast("double")
         stats += [F.avg(value).alias(f"mean_{i}"), F.var_pop(value).alias(f"var_{i}")]
-    clusters = (
-        df.groupBy(column(label).alias("label")).agg(*stats).limit(MAX_CLUSTERS + 1).collect()
-    )
+    clusters = df.groupBy(column(label).alias("label")).agg(*stats).collect()
     if len(clusters) < 2:
         return None
-    if len(clusters) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters in column {label}")
-    own, other = _mean_distances(clusters, names, label)
-    a, b = F.col("own"), F.col("other")
-    score = F.when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(F.lit(0.0))
-    return (
-        df.select(own.alias("own"), other.alias("other"))
-        .agg(F.avg(F.when(a.isNull(), F.lit(0.0)).otherwise(score)).alias("score"))
-        .first()["score"]
+    return _measured(df, clusters, names, label).agg(F.avg(_score()).alias("score")).first()["score"]
+
+
+def _score() -> Column:
+    """Of one row, from ``own`` and ``other``."""
+    own, other = F.col("own"), F.col("other")
+    score = F.when(own < other, 1 - own / other).when(own > other, other / own - 1)
+    return F.when(own.isNull(), F.lit(0.0)).otherwise(F.coalesce(score, F.lit(0.0)))
+
+
+def _measured(df: DataFrame, clusters: list[Row], names: list[str], label: str) -> DataFrame:
+    """``own`` and ``other``: mean squared distance of a row to the rest of its cluster (null
+    if it is alone there) and to the nearest other cluster.
+
+    The statistics are constant arrays, so the expression has the same size for any number of
+    clusters; the distances of a row are an array that is gone before the next row.
+    """
+    values = [[row[f"mean_{i}"] for row in clusters] for i in range(len(names))]
+    spread = [sum(row[f"var_{i}"] for i in range(len(names))) for row in clusters]
+    rest = [row["size"] / (row["size"] - 1) if row["size"] > 1 else None for row in clusters]
+    gaps = [
+        f"(CAST({quoted(name)} AS DOUBLE) - {_array(mean)}[i])"
+        for name, mean in zip(names, values, strict=True)
+    ]
+    distance = " + ".join(f"{gap} * {gap}" for gap in gaps)
+    place = F.array_position(F.array(*[F.lit(row["label"]) for row in clusters]), column(label))
+    rows = df.select(
+        place.cast("int").alias("place"),
+        F.expr(f"transform({_array(spread)}, (v, i) -> {distance} + v)").alias("distances"),
+    )
+    return rows.select(
+        F.expr(f"element_at(distances, place) * element_at({_array(rest)}, place)").alias("own"),
+        F.expr("array_min(transform(distances, (d, i) -> IF(i = place - 1, NULL, d)))").alias("other"),
     )
 
 
-def _mean_distances(
-    clusters: list[Row], names: list[str], label: str
-) -> tuple[Column, Column]:
-    """Mean squared distance of a row to the rest of its cluster (null if it is alone
-    there) and to the nearest other cluster."""
-    own, others = [], []
-    for row in clusters:
-        here = column(label) == F.lit(row["label"])
-        mean = [row[f"mean_{i}"] for i in range(len(names))]
-        variance = sum(row[f"var_{i}"] for i in range(len(names)))
-        to_cluster = squared_distance(names, mean) + F.lit(variance)
-        others.append(F.when(~here, to_cluster))
-        if row["size"] > 1:
-            own.append(F.when(here, to_cluster * F.lit(row["size"] / (row["size"] - 1))))
-    return F.coalesce(*own) if own else F.lit(None).cast("double"), F.least(*others)
+def _array(values: list[float | None]) -> str:
+    return "array(" + ", ".join("NULL" if v is None else f"{float(v)!r}D" for v in values) + ")"

@@ -14,7 +14,14 @@ from pointloom.plans import inputs
 from pointloom.plans.cluster_job import run_job
 from pointloom.session import scratch_dir
 from pointloom.sources import preview, read_metrics, read_points, write_metrics
-from pointloom.streaming import current_jobs, find_job, intake, list_jobs, read_ledger
+from pointloom.streaming import (
+    current_jobs,
+    find_job,
+    intake,
+    list_jobs,
+    read_ledger,
+    recorded_runs,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,14 +230,19 @@ def cluster_job_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job on every order line; its groups overlap, so the check is on the totals."""
-    job = run_job(spark, inputs.pts(spark, sf_dir))
-    return job.labelled.agg(
+    """The job on every order line: sizes and means of the labelled groups, which overlap, and
+    the score. All 20 updates from given centers, so that plain SQL can follow them."""
+    job = run_job(
+        spark,
+        inputs.pts(spark, sf_dir),
+        splits=inputs.SPLITS,
+        start=inputs.with_magnitudes(inputs.START),
+        tolerance=None,
+    )
+    return job.labelled.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("cluster").alias("n_clusters"),
-        F.min("cluster").alias("lowest"),
-        F.max("cluster").alias("highest"),
-        F.lit(-1 <= job.score <= 1).alias("score_in_range"),
+        *[F.round(F.avg(c), 6).alias(c) for c in CLOUD],
+        F.lit(round(job.score, 6)).alias("silhouette_score"),
     )
 
 
@@ -238,22 +250,33 @@ def cluster_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current_jobs(inputs.changes(spark, sf_dir))
+    return current_jobs(inputs.changes(spark, sf_dir), inputs.CHANGE_ORDER)
 
 
 def ledger_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_job(inputs.changes(spark, sf_dir), "7")
+    return find_job(inputs.changes(spark, sf_dir), "7", inputs.CHANGE_ORDER)
 
 
 def ledger_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_jobs(inputs.runs(spark, sf_dir))
 
 
+def ledger_list_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing of what a ledger has: the users' events again, their kinds as states."""
+    states = {"view": "Queued", "click": "Running", "purchase": "Completed", "error": "Failed"}
+    state = F.create_map(*[F.lit(x) for pair in states.items() for x in pair])
+    changes = inputs.changes(spark, sf_dir)
+    changes = changes.withColumn("status", F.coalesce(state[F.col("status")], F.lit("Queued")))
+    return list_jobs(recorded_runs(changes, inputs.CHANGE_ORDER))
+
+
 def upload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four tables dropped as files, each file clustered as its own job.
+    """Four tables dropped as files, each file clustered as its own job, four at a time.
 
     Every table is written as it is split, so the number of uploads grows with the
-    data. The nations carry text where a number belongs, so their jobs fail.
+    data; three of them share a folder, and the names of all begin alike. The nations carry text
+    where a number belongs, so their jobs fail. Labels are held against the planted groups: one
+    label for each group of a job, and no two groups of a job with the same.
     """
     root = scratch_dir(spark, "uploads")
     uploads, outputs, ledger = f"{root}/uploads", f"{root}/outputs", f"{root}/ledger"
@@ -262,47 +285,59 @@ def upload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         points = inputs.table(spark, sf_dir, name).select(
             F.lit(name).alias("source"), F.col(key).alias("key"), *inputs.blob_columns(key)
         )
-        points.write.mode("append").option("header", True).csv(uploads)
+        points.write.mode("append").option("header", True).csv(f"{uploads}/points")
     inputs.table(spark, sf_dir, "nation").select(
         F.lit("nation").alias("source"), F.col("n_nationkey").alias("key"),
         F.col("n_name").alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"),
     ).write.mode("append").option("header", True).csv(uploads)
 
-    intake(spark, uploads, outputs, ledger, f"{root}/progress").awaitTermination()
+    intake(
+        spark, uploads, outputs, ledger, f"{root}/progress", files_per_batch=8, jobs_at_once=4
+    ).awaitTermination()
 
-    def by_job(path: str, job_id, schema: str) -> DataFrame:
-        rows = spark.read.schema(schema).option("header", True).csv(path)
-        return rows.withColumns({"job_id": job_id, "planted": F.col("key") % 3})
+    def plain(path):
+        return F.regexp_replace(path, "^\\w+:/*", "/")
 
-    uploaded = (
-        by_job(
-            uploads,
-            F.substring_index("_metadata.file_name", ".", 1),
-            "source string, key bigint, x string, y string, z string",
+    def planted(path: str, schema: str) -> DataFrame:
+        reader = spark.read.schema(schema).option("header", True)
+        rows = reader.option("recursiveFileLookup", True).csv(path)
+        return rows.withColumns(
+            {"file": plain(F.col("_metadata.file_path")), "planted": F.col("key") % 3}
         )
-        .groupBy("job_id", "source", "planted")
+
+    uploaded = (
+        planted(uploads, "source string, key bigint, x string, y string, z string")
+        .groupBy("file", "source", "planted")
         .agg(F.count(F.lit(1)).alias("n_uploaded"))
     )
-    labelled = (
-        by_job(
-            f"{outputs}/*/results.csv",
-            F.regexp_extract("_metadata.file_path", "/outputs/([^/]+)/results.csv/", 1),
-            "source string, key bigint, x double, y double, z double, magnitude double, cluster int",
-        )
-        .groupBy("job_id", "planted")
-        .agg(F.count(F.lit(1)).alias("n_labelled"), F.count_distinct("cluster").alias("n_labels"))
+    labelled = planted(
+        f"{outputs}/*/results.csv",
+        "source string, key bigint, x double, y double, z double, magnitude double, cluster int",
+    ).withColumn("job_id", F.regexp_extract("file", "/outputs/([^/]+)/results.csv/", 1))
+    groups = labelled.groupBy("job_id", "planted").agg(
+        F.count(F.lit(1)).alias("n_labelled"),
+        F.count_distinct("cluster").alias("n_labels"),
+        F.min("cluster").alias("label"),
+    )
+    apart = groups.groupBy("job_id").agg(
+        (F.count_distinct("label") == F.count(F.lit(1))).alias("apart")
     )
-    jobs = current_jobs(read_ledger(spark, ledger)).select(
+    recorded = read_ledger(spark, ledger)
+    files = recorded.select("job_id", plain(F.col("source")).alias("file")).distinct()
+    jobs = current_jobs(recorded).select(
         "job_id", "status", F.col("silhouette_score").isNotNull().alias("scored")
     )
     return (
-        uploaded.join(jobs, "job_id", "left")
-        .join(labelled, ["job_id", "planted"], "left")
+        uploaded.join(files, "file", "left")
+        .join(jobs, "job_id", "left")
+        .join(groups, ["job_id", "planted"], "left")
+        .join(apart, "job_id", "left")
         .groupBy("source", "planted", "status", "scored")
         .agg(
             F.sum("n_uploaded").alias("n_uploaded"),
             F.coalesce(F.sum("n_labelled"), F.lit(0)).alias("n_labelled"),
             F.coalesce(F.max("n_labels"), F.lit(0)).alias("labels_per_group"),
+            F.coalesce(F.min("apart"), F.lit(False)).alias("groups_apart"),
         )
     )
 
@@ -334,6 +369,7 @@ QUERIES: dict[str, Query] = {
         ledger_current,
         ledger_lookup,
         ledger_list,
+        ledger_list_recorded,
         upload_stream,
     )
 }

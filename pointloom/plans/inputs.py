@@ -14,6 +14,17 @@ REFERENCE = (34.0522, -118.2437)
 # Start of the checked k-means updates and of the nearest-center query.
 START = [(5.0, 20.0, 5.0), (25.0, 50.0, 5.0), (45.0, 90.0, 5.0)]
 
+# Splits that the order lines are dealt to for a fit: their file is one that Spark cannot split.
+SPLITS = 16
+
+# Order of the state changes below.
+CHANGE_ORDER = ("ts", "seq")
+
+
+def with_magnitudes(centers: list[tuple[float, ...]]) -> list[tuple[float, ...]]:
+    """Centers of ``x, y, z`` as centers of a point cloud's features."""
+    return [(*c, sum(v * v for v in c) ** 0.5) for c in centers]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

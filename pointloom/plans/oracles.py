@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from pointloom.plans.inputs import BLOBS, CHANGES, DIRTY, GEO, PTS, REFERENCE, RINGS, START
+from pointloom.plans.inputs import (
+    BLOBS,
+    CHANGES,
+    DIRTY,
+    GEO,
+    PTS,
+    REFERENCE,
+    RINGS,
+    START,
+    with_magnitudes,
+)
 
 MAGNITUDE = "sqrt(x * x + y * y + z * z)"
 
@@ -54,29 +64,53 @@ def _silhouette(rows: str, columns: list[str]) -> str:
         FROM ab"""
 
 
-def _lloyd(steps: int) -> str:
-    start = " UNION ALL ".join(
+def _updates(points: str, columns: str, start: list[tuple[float, ...]], steps: int) -> list[str]:
+    """Tables ``pts`` (with ``pid``), ``c0`` to ``c<steps>`` (centers) and for each of them but the
+    last ``a<i>``, the nearest center of every point, lowest number first."""
+    first = " UNION ALL ".join(
         f"SELECT {i} AS cluster, CAST(0 AS BIGINT) AS n, "
-        + ", ".join(f"{_double(v)} AS {c}" for c, v in zip("xyz", center))
-        for i, center in enumerate(START)
+        + ", ".join(f"{_double(v)} AS {c}" for c, v in zip(columns, center))
+        for i, center in enumerate(start)
     )
-    ctes = [f"pts AS ({PTS})", f"c0 AS ({start})"]
+    tables = [f"pts AS (SELECT *, row_number() OVER () AS pid FROM ({points}))", f"c0 AS ({first})"]
+    means = ", ".join(f"avg({c}) AS {c}" for c in columns)
     for i in range(1, steps + 1):
-        ctes.append(f"""
-        c{i} AS (
-            SELECT cluster, count(*) AS n, avg(x) AS x, avg(y) AS y, avg(z) AS z
-            FROM (SELECT pid, arg_min(cluster, (dist, cluster)) AS cluster,
-                         any_value(x) AS x, any_value(y) AS y, any_value(z) AS z
-                  FROM (SELECT p.pid, p.x, p.y, p.z, c.cluster,
-                               (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y)
-                               + (p.z - c.z) * (p.z - c.z) AS dist
-                        FROM (SELECT row_number() OVER () AS pid, x, y, z FROM pts) p, c{i - 1} c)
-                  GROUP BY pid)
-            GROUP BY cluster)""")
-    last = f"c{steps}"
+        tables += [
+            _nearest(columns, i - 1),
+            f"c{i} AS (SELECT cluster, count(*) AS n, {means} FROM a{i - 1} GROUP BY cluster)",
+        ]
+    return tables
+
+
+def _nearest(columns: str, i: int) -> str:
+    distance = " + ".join(f"(p.{c} - c.{c}) * (p.{c} - c.{c})" for c in columns)
+    values = ", ".join(f"any_value({c}) AS {c}" for c in columns)
+    own = ", ".join(f"p.{c}" for c in columns)
     return (
-        f"WITH {', '.join(ctes)} SELECT CAST(cluster AS INTEGER) AS cluster, n, "
-        f"round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM {last}"
+        f"a{i} AS (SELECT pid, arg_min(cluster, (dist, cluster)) AS cluster, {values} "
+        f"FROM (SELECT p.pid, {own}, c.cluster, {distance} AS dist FROM pts p, c{i} c) GROUP BY pid)"
+    )
+
+
+def _lloyd(steps: int) -> str:
+    return (
+        f"WITH {', '.join(_updates(PTS, 'xyz', START, steps))} "
+        f"SELECT CAST(cluster AS INTEGER) AS cluster, n, "
+        f"round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM c{steps}"
+    )
+
+
+def _whole_job(steps: int) -> str:
+    """Labels of the last centers, what they hold together, and their score."""
+    points = f"SELECT x, y, z, {MAGNITUDE} AS m FROM ({PTS})"
+    tables = [*_updates(points, "xyzm", with_magnitudes(START), steps), _nearest("xyzm", steps)]
+    labelled = f"(SELECT x, y, z, m, cluster AS g FROM a{steps})"
+    score = _silhouette(f"SELECT * FROM {labelled}", ["x", "y", "z", "m"])
+    return (
+        f"WITH {', '.join(tables)} SELECT CAST(g AS INTEGER) AS cluster, count(*) AS n_rows, "
+        "round(avg(x), 6) AS x, round(avg(y), 6) AS y, round(avg(z), 6) AS z, "
+        f"round(avg(m), 6) AS magnitude, (SELECT silhouette_score FROM ({score})) AS silhouette_score "
+        f"FROM {labelled} GROUP BY g"
     )
 
 
@@ -109,15 +143,15 @@ def _feature_means() -> str:
 def _uploads() -> str:
     good = " UNION ALL ".join(
         f"SELECT '{name}' AS source, {key} % 3 AS planted, 'Completed' AS status, true AS scored, "
-        f"count(*) AS n_uploaded, count(*) AS n_labelled, CAST(1 AS BIGINT) AS labels_per_group "
-        f"FROM {name} GROUP BY {key} % 3"
+        f"count(*) AS n_uploaded, count(*) AS n_labelled, CAST(1 AS BIGINT) AS labels_per_group, "
+        f"true AS groups_apart FROM {name} GROUP BY {key} % 3"
         for name, key in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("part", "p_partkey"))
     )
     return (
         f"SELECT source, CAST(planted AS BIGINT) AS planted, status, scored, n_uploaded, "
-        f"n_labelled, labels_per_group FROM ({good}) UNION ALL "
+        f"n_labelled, labels_per_group, groups_apart FROM ({good}) UNION ALL "
         "SELECT 'nation', CAST(n_nationkey % 3 AS BIGINT), 'Failed', false, count(*), "
-        "CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM nation GROUP BY n_nationkey % 3"
+        "CAST(0 AS BIGINT), CAST(0 AS BIGINT), false FROM nation GROUP BY n_nationkey % 3"
     )
 
 
@@ -192,10 +226,7 @@ ORACLES: dict[str, str] = {
         "SELECT p_partkey, p_name, CAST((p_partkey % 3) * 10000 + p_size AS INTEGER) AS size, "
         "p_retailprice AS price, CAST(p_partkey % 3 AS INTEGER) AS cluster FROM part"
     ),
-    "cluster_lineitem": (
-        "SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_clusters, 0 AS lowest, 2 AS highest, "
-        "true AS score_in_range FROM lineitem"
-    ),
+    "cluster_lineitem": _whole_job(20),
     "ledger_current": _fold(),
     "ledger_lookup": _fold("WHERE job_id = '7'"),
     "ledger_list": (
@@ -205,5 +236,12 @@ ORACLES: dict[str, str] = {
         "event_type AS state, CASE event_type WHEN 'error' THEN 'Failed' ELSE 'Succeeded' END "
         "AS provisioning_state, ts AS created FROM events) WHERE starts_with(name, 'job-')"
     ),
+    "ledger_list_recorded": (
+        "SELECT job_id, 'job-' || job_id AS name, state, CASE state WHEN 'Failed' THEN 'Failed' "
+        "WHEN 'Completed' THEN 'Succeeded' ELSE 'Creating' END AS provisioning_state, "
+        "created_at AS created FROM (SELECT job_id, CASE status WHEN 'click' THEN 'Running' "
+        "WHEN 'purchase' THEN 'Completed' WHEN 'error' THEN 'Failed' ELSE 'Queued' END AS state, "
+        f"created_at FROM ({_fold()}))"
+    ),
     "upload_stream": _uploads(),
 }

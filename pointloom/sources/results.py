@@ -7,16 +7,21 @@ ask Spark for: ``<output>/results.csv`` and ``<output>/metrics.json``.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pointloom.functions import column
+
 METRICS_SCHEMA = "silhouette_score double"
 
 
 def write_results(df: DataFrame, output: str, file_format: str = "csv") -> str:
-    """Write all columns but the feature vector; returns the folder written."""
+    """Write all columns but feature vectors; returns the folder written."""
     path = f"{output.rstrip('/')}/results.{file_format}"
-    writer = df.drop("features").write.mode("overwrite").format(file_format)
+    vectors = [f.name for f in df.schema.fields if isinstance(f.dataType, VectorUDT)]
+    rows = df.select([column(c) for c in df.columns if c not in vectors]) if vectors else df
+    writer = rows.write.mode("overwrite").format(file_format)
     if file_format == "csv":
         writer = writer.option("header", True)
     writer.save(path)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,18 +28,17 @@ LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, conten
 
 
 def job_id_of(path: str, uploads: str = "") -> str:
-    """The id in an upload named ``<job id>_<name>`` or ``<job id>/<name>`` below the
-    upload folder, else its name without suffix."""
-    folder = f"{_without_scheme(uploads).rstrip('/')}/"
-    inside = _without_scheme(path)
-    if uploads and inside.startswith(folder) and "/" in inside[len(folder):]:
-        return inside[len(folder):].split("/", 1)[0]
-    name = inside.rsplit("/", 1)[-1]
-    head, found, _ = name.partition("_")
-    return head if found and head else name.split(".", 1)[0]
-
-
-def _without_scheme(path: str) -> str:
+    """An id for the file at a path: what its name below the upload folder reads like, and a
+    hash of that name, so that no two files share an id and one file keeps its own."""
+    folder = f"{without_scheme(uploads).rstrip('/')}/"
+    name = without_scheme(path)
+    if uploads and name.startswith(folder):
+        name = name[len(folder) :]
+    readable = re.sub(r"[^A-Za-z0-9.]+", "-", name).strip("-.")[:60]
+    return f"{readable}-{hashlib.sha256(name.encode()).hexdigest()[:16]}"
+
+
+def without_scheme(path: str) -> str:
     return re.sub(r"^\w+:/*", "/", path)
 
 
@@ -51,13 +54,15 @@ def intake(
     ledger_path: str,
     checkpoint: str,
     files_per_batch: int = 1,
+    jobs_at_once: int = 1,
     **job_options,
 ) -> StreamingQuery:
     """Start a query that runs :func:`run_job` once per file and stops when none is left.
 
     Files come in the order of their times; an empty file makes no job. Results go to
     ``<outputs>/<job id>``. A job that fails is recorded with its error and the next one
-    goes on. ``job_options`` are handed to the job (reference point, k, seed, schema).
+    goes on. Up to ``jobs_at_once`` jobs of a batch run at the same time. ``job_options`` are
+    handed to the job (reference point, k, seed, schema).
     """
     listing = (
         spark.readStream.format("binaryFile")
@@ -70,7 +75,10 @@ def intake(
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         arrived = batch.filter("length > 0").orderBy("modificationTime", "path")
-        run_uploads(arrived, batch_id, uploads, outputs, ledger_path, job_options)
+        stream = stream_id(spark, checkpoint)
+        run_uploads(
+            arrived, stream, batch_id, uploads, outputs, ledger_path, job_options, jobs_at_once
+        )
 
     return (
         listing.writeStream.foreachBatch(run_batch)
@@ -80,38 +88,54 @@ def intake(
     )
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a stream with its checkpoint: the same after a restart, another
+    for a new checkpoint, at the old place too."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
 def run_uploads(
     arrived: DataFrame,
+    stream: str,
     batch_id: int,
     uploads: str,
     outputs: str,
     ledger_path: str,
     job_options: dict,
+    jobs_at_once: int = 1,
 ) -> None:
-    """Run the jobs of one batch one after the other, noting each change of state.
+    """Run the jobs of one batch, ``jobs_at_once`` at a time, noting each change of state.
 
-    The end of a job and the beginning of the next are written together, which keeps the
-    ledger at one file per job and one per batch.
+    The end of some jobs and the beginning of the next are written together, which keeps the
+    ledger at one file for each time that jobs begin, and one per batch.
     """
     spark = arrived.sparkSession
     # At most files_per_batch names.
     files = [(job_id_of(f["path"], uploads), f) for f in arrived.collect()]
     changes = [
-        Change(job_id, QUEUED, min(_utc(file["modificationTime"]), _now()))
+        Change(job_id, QUEUED, min(_utc(file["modificationTime"]), _now()), source=file["path"])
         for job_id, file in files
     ]
-    step = 0
-    for job_id, file in files:
-        changes.append(Change(job_id, RUNNING, _now()))
-        step = append_changes(spark, ledger_path, batch_id, step, changes)
+
+    def run(upload) -> Change:
+        job_id, file = upload
         output = f"{outputs.rstrip('/')}/{job_id}"
         try:
             score = run_job(spark, literal_path(file["path"]), output, **job_options).score
-            changes = [Change(job_id, COMPLETED, _now(), output, score)]
+            return Change(job_id, COMPLETED, _now(), output, score, source=file["path"])
         except Exception as error:  # any failure belongs to this job alone
             reason = f"{type(error).__name__}: {error}"
-            changes = [Change(job_id, FAILED, _now(), error=reason)]
-    append_changes(spark, ledger_path, batch_id, step, changes)
+            return Change(job_id, FAILED, _now(), error=reason, source=file["path"])
+
+    step = 0
+    with ThreadPoolExecutor(jobs_at_once) as pool:
+        for at in range(0, len(files), jobs_at_once):
+            some = files[at : at + jobs_at_once]
+            changes += [Change(job_id, RUNNING, _now(), source=f["path"]) for job_id, f in some]
+            step = append_changes(spark, ledger_path, stream, batch_id, step, changes)
+            changes = list(pool.map(inheritable_thread_target(spark)(run), some))
+    append_changes(spark, ledger_path, stream, batch_id, step, changes)
 
 
 def _now() -> datetime:

@@ -28,6 +28,15 @@ def test_config_gives_what_arguments_do_not(spark, write_csv, tmp_path):
     assert not (tmp_path / "unused").exists()
 
 
+def test_format_schema_k_and_seed(spark, tmp_path, capsys):
+    spark.sql("SELECT CAST(id % 4 * 100 AS DOUBLE) AS a, id FROM range(40)").write.parquet(f"{tmp_path}/p")
+    arguments = ["--input", f"{tmp_path}/p", "--output", f"{tmp_path}/out", "--format", "parquet"]
+    assert main([*arguments, "--schema", "a double", "--k", "4", "--seed", "7"]) == 0
+    assert "features: a\n" in capsys.readouterr().out
+    found = read_points(spark, f"{tmp_path}/out/results.csv")
+    assert found.columns == ["a", "cluster"] and found.select("cluster").distinct().count() == 4
+
+
 def test_input_is_needed(write_csv, capsys):
     assert main([]) == 1
     assert "--input" in capsys.readouterr().err

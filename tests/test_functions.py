@@ -36,6 +36,12 @@ def test_antipodes_and_poles_are_defined(spark):
     assert got == pytest.approx([half, half / 2, half / 2])
 
 
+def test_what_is_no_number_stays_so(spark):
+    nan, inf = float("nan"), float("inf")
+    got = distances(spark, [(nan, 1.0), (1.0, nan), (inf, 1.0), (1.0, -inf)], (0.0, 0.0))
+    assert all(math.isnan(d) for d in got)
+
+
 @few
 @given(points=st.lists(st.tuples(lat, lon), min_size=1, max_size=30), ref=st.tuples(lat, lon))
 def test_distance_is_bounded_and_symmetric(spark, points, ref):

@@ -43,66 +43,121 @@ def run(spark, tmp_path):
 
 
 @pytest.mark.parametrize(
-    ("path", "uploads", "job_id"),
+    ("path", "uploads", "readable"),
     [
-        ("file:/u/1f-2a_points.csv", "/u", "1f-2a"),
-        ("s3a://b/u/id_my_points.csv", "s3a://b/u/", "id"),
-        ("/u/part-0001.c000.csv", "/u", "part-0001"),
-        ("/u/_x.csv", "/u", "_x"),
-        ("file:/u/1f-2a/my_points.csv", "/u/", "1f-2a"),
-        ("s3a://b/u/1f/a_b/c.csv", "s3a://b/u", "1f"),
-        ("file:/u/1f/c.csv", "file:///u", "1f"),
-        ("file:/else/where/id_c.csv", "/u", "id"),
+        ("file:/u/1f-2a_points.csv", "/u", "1f-2a-points.csv"),
+        ("s3a://b/u/id_my points.csv", "s3a://b/u/", "id-my-points.csv"),
+        ("file:/u/1f-2a/my_points.csv", "/u/", "1f-2a-my-points.csv"),
+        ("file:/u/1f/c.csv", "file:///u", "1f-c.csv"),
+        ("file:/else/where/c.csv", "/u", "else-where-c.csv"),
     ],
 )
-def test_job_id(path, uploads, job_id):
-    assert job_id_of(path, uploads) == job_id
+def test_job_id_is_readable_and_stable(path, uploads, readable):
+    job_id = job_id_of(path, uploads)
+    assert job_id.rpartition("-")[0] == readable and len(job_id.rpartition("-")[2]) == 16
+    assert job_id == job_id_of(path.replace("file:/", "file:///"), uploads)
+
+
+def test_every_file_has_an_id_of_its_own():
+    names = ["points_a.csv", "points_b.csv", "j/p1.csv", "j/p2.csv", "j-p1.csv", "j_p1.csv", "j p1.csv"]
+    assert len({job_id_of(f"/u/{n}", "/u") for n in names}) == len(names)
+
+
+def uploaded(tmp_path, name):
+    return job_id_of(f"{tmp_path}/uploads/{name}", f"{tmp_path}/uploads")
 
 
 def test_uploads_run_in_order_and_fail_alone(spark, tmp_path, upload, run):
-    upload("j1_bad.csv", "x,y,z\nabc,1,2\n")
-    upload("j2_my points [1].csv", SAMPLE)
+    names = {
+        "j1": "j1_bad.csv", "j2": "j2_my points [1].csv", "j4": "j4_header.csv",
+        "j5": "j5_alike.csv", "j0": "j0_geo.csv",
+    }
+    upload(names["j1"], "x,y,z\nabc,1,2\n")
+    upload(names["j2"], SAMPLE)
     upload("j3_empty.csv", "")
-    upload("j4_header.csv", "x,y,z\n")
-    upload("j5_alike.csv", "x,y,z\n1,1,1\n1,1,1\n")
-    upload("j0_geo.csv", GEO)
+    upload(names["j4"], "x,y,z\n")
+    upload(names["j5"], "x,y,z\n1,1,1\n1,1,1\n")
+    upload(names["j0"], GEO)
+    ids = {job: uploaded(tmp_path, name) for job, name in names.items()}
     ledger = run()
-    order = [(r["job_id"], r["status"]) for r in ledger.orderBy("seq").collect()]
+    order = [(r["job_id"], r["status"]) for r in ledger.orderBy("batch_id", "step", "position").collect()]
     assert order == [
-        (job, status)
+        (ids[job], status)
         for job, end in [
             ("j1", "Failed"), ("j2", "Completed"), ("j4", "Failed"),
             ("j5", "Completed"), ("j0", "Completed"),
         ]
         for status in ("Queued", "Running", end)
     ]
-    jobs = {r["job_id"]: r for r in current_jobs(ledger).collect()}
+    by_id = {r["job_id"]: r for r in current_jobs(ledger).collect()}
+    jobs = {job: by_id[ids[job]] for job in names}
     assert "must be numeric: x" in jobs["j1"]["error"] and jobs["j1"]["result_path"] is None
     assert jobs["j2"]["silhouette_score"] == pytest.approx(SAMPLE_SCORE)
-    assert jobs["j2"]["result_path"] == f"{tmp_path}/outputs/j2"
+    assert jobs["j2"]["result_path"] == f"{tmp_path}/outputs/{ids['j2']}"
     assert jobs["j5"]["silhouette_score"] is None and jobs["j5"]["error"] is None
-    assert read_points(spark, f"{tmp_path}/outputs/j2/results.csv").count() == 9
-    assert read_metrics(spark, f"{tmp_path}/outputs/j0").first()[0] == jobs["j0"]["silhouette_score"]
+    assert read_points(spark, f"{jobs['j2']['result_path']}/results.csv").count() == 9
+    assert read_metrics(spark, jobs["j0"]["result_path"]).first()[0] == jobs["j0"]["silhouette_score"]
+
+
+def test_names_that_begin_alike_never_overwrite(spark, tmp_path, upload, run):
+    for name in ("points_a.csv", "points_b.csv", "j/p1.csv", "j/p2.csv"):
+        upload(name, SAMPLE + "3,3,3,1\n4,4,4,1\n5,5,5,1\n")
+    ledger = run(files_per_batch=2)
+    assert ledger.count() == 12
+    assert len(list((tmp_path / "outputs").iterdir())) == 4
+    labelled = spark.read.option("header", True).csv(f"{tmp_path}/outputs/*/results.csv")
+    assert labelled.count() == 48
+
+
+def test_a_second_checkpoint_adds_to_the_ledger(spark, tmp_path, upload, run):
+    for name in ("a_1.csv", "a_2.csv"):
+        upload(name, SAMPLE)
+    assert run().count() == 6
+    upload("a_3.csv", SAMPLE)
+    query = intake(
+        spark, f"{tmp_path}/uploads", f"{tmp_path}/outputs", f"{tmp_path}/ledger",
+        f"{tmp_path}/progress-2",
+    )
+    query.awaitTermination()
+    ledger = read_ledger(spark, f"{tmp_path}/ledger")
+    assert ledger.select("stream").distinct().count() == 2
+    assert ledger.count() == 6 + 9  # the new one begins with all files
+    assert current_jobs(ledger).count() == 3
 
 
-def test_later_uploads_only(spark, upload, run):
+def test_later_uploads_only(spark, tmp_path, upload, run):
     upload("a_points.csv", SAMPLE)
     run()
     upload("b/my_points.csv", GEO)
     ledger = run(reference=(34.0522, -118.2437))
     assert ledger.count() == 6
     done = current_jobs(ledger).filter("status = 'Completed'").orderBy("job_id")
-    assert [r["job_id"] for r in done.collect()] == ["a", "b"]
+    expected = sorted(uploaded(tmp_path, n) for n in ("a_points.csv", "b/my_points.csv"))
+    assert [r["job_id"] for r in done.collect()] == expected
+
+
+def test_jobs_at_once_end_like_one_after_the_other(spark, tmp_path, upload, run):
+    for i in range(5):
+        upload(f"p_{i}.csv", SAMPLE if i % 2 else "s\nx\n")
+    ledger = run(files_per_batch=5, jobs_at_once=4)
+    assert ledger.count() == 15
+    states = {r["job_id"]: r["status"] for r in current_jobs(ledger).collect()}
+    assert states == {
+        uploaded(tmp_path, f"p_{i}.csv"): "Completed" if i % 2 else "Failed" for i in range(5)
+    }
+    assert ledger.select("step").distinct().count() == 3
+    assert len(list((tmp_path / "outputs").glob("*/results.csv"))) == 2
 
 
-def test_several_files_per_batch_are_queued_first(upload, run):
+def test_several_files_per_batch_are_queued_first(tmp_path, upload, run):
     upload("a_points.csv", SAMPLE)
     upload("b_bad.csv", "s\nx\n")
     ledger = run(files_per_batch=5)
-    order = [(r["job_id"], r["status"]) for r in ledger.orderBy("seq").collect()]
+    order = [(r["job_id"], r["status"]) for r in ledger.orderBy("batch_id", "step", "position").collect()]
+    a, b = (uploaded(tmp_path, n) for n in ("a_points.csv", "b_bad.csv"))
     assert order == [
-        ("a", "Queued"), ("b", "Queued"), ("a", "Running"), ("a", "Completed"),
-        ("b", "Running"), ("b", "Failed"),
+        (a, "Queued"), (b, "Queued"), (a, "Running"), (a, "Completed"),
+        (b, "Running"), (b, "Failed"),
     ]
 
 
@@ -113,9 +168,9 @@ def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path, upload):
     )
     for _ in range(2):
         run_uploads(
-            listing, 7, f"{tmp_path}/uploads", f"{tmp_path}/outputs", f"{tmp_path}/ledger", {}
+            listing, "s", 7, f"{tmp_path}/uploads", f"{tmp_path}/outputs", f"{tmp_path}/ledger", {}
         )
     ledger = read_ledger(spark, f"{tmp_path}/ledger")
     assert ledger.count() == 3
     assert current_jobs(ledger).first()["status"] == "Completed"
-    assert read_points(spark, f"{tmp_path}/outputs/a/results.csv").count() == 9
+    assert read_points(spark, f"{current_jobs(ledger).first()['result_path']}/results.csv").count() == 9

@@ -3,10 +3,11 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SAMPLE, SAMPLE_CENTERS, SAMPLE_SCORE, plan_of
 from pointloom import run_job
-from pointloom.operators import canonical_ids, kmeans
+from pointloom.operators import canonical_ids
 from pointloom.plans import inputs
 from pointloom.session import scratch_dir
 from pointloom.sources import read_metrics, read_points
@@ -43,14 +44,67 @@ def test_a_job_run_again_gives_the_same_centers(spark, sf_dir):
     assert (first.centers, first.score) == (second.centers, second.score)
 
 
-def test_large_inputs_give_the_same_job(spark, sf_dir, monkeypatch):
+def test_shuffled_labels_would_be_noticed(spark, sf_dir):
+    """What the registered query reports of the job tells its labels from others."""
+    from pointloom.plans.catalogue import cluster_lineitem
+
     points = inputs.pts(spark, sf_dir)
-    small = run_job(spark, points)
-    monkeypatch.setattr(kmeans, "VECTOR_ROWS_PER_CORE", 0)
-    large = run_job(spark, points)
-    assert large.centers == [pytest.approx(c, abs=1e-9) for c in small.centers]
-    assert large.score == pytest.approx(small.score, abs=1e-9)
-    assert large.labelled.exceptAll(small.labelled).count() == 0
+    right = {tuple(r) for r in cluster_lineitem(spark, sf_dir).collect()}
+    others = points.withColumn("cluster", (F.col("l_orderkey") % 3).cast("int"))
+    wrong = others.groupBy("cluster").agg(F.count("x"), *[F.round(F.avg(c), 6) for c in "xyz"])
+    assert not {r[:5] for r in right} & {tuple(r) for r in wrong.collect()}
+
+
+def test_more_clusters_than_a_thousand(spark, tmp_path):
+    points = spark.sql("SELECT CAST(id AS DOUBLE) AS a, CAST(id % 7 AS DOUBLE) AS b FROM range(1300)")
+    start = [[float(i), float(i % 7)] for i in range(1100)]
+    job = run_job(spark, points, f"{tmp_path}/out", start=start, max_iterations=1)
+    assert len(job.centers) == 1100 and -1 <= job.score <= 1
+    assert read_metrics(spark, f"{tmp_path}/out").first()[0] == job.score
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "x,y,z\n1,2,3\nInfinity,1,1\n4,5,6\n",
+        "lat,lon\n1,2\n-Infinity,1\n4,5\n",
+        "lat,lon\n1,2\n3,Infinity\n4,5\n",
+        "a,b\n1,2\n-Infinity,1\n4,5\n",
+    ],
+)
+def test_infinite_coordinates_are_refused(spark, write_csv, tmp_path, text):
+    names = text.split("\n")[0].split(",")
+    schema = ", ".join(f"{n} double" for n in names)
+    text = text.replace("Infinity", "Inf") if "a,b" not in text else text
+    with pytest.raises(ValueError, match="infinite coordinates"):
+        run_job(spark, write_csv(text), f"{tmp_path}/out", schema=schema)
+    assert not Path(f"{tmp_path}/out").exists()
+
+
+def test_reserved_names_count_as_the_session_compares_them(spark, write_csv):
+    for name in ("Features", "CLUSTER", "cluster"):
+        with pytest.raises(ValueError, match=f"already has columns named {name}"):
+            run_job(spark, write_csv(f"x,y,z,{name}\n1,2,3,4\n"))
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        text = "x,y,z,Features,Cluster\n1,2,3,4,77\n5,5,5,5,77\n9,9,9,9,77\n"
+        job = run_job(spark, write_csv(text))
+        assert job.labelled.columns[3:] == ["Features", "Cluster", "magnitude", "cluster"]
+        assert {r["Cluster"] for r in job.labelled.collect()} == {77}
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_metrics_are_written_last(spark, sample, tmp_path, monkeypatch):
+    from pointloom.plans import cluster_job
+
+    def fail(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(cluster_job, "write_results", fail)
+    with pytest.raises(OSError, match="disk full"):
+        run_job(spark, sample, f"{tmp_path}/out")
+    assert not Path(f"{tmp_path}/out").exists()
 
 
 def test_geo_points(spark, write_csv):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from conftest import SAMPLE_CENTERS, plan_of
@@ -12,12 +13,10 @@ from pointloom.operators import (
     choose_features,
     cluster_points,
     fit_kmeans,
-    kmeans,
     lloyd_steps,
     staged,
     update_centers,
 )
-from pointloom.operators.kmeans import balance
 from pointloom.plans import inputs
 from pointloom.sources import read_points
 
@@ -35,14 +34,14 @@ def test_sample_groups_do_not_depend_on_splits(spark, sample, splits):
     assert len(rows) == 9 and len(rows[0]["features"]) == 5
 
 
-@pytest.mark.parametrize("vector_rows", [10**9, 0])
-def test_centers_and_labels_are_those_of_mllib(spark, monkeypatch, vector_rows):
-    """Overlapping groups, so that the whole path of 20 updates counts; both ways to fit."""
-    monkeypatch.setattr(kmeans, "VECTOR_ROWS_PER_CORE", vector_rows)
+@pytest.mark.parametrize("splits", [None, 5])
+def test_centers_and_labels_are_those_of_mllib(spark, splits):
+    """Overlapping groups, so that the whole path of 20 updates counts."""
     points = inputs.pts(spark, "/root/testdata/sf0.01")
     points = add_features(points, choose_features(points))
-    with staged(points, CLOUD) as kept:
-        model = kmeans.KMeans(k=3, seed=1).fit(assemble(kept, CLOUD))
+    with staged(points, CLOUD, splits) as kept:
+        assert splits is None or kept.rdd.getNumPartitions() == splits
+        model = KMeans(k=3, seed=1).fit(assemble(kept, CLOUD))
         centers = fit_kmeans(kept, CLOUD)
         assert centers == [pytest.approx(list(c), abs=1e-9) for c in model.clusterCenters()]
         labelled = assign_nearest(model.transform(assemble(kept, CLOUD)), CLOUD, centers)
@@ -69,10 +68,8 @@ def test_labelling_is_a_projection_in_the_scan_stage(spark, sf_dir):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,l_extendedprice" in plan
 
 
-@pytest.mark.parametrize("vector_rows", [10**9, 0])
 @pytest.mark.parametrize(("values", "found"), [([1.0] * 5, 1), ([1.0, 1.0, 9.0], 2)])
-def test_fewer_distinct_points_than_clusters(spark, monkeypatch, values, found, vector_rows):
-    monkeypatch.setattr(kmeans, "VECTOR_ROWS_PER_CORE", vector_rows)
+def test_fewer_distinct_points_than_clusters(spark, values, found):
     df = spark.createDataFrame([(v,) for v in values], "a double")
     assert sorted(fit_kmeans(df, ["a"])) == [[v] for v in sorted(set(values))][:found]
 
@@ -105,14 +102,32 @@ def test_one_hot_group_is_combined_before_the_shuffle(spark):
     assert labelled.filter("x = 1.0").select("cluster").distinct().count() == 1
 
 
-def test_balance(spark, monkeypatch):
-    cores = spark.sparkContext.defaultParallelism
-    spread = balance(spark.range(1000).coalesce(1))
-    assert spread.rdd.getNumPartitions() == cores and spread.columns == ["id"]
-    parts = [[r["id"] for r in part] for part in spread.rdd.glom().collect()]
-    assert all(part == sorted(part) and 150 < len(part) < 350 for part in parts)
-    assert sorted(i for part in parts for i in part) == list(range(1000))
-    assert balance(spark.range(0, 100, 1, 32)).rdd.getNumPartitions() == 32
-    monkeypatch.setattr(kmeans, "MAX_FIT_SPLITS", 16)
-    packed = balance(spark.range(0, 100, 1, 32))
-    assert packed.rdd.getNumPartitions() == 16 and "Exchange" not in plan_of(packed)
+def test_given_start_takes_the_place_of_the_seed(spark):
+    df = spark.sql("SELECT CAST(id AS DOUBLE) AS x FROM range(4)")
+    assert fit_kmeans(df, ["x"], start=[[0.0], [3.0]]) == [[0.5], [2.5]]
+    once = fit_kmeans(df, ["x"], start=[[0.0], [1.0]], max_iterations=1, tolerance=None)
+    assert once == [[0.0], [2.0]]
+
+
+def test_nothing_but_arguments_chooses_the_way_to_fit():
+    """No constant of the module is a number of rows, cores or splits."""
+    from pointloom.operators import kmeans
+
+    numbers = {n for n, v in vars(kmeans).items() if n.isupper() and isinstance(v, (int, float))}
+    assert numbers == {"MAX_ITERATIONS", "TOLERANCE"}
+
+
+def test_staging_runs_no_job(spark):
+    spark.sparkContext.setJobGroup("staging", "staging")
+    shuffled = spark.range(100).groupBy((F.col("id") % 7).alias("x")).count()
+    with staged(shuffled, ["x"], 3) as points:
+        jobs = list(spark.sparkContext.statusTracker().getJobIdsForGroup("staging"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert jobs == [] and points.count() == 7
+
+
+@pytest.mark.parametrize("value", [float("inf"), float("-inf"), float("nan")])
+def test_no_distance_can_be_taken(spark, value):
+    df = spark.createDataFrame([(1.0, 2.0), (value, 1.0), (3.0, 1.0)], "a double, b double")
+    with pytest.raises(ValueError, match="infinite coordinates"):
+        fit_kmeans(df, ["a", "b"])

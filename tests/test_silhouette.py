@@ -86,7 +86,11 @@ def test_other_label_types_and_names(spark):
     assert silhouette(df, ["a.b"], "my label") == pytest.approx(2 / 3)
 
 
-def test_number_of_clusters_is_bounded(spark):
-    df = spark.sql("SELECT id AS cluster, CAST(id AS DOUBLE) AS a FROM range(1001)")
-    with pytest.raises(ValueError, match="more than 1000 clusters"):
-        silhouette(df, ["a"])
+def test_any_number_of_clusters(spark):
+    df = spark.sql(
+        "SELECT CAST(id % 1500 AS INT) AS cluster, CAST(id % 1500 AS DOUBLE) * 3 + id % 7 AS a, "
+        "CAST(id % 11 AS DOUBLE) AS b FROM range(5000)"
+    )
+    evaluator = ClusteringEvaluator(predictionCol="cluster")
+    expected = evaluator.evaluate(assemble(df, ["a", "b"]))
+    assert silhouette(df, ["a", "b"]) == pytest.approx(expected, abs=1e-9)

@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from pointloom.operators import assemble
 from pointloom.sources import preview, read_metrics, read_points, write_metrics, write_results
 
 
@@ -47,7 +48,7 @@ def test_parquet_scan_and_folder_of_files(spark, tmp_path):
 
 
 def test_results_are_written_by_the_executors(spark, tmp_path):
-    df = spark.range(0, 100, 1, 4).selectExpr("id", "id / 3 AS a", "array(id) AS features")
+    df = assemble(spark.range(0, 100, 1, 4).selectExpr("id", "id / 3 AS a"), ["a"])
     path = write_results(df, f"{tmp_path}/fresh/out")
     assert len(list(Path(path).glob("part-*.csv"))) == 4
     back = read_points(spark, path)
@@ -57,6 +58,11 @@ def test_results_are_written_by_the_executors(spark, tmp_path):
     assert read_points(spark, path).count() == 5
 
 
+def test_only_vectors_are_left_out_of_results(spark, tmp_path):
+    df = assemble(spark.sql("SELECT 1 AS Features, 2 AS b, 3 AS `a.b`"), ["b"], "v")
+    assert read_points(spark, write_results(df, str(tmp_path))).columns == ["Features", "b", "a.b"]
+
+
 def test_results_without_rows_keep_their_header(spark, tmp_path):
     path = write_results(spark.range(0).selectExpr("id", "1 AS cluster"), str(tmp_path))
     assert read_points(spark, path).columns == ["id", "cluster"]
