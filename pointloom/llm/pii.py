@@ -67,11 +67,13 @@ _WORD = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
 _OPEN, _SHUT = r"\s?[\[({<]\s?", r"\s?[\])}>]\s?"
 _PLAIN_DOT = r"\s{1,3}(?:dot|punto|point|punkt)\s{1,3}"
 _DOT = rf"(?:{_OPEN}(?:dot|punto|point|punkt|\.){_SHUT}|{_PLAIN_DOT})"
+_HOST = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _DISGUISE = re.compile(
     rf"(?P<digits>(?<!\w){_WORD}(?:[\s,-]{{1,3}}{_WORD})+(?!\w))"
     rf"|(?P<at>{_OPEN}(?:at|a|arroba|@){_SHUT}"
-    rf"|(?<=\w)\s{{1,3}}(?:at|arroba)\s{{1,3}}(?=[A-Za-z0-9-]+{_DOT}[A-Za-z0-9]))"
-    rf"|(?P<dot>(?<=\w){_DOT}(?=\w))"
+    rf"|(?<=\w)\s{{1,3}}(?:at|arroba)\s{{1,3}}(?=[A-Za-z0-9-]+{_DOT}[A-Za-z0-9])|&(?:\#0*64|\#x40|commat);|%40)"
+    rf"|(?P<bare>(?<=\w)\s{{1,3}}at\s{{1,3}}(?={_HOST}))"
+    rf"|(?P<dot>(?<=\w){_DOT}(?=\w)|&(?:\#0*46|\#x2e|period);|%2e)"
     rf"|(?P<plus>(?<!\w)plus\s{{1,3}}(?={_WORD}[\s,-]))"
     r"|(?P<letter>(?<=[0-9])[OoIl](?=[0-9]))",
     re.IGNORECASE,
@@ -84,6 +86,8 @@ _SPELLED = frozenset(word.encode() for word in _DIGIT_OF)
 _DOTS = frozenset((b"dot", b"punto", b"point", b"punkt"))
 _BRACKETED = re.compile(rf"{_OPEN[3:]}(?:at|a|arroba|@|dot|punto|point|punkt|\.)\s?[\])}}>]", re.I)
 _LETTER = re.compile(r"[0-9][OoIl][0-9]")
+_BARE = re.compile(r"(?i:at)\s{1,3}[A-Za-z0-9-]+\.[A-Za-z0-9]")
+_CODED = re.compile(r"&(?:\#|commat|period)|%40|%2e", re.I)
 
 
 class Output(NamedTuple):
@@ -133,10 +137,18 @@ def _rewritten(text: str, pattern: re.Pattern, replace) -> Output | None:
     return tape.output()
 
 
+_LAST_WORD = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_NOT_PLAIN = re.compile(r"[0-9_.+%]")
+
+
 def _undisguised(match: re.Match) -> str:
     kind, found = match.lastgroup, match.group()
     if kind == "digits":
         return "".join(_DIGIT_OF[w.lower()] for w in re.findall(r"\w+", found))
+    if kind == "bare":
+        # Before a host without disguise "at" is a word, unless no plain word comes before it.
+        word = _LAST_WORD.search(match.string, max(0, match.start() - 64), match.start())
+        return "@" if word and _NOT_PLAIN.search(word.group()) else found
     if kind == "letter":
         return "0" if found in "Oo" else "1"
     return {"at": "@", "dot": ".", "plus": "+"}[kind]
@@ -144,14 +156,15 @@ def _undisguised(match: re.Match) -> str:
 
 def may_be_disguised(text: str) -> bool:
     """False only where the disguises have no match: no two spelled digits side by side, no
-    dot as a word, no bracketed at or dot, no letter between digits."""
+    dot as a word, no bracketed or coded at or dot, no host after at, no letter between
+    digits."""
     lower = text.lower()
     if not lower.isascii() and any(c > "\x7f" and not c.isalnum() for c in set(lower)):
         lower = _PARTING.sub(" ", lower)
     words = lower.encode().translate(_ASCII_PARTING).split()
     if b"\1\1" in bytes(map(_SPELLED.__contains__, words)) or not _DOTS.isdisjoint(words):
         return True
-    return bool(_BRACKETED.search(text) or _LETTER.search(text))
+    return any(p.search(text) for p in (_BRACKETED, _LETTER, _BARE, _CODED))
 
 
 def normalise(text: str) -> list[Output]:

@@ -66,6 +66,9 @@ def test_base_personal_data_equals_plain_patterns():
         ("host １９２.168.0.1!", "ip", "１９２.168.0.1"),
         ("eins neun zwei dot eins sechs dot one two dot 7", "ip",
          "eins neun zwei dot eins sechs dot one two dot 7"),
+        ("to john.doe at mail.example.com please", "email", "john.doe at mail.example.com"),
+        ("jd7&#64;example&#46;org", "email", "jd7&#64;example&#46;org"),
+        ("JOHN DOE7 AT EXAMPLE DOT COM", "email", "DOE7 AT EXAMPLE DOT COM"),
         ("no 4111 1111 1111 11l1 here", "card", "4111 1111 1111 11l1"),
     ],
 )
@@ -77,14 +80,14 @@ def test_disguises_are_found_where_they_stand(text, kind, source):
 
 
 def test_plain_prose_has_no_disguise():
-    text = "We met at noon. The dot at the end, one of two, costs 3 dollars. " * 20
+    text = "We met at noon. The dot at the end, one of two, costs 3 dollars at shop.com. " * 20
     assert pii.find_disguised(text, pii.find(text)) == []
 
 
 def test_quick_test_never_hides_a_disguise():
     rng = random.Random(6)
     parts = ["one", "two-three", "five", " ", "at", "(at)", "[ dot ]", "dot", "foo", "1O1", "plus",
-             "un", "uno", ",", "“six", "_five", "éone", "null,null"]
+             "un", "uno", ",", "at x.y", "&#64;", "&commat;", "%40", "a.b", "“six", "_five", "éone", "null,null"]
     for _ in range(5000):
         text = " ".join(rng.choice(parts) for _ in range(rng.randrange(8)))
         if not pii.may_be_disguised(text):
