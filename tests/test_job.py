@@ -25,6 +25,19 @@ def test_point_cloud(spark, sample, tmp_path):
     assert read_metrics(spark, f"{tmp_path}/fresh/out").first()[0] == job.score
 
 
+def test_any_uri_that_spark_reads_and_writes(spark, tmp_path):
+    """A file system that only Spark knows: plain file calls would not find these paths."""
+    spark._jsc.hadoopConfiguration().set(
+        "fs.viewfs.mounttable.store.link./data", f"file://{tmp_path}"
+    )
+    (tmp_path / "points.csv").write_text(SAMPLE)
+    job = run_job(spark, "viewfs://store/data/points.csv", "viewfs://store/data/out")
+    written = read_points(spark, "viewfs://store/data/out/results.csv")
+    assert sorted(written.collect()) == sorted(job.labelled.collect())
+    assert read_metrics(spark, "viewfs://store/data/out").first()[0] == pytest.approx(SAMPLE_SCORE)
+    assert read_metrics(spark, f"{tmp_path}/out").first()[0] == job.score
+
+
 def test_without_output_nothing_is_written(spark, sample, tmp_path):
     run_job(spark, sample)
     assert [p.name for p in tmp_path.iterdir()] == ["sample.csv"]
