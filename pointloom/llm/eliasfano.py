@@ -8,7 +8,7 @@ import numpy as np
 from pyarrow import fs
 
 _BYTES = np.arange(256, dtype=np.uint8)
-_ONES = np.bitwise_count(_BYTES).astype(np.int64)
+_ONES = np.bitwise_count(_BYTES)
 # Place of the r-th set bit of a byte, from the low end.
 _SELECT = np.zeros((256, 8), np.int64)
 for _byte in range(256):
@@ -19,14 +19,18 @@ for _byte in range(256):
 def _select(words: np.ndarray, before: np.ndarray, which: np.ndarray) -> np.ndarray:
     """Place of the bits number ``which`` that are set in ``words``; ``before`` counts those
     set ahead of each word."""
-    word = np.searchsorted(before, which, "right") - 1
-    left = which - before[word].astype(np.int64)
+    word = np.searchsorted(before, which.astype(before.dtype), "right") - 1
+    left = (which - before[word].astype(np.int64)).astype(np.uint8)
     parts = np.ascontiguousarray(words[word]).view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_ONES[parts], axis=1)
-    byte = (upto <= left[:, None]).sum(1)
-    at = np.arange(len(byte))
-    left -= np.where(byte > 0, upto[at, np.maximum(byte - 1, 0)], 0)
-    return 64 * word + 8 * byte + _SELECT[parts[at, byte], left]
+    # Column by column: the byte in which the bit lies, and what is set before it.
+    upto, byte = np.zeros(len(word), np.uint8), np.zeros(len(word), np.int64)
+    passed = np.zeros(len(word), np.uint8)
+    for i in range(7):
+        upto = upto + _ONES[parts[:, i]]
+        beyond = upto <= left
+        byte += beyond
+        passed = np.where(beyond, upto, passed)
+    return 64 * word + 8 * byte + _SELECT[parts[np.arange(len(byte)), byte], left - passed]
 
 
 def encode(values: np.ndarray) -> dict[str, np.ndarray]:

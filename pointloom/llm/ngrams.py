@@ -31,7 +31,7 @@ ORDER, LEAST_COUNT, DISCOUNT = 2, 2, 0.75
 # Probabilities are kept as this many steps to a power of ten, in one byte.
 STEPS = 20
 # Tokens that a task looks at together, and n-grams of a segment file.
-CHUNK_TOKENS, SEGMENT_ROWS = 3 << 20, 1 << 20
+CHUNK_TOKENS, SEGMENT_ROWS = 1 << 20, 1 << 20
 
 SEED = 42
 _END = xxhash.xxh64_intdigest(b" end of text ", SEED)
@@ -179,15 +179,18 @@ class Reader:
         routes = self.routes(parents[asked], children[asked])
         for at, some in self._by_segment(routes):
             rows, segment = asked[some], self.segment(at)
-            group, found = segment["parents"].find(parents[rows])
-            rows, group = rows[found], group[found]
+            distinct, which = np.unique(parents[rows], return_inverse=True)
+            group, found = segment["parents"].find(distinct)
+            group = np.where(found, group, 0)
             begin = segment["pointers"].access(group).astype(np.int64)
             end = segment["pointers"].access(group + 1).astype(np.int64)
             # Children go on rising over parents: they are counted on from the one before.
             before = segment["children"].access(np.maximum(begin - 1, 0))
             offset = np.where(begin > 0, before + np.uint64(1), np.uint64(0))
-            place, found = segment["children"].find(children[rows].astype(np.uint64) + offset)
-            found &= (place >= begin) & (place < end)
+            rows, which = rows[found[which]], which[found[which]]
+            asked_for = children[rows].astype(np.uint64) + offset[which]
+            place, found = segment["children"].find(asked_for)
+            found &= (place >= begin[which]) & (place < end[which])
             number[rows[found]] = self.level.segments[at].base + place[found]
             value[rows[found]] = segment["values"][place[found]]
         return number, value
