@@ -270,6 +270,20 @@ def ledger_list_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_jobs(recorded_runs(changes, inputs.CHANGE_ORDER))
 
 
+def planted_labels(labelled: DataFrame) -> DataFrame:
+    """For each planted group of a job how many labels it has, and whether no two groups of the
+    job have the same: one label everywhere, or groups that ran together, show."""
+    groups = labelled.groupBy("job_id", "planted").agg(
+        F.count(F.lit(1)).alias("n_labelled"),
+        F.count_distinct("cluster").alias("n_labels"),
+        F.min("cluster").alias("label"),
+    )
+    apart = groups.groupBy("job_id").agg(
+        (F.count_distinct("label") == F.count(F.lit(1))).alias("apart")
+    )
+    return groups.join(apart, "job_id")
+
+
 def upload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four tables dropped as files, each file clustered as its own job, four at a time.
 
@@ -314,14 +328,6 @@ def upload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{outputs}/*/results.csv",
         "source string, key bigint, x double, y double, z double, magnitude double, cluster int",
     ).withColumn("job_id", F.regexp_extract("file", "/outputs/([^/]+)/results.csv/", 1))
-    groups = labelled.groupBy("job_id", "planted").agg(
-        F.count(F.lit(1)).alias("n_labelled"),
-        F.count_distinct("cluster").alias("n_labels"),
-        F.min("cluster").alias("label"),
-    )
-    apart = groups.groupBy("job_id").agg(
-        (F.count_distinct("label") == F.count(F.lit(1))).alias("apart")
-    )
     recorded = read_ledger(spark, ledger)
     files = recorded.select("job_id", plain(F.col("source")).alias("file")).distinct()
     jobs = current_jobs(recorded).select(
@@ -330,8 +336,7 @@ def upload_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         uploaded.join(files, "file", "left")
         .join(jobs, "job_id", "left")
-        .join(groups, ["job_id", "planted"], "left")
-        .join(apart, "job_id", "left")
+        .join(planted_labels(labelled), ["job_id", "planted"], "left")
         .groupBy("source", "planted", "status", "scored")
         .agg(
             F.sum("n_uploaded").alias("n_uploaded"),

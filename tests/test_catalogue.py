@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF_DIR, plan_of
-from pointloom.plans.catalogue import QUERIES
+from pointloom.plans.catalogue import QUERIES, planted_labels
 from pointloom.plans.oracles import ORACLES
 
 
@@ -48,6 +48,19 @@ def test_query_equals_its_sql(spark, duck, name):
     assert canonical(df.collect(), df.columns) == canonical(expected, names)
 
 
+@pytest.mark.parametrize(
+    ("label", "labels", "apart"),
+    [("planted", 1, True), ("0", 1, False), ("planted % 2", 1, False), ("key % 5", 5, False)],
+)
+def test_wrong_labels_of_uploads_show(spark, label, labels, apart):
+    rows = spark.sql(
+        f"SELECT 'j' AS job_id, planted, {label} AS cluster FROM "
+        "(SELECT id AS key, id % 3 AS planted FROM range(90))"
+    )
+    found = planted_labels(rows).collect()
+    assert {(r["n_labels"], r["apart"]) for r in found} == {(labels, apart)}
+
+
 @pytest.mark.parametrize(
     "name",
     [
