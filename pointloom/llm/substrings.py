@@ -30,7 +30,7 @@ WINDOW = 35
 # Every difference modulo the period is one of two of these.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 # Words that a task looks at together; repeats among them are told without a shuffle.
-CHUNK_WORDS = 3 << 20
+CHUNK_WORDS = 1 << 20
 # Rows of answers that are sorted together.
 ANSWERS = 1 << 19
 
