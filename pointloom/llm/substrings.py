@@ -7,7 +7,7 @@ around anchors that occur twice are windows hashed and counted, which extends th
 and makes the result exact.
 
 Hashes are shuffled, texts are not: tasks read the documents again and find what was told about
-the rows of their files in the shared folder.
+their rows in the shared folder.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointloom.llm.common import by_task, folder_of, pick, scratch_dir, utf8, written
@@ -33,6 +33,8 @@ PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 CHUNK_WORDS = 1 << 20
 # Rows of answers that are sorted together.
 ANSWERS = 1 << 19
+# Answers about 2 ** BLOCK_BITS rows of a file are in one part; parts for each shuffle partition.
+BLOCK_BITS, PARTS_PER_SHUFFLE = 12, 4
 
 SEED = 42
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -63,20 +65,21 @@ def rolling(values: np.ndarray, size: int, base: np.uint64 = _BASE) -> np.ndarra
 
 class Chunk(NamedTuple):
     """Documents end to end: word hashes, and for each document where it begins, its length,
-    its file and its row there."""
+    its file, its row there, and the part that answers about it are in."""
 
     words: np.ndarray
     begins: np.ndarray
     lengths: np.ndarray
     files: np.ndarray
     rows: np.ndarray
+    parts: np.ndarray
 
 
 def chunks(batches: Iterator[pa.RecordBatch], wanted=None) -> Iterator[Chunk]:
     """Chunks of the documents of at least one window; ``wanted`` may leave some out."""
     numbers: dict[bytes, int] = {}
     tokens: list[np.ndarray] = []
-    places: list[tuple[int, int]] = []
+    places: list[tuple[int, int, int]] = []
     size = 0
 
     def chunk() -> Chunk:
@@ -84,14 +87,13 @@ def chunks(batches: Iterator[pa.RecordBatch], wanted=None) -> Iterator[Chunk]:
             (xxhash.xxh64_intdigest(w, SEED) for w in numbers), np.uint64, len(numbers)
         )
         lengths = np.array([len(t) for t in tokens], np.int64)
-        files, rows = np.array(places, np.int64).reshape(-1, 2).T
         begins = np.cumsum(lengths) - lengths
-        return Chunk(hashes[np.concatenate(tokens)], begins, lengths, files, rows)
+        return Chunk(hashes[np.concatenate(tokens)], begins, lengths, *np.array(places, np.int64).T)
 
     for batch in batches:
-        columns = [batch[c].to_pylist() for c in ("file", "row", "text")]
-        for file, row, text in zip(*columns):
-            if wanted and not wanted(file, row):
+        columns = [batch[c].to_pylist() for c in ("file", "row", "part", "text")]
+        for *place, text in zip(*columns):
+            if wanted and not wanted(*place):
                 continue
             words = text.split()
             if len(words) < WINDOW:
@@ -100,7 +102,7 @@ def chunks(batches: Iterator[pa.RecordBatch], wanted=None) -> Iterator[Chunk]:
                 (numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words)
             )
             tokens.append(found)
-            places.append((file, row))
+            places.append(place)
             size += len(words)
             if size >= CHUNK_WORDS:
                 yield chunk()
@@ -189,42 +191,49 @@ def _answered(messages: DataFrame) -> DataFrame:
     return by_task(dealt, "file long, row long, start int, span int", convert)
 
 
-def _by_file(answers: DataFrame, purpose: str) -> str:
-    """Write answers where tasks find those for a file of documents."""
+def _part(parts: int) -> Column:
+    """Where answers about a document are: neighbours in a file share a part."""
+    block = F.shiftright("row", BLOCK_BITS)
+    return F.pmod(F.xxhash64("file", block), F.lit(parts)).cast("int").alias("part")
+
+
+def _by_part(answers: DataFrame, parts: int, purpose: str) -> str:
+    """Write answers where the tasks that read the documents find them."""
     path = scratch_dir(answers.sparkSession, purpose)
-    dealt = answers.repartition("file").sortWithinPartitions("file", "row", "start")
-    dealt.write.partitionBy("file").parquet(path)
+    dealt = answers.withColumn("part", _part(parts)).repartition("part")
+    ordered = dealt.sortWithinPartitions("part", "file", "row", "start")
+    ordered.write.partitionBy("part").parquet(path)
     return path
 
 
 class Answers:
-    """Answers for rows of the file that a task is reading."""
+    """Answers of the part that a task is at."""
 
     def __init__(self, path: str) -> None:
         self.system, self.base = folder_of(path)
-        self.file: int | None = None
+        self.part: int | None = None
 
-    def _open(self, file: int) -> None:
-        folder = fs.FileSelector(f"{self.base}/file={file}", allow_not_found=True)
-        parts = []
+    def _open(self, part: int) -> None:
+        folder = fs.FileSelector(f"{self.base}/part={part}", allow_not_found=True)
+        tables = []
         for info in self.system.get_file_info(folder):
             if info.path.endswith(".parquet"):
                 with self.system.open_input_file(info.path) as opened:
-                    parts.append(pq.read_table(opened, columns=["row", "start", "span"]))
-        table = pa.concat_tables(parts) if parts else None
+                    tables.append(pq.ParquetFile(opened).read())
         columns = [
-            table[c].to_numpy().astype(np.int64) if parts else np.zeros(0, np.int64)
-            for c in ("row", "start", "span")
+            np.concatenate([t[c].to_numpy().astype(np.int64) for t in tables] or [np.zeros(0, np.int64)])
+            for c in ("file", "row", "start", "span")
         ]
-        order = np.argsort(columns[0], kind="stable")
-        self.rows, self.starts, self.spans = (c[order] for c in columns)
-        self.file = file
+        order = np.lexsort(columns[1::-1])
+        self.files, self.rows, self.starts, self.spans = (c[order] for c in columns)
+        self.part = part
 
-    def of(self, file: int, row: int) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, file: int, row: int, part: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and spans told about a row."""
-        if file != self.file:
-            self._open(file)
-        a, b = np.searchsorted(self.rows, (row, row + 1))
+        if part != self.part:
+            self._open(part)
+        low, high = np.searchsorted(self.files, file), np.searchsorted(self.files, file, "right")
+        a, b = low + np.searchsorted(self.rows[low:high], (row, row + 1))
         return self.starts[a:b], self.spans[a:b]
 
 
@@ -264,9 +273,9 @@ def _candidates(starts: np.ndarray, spans: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(_covered(low[good], high[good], last + 1))
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``file``, ``row``, ``text`` of every document: a file is told by the hash of its
-    path. What is no plain scan of Parquet files is written first."""
+def located(docs: DataFrame, parts: int) -> DataFrame:
+    """``doc_id``, ``file``, ``row``, ``part``, ``text`` of every document: a file is told by the
+    hash of its path. What is no plain scan of Parquet files is written first."""
     names = ("doc_id", "text")
     try:
         marked = docs.select(
@@ -281,7 +290,7 @@ def located(docs: DataFrame) -> DataFrame:
         F.xxhash64("file_path").alias("file"),
         F.col("row_index").cast("long").alias("row"),
         utf8("text"),
-    )
+    ).select("doc_id", "file", "row", _part(parts), "text")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -293,18 +302,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     all that is in a window. Extra columns are not read; no documents give no rows. Windows are
     told apart by 94 bits of hash.
     """
-    texts = located(docs)
-    by_row = texts.select("file", "row", "text")
-    anchors = _by_file(_answered(by_task(by_row, MESSAGE, _anchors)), "anchors")
+    parts = PARTS_PER_SHUFFLE * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = located(docs, parts)
+    by_row = texts.select("file", "row", "part", "text")
+    anchors = _by_part(_answered(by_task(by_row, MESSAGE, _anchors)), parts, "anchors")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         told = Answers(anchors)
-        for chunk in chunks(batches, lambda file, row: len(told.of(file, row)[0])):
+        for chunk in chunks(batches, lambda *place: len(told.of(*place)[0])):
             starts, docs = [], []
-            for d, (file, row, size) in enumerate(
-                zip(chunk.files.tolist(), chunk.rows.tolist(), chunk.lengths.tolist())
-            ):
-                found = _candidates(*told.of(file, row), size)
+            places = zip(*(x.tolist() for x in (chunk.files, chunk.rows, chunk.parts, chunk.lengths)))
+            for d, (*place, size) in enumerate(places):
+                found = _candidates(*told.of(*place), size)
                 starts.append(found)
                 docs.append(np.full(len(found), d))
             start, doc = np.concatenate(starts), np.concatenate(docs)
@@ -313,16 +322,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             check = rolling(chunk.words ^ (chunk.words >> np.uint64(29)), WINDOW, _CHECK_BASE)[at]
             yield _messages(chunk, h, (check >> np.uint64(34)).astype(np.int64), doc, start)
 
-    repeats = _by_file(_answered(by_task(by_row, MESSAGE, windows)), "windows")
+    repeats = _by_part(_answered(by_task(by_row, MESSAGE, windows)), parts, "windows")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         told = Answers(repeats)
         for batch in batches:
             n_words, n_removed, left = [], [], []
-            columns = [batch[c].to_pylist() for c in ("file", "row", "text")]
-            for file, row, text in zip(*columns):
+            columns = [batch[c].to_pylist() for c in ("file", "row", "part", "text")]
+            for *place, text in zip(*columns):
                 words = text.split()
-                starts, spans = told.of(file, row)
+                starts, spans = told.of(*place)
                 n_words.append(len(words))
                 if len(starts):
                     gone = _covered(starts, starts + spans + WINDOW - 1, len(words))

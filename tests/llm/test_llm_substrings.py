@@ -59,7 +59,7 @@ def test_rolling_hash_is_that_of_the_run():
 def test_messages_tell_repeats_of_a_chunk_once():
     chunk = substrings.Chunk(
         np.zeros(0, np.uint64), np.zeros(3, np.int64), np.full(3, 9), np.array([7, 7, 7]),
-        np.array([0, 1, 2]),
+        np.array([0, 1, 2]), np.zeros(3, np.int64),
     )
     h = np.array([5, 6, 6, 5, 5, 8], np.uint64)
     doc, start = np.array([0, 0, 0, 1, 1, 2]), np.array([0, 1, 2, 0, 1, 0])
