@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pointloom.llm.common import by_task, folder_of, pick, scratch_dir, utf8, written
 from pointloom.llm.eliasfano import EliasFano, load, named, part, save
 
-ORDER, LEAST_COUNT, DISCOUNT = 2, 2, 0.75
+ORDER, LEAST_COUNT, DISCOUNT = 3, 2, 0.75
 # Probabilities are kept as this many steps to a power of ten, in one byte.
 STEPS = 20
 # Tokens that a task looks at together, and n-grams of a segment file.

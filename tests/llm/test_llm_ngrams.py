@@ -6,9 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from corpus_cases import clean, lower, rows, table
+from corpus_cases import SCHEMA, clean, lower, rows, table
 
 from pointloom.llm import ngrams
+from pointloom.llm.catalogue import QUERIES
 from pointloom.llm.eliasfano import EliasFano, encode
 
 
@@ -102,6 +103,20 @@ def test_model_beats_words_alone_on_held_out_text(spark, sf_dir):
     assert row["score"] > row["base"]
 
 
+def queried(spark, made, folder):
+    spark.createDataFrame(made, SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    return QUERIES["op4_ngrams"](spark, str(folder))
+
+
+def test_query_looks_at_more_than_one_word_before(spark, tmp_path):
+    learned = [i for i in range(100) if Plain.learned(i)][:40]
+    held_out = [i for i in range(100) if not Plain.learned(i)][:2]
+    made = [(i, "a x b" if n % 2 else "c x d", "en", "s", 5) for n, i in enumerate(learned)]
+    made += [(i, text, "en", "s", 5) for i, text in zip(held_out, ("a x b", "a x d"))]
+    score = {r["doc_id"]: r["score"] for r in queried(spark, made, tmp_path).collect()}
+    assert score[held_out[0]] > score[held_out[1]] + 0.5
+
+
 @pytest.mark.parametrize("top", [1, 5, 100, 10**6, 2**40, 2**63, 2**64 - 1])
 @pytest.mark.parametrize("n", [0, 1, 2, 70, 3000])
 def test_sequence_finds_and_returns_values(top, n):
