@@ -46,8 +46,9 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By all n-grams of the training fold, those seen once included."""
     docs = _table(spark, sf_dir, "documents")
-    return ngrams.scored(docs, ngrams.fit(docs))
+    return ngrams.scored(docs, ngrams.fit(docs, least=1))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

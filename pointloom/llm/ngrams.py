@@ -7,8 +7,9 @@ segment files in the shared folder, which tasks map into memory: nothing of them
 broadcast but one row per segment. Counts, thresholds and smoothing cover all training documents.
 
 An n-gram of count c after a context of count h gets (c - DISCOUNT) / h, and the context hands
-what is left over to the next shorter one, down to words with (c + 1) / (N + V + 1). Rarer
-n-grams than ``LEAST_COUNT`` are left out, their share too goes to the shorter context.
+what is left over to the next shorter one, down to words with (c + 1) / (N + V + 1). N-grams
+rarer than ``least``, if any, are left out, their share too goes to the shorter context; the
+registered query keeps all.
 """
 
 from __future__ import annotations

@@ -117,6 +117,14 @@ def test_query_looks_at_more_than_one_word_before(spark, tmp_path):
     assert score[held_out[0]] > score[held_out[1]] + 0.5
 
 
+def test_query_keeps_ngrams_seen_once(spark, tmp_path):
+    made = rows()
+    model = Plain(made, ngrams.ORDER, least=1)
+    expected = [(i, round(model.score(tokens)[1], 6)) for i, tokens in model.texts]
+    found = queried(spark, made, tmp_path).select("doc_id", "score").collect()
+    assert sorted(map(repr, expected)) == sorted(repr((r[0], round(r[1], 6))) for r in found)
+
+
 @pytest.mark.parametrize("top", [1, 5, 100, 10**6, 2**40, 2**63, 2**64 - 1])
 @pytest.mark.parametrize("n", [0, 1, 2, 70, 3000])
 def test_sequence_finds_and_returns_values(top, n):
