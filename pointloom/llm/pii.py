@@ -67,12 +67,14 @@ _WORD = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
 _OPEN, _SHUT = r"\s?[\[({<]\s?", r"\s?[\])}>]\s?"
 _PLAIN_DOT = r"\s{1,3}(?:dot|punto|point|punkt)\s{1,3}"
 _DOT = rf"(?:{_OPEN}(?:dot|punto|point|punkt|\.){_SHUT}|{_PLAIN_DOT})"
+# After an at that stands for @ no other @ follows the same name.
+_NO_LOCAL = rf"(?![A-Za-z0-9._%+-]++(?:{_DOT}[A-Za-z0-9._%+-]++)*+@)"
 _HOST = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _DISGUISE = re.compile(
     rf"(?P<digits>(?<!\w){_WORD}(?:[\s,-]{{1,3}}{_WORD})+(?!\w))"
-    rf"|(?P<at>{_OPEN}(?:at|a|arroba|@){_SHUT}"
-    rf"|(?<=\w)\s{{1,3}}(?:at|arroba)\s{{1,3}}(?=[A-Za-z0-9-]+{_DOT}[A-Za-z0-9])|&(?:\#0*64|\#x40|commat);|%40)"
-    rf"|(?P<bare>(?<=\w)\s{{1,3}}at\s{{1,3}}(?={_HOST}))"
+    rf"|(?P<at>{_OPEN}(?:at|a|arroba|@){_SHUT}{_NO_LOCAL}"
+    rf"|(?<=\w)\s{{1,3}}(?:at|arroba)\s{{1,3}}(?=[A-Za-z0-9-]+{_DOT}[A-Za-z0-9]){_NO_LOCAL}|&(?:\#0*64|\#x40|commat);|%40)"
+    rf"|(?P<bare>(?<=\w)\s{{1,3}}at\s{{1,3}}(?={_HOST}){_NO_LOCAL})"
     rf"|(?P<dot>(?<=\w){_DOT}(?=\w)|&(?:\#0*46|\#x2e|period);|%2e)"
     rf"|(?P<plus>(?<!\w)plus\s{{1,3}}(?={_WORD}[\s,-]))"
     r"|(?P<letter>(?<=[0-9])[OoIl](?=[0-9]))",
@@ -221,8 +223,8 @@ def find(text: str) -> list[Span]:
 def find_disguised(text: str, base: list[Span]) -> list[Span]:
     """Findings that only normalising shows, as spans of the source text.
 
-    A finding without a rewritten piece in it is a base one or none; one that overlaps a base
-    finding of its kind is that one in another spelling.
+    A finding without a rewritten piece in it is a base one or none; one that a base finding of
+    its kind covers wholly is that one in another spelling. One that reaches beyond is added.
     """
     outputs = normalise(text)
     if not outputs:
@@ -233,7 +235,7 @@ def find_disguised(text: str, base: list[Span]) -> list[Span]:
         for output in reversed(outputs):
             start, end, here = output.source(start, end)
             changed |= here
-        taken = any(b.kind == kind and start < b.end and b.start < end for b in base)
+        taken = any(b.kind == kind and b.start <= start and end <= b.end for b in base)
         if changed and not taken:
             more.add(Span(kind, start, end))
     return list(more)

@@ -79,6 +79,26 @@ def test_disguises_are_found_where_they_stand(text, kind, source):
     assert base == plain_pii(text)
 
 
+@pytest.mark.parametrize(
+    ("text", "source"),
+    [
+        ("to jоhn@example.com now", "jоhn@example.com"),
+        ("john dot doe@example.com", "john dot doe@example.com"),
+        ("john@example.co dot uk", "john@example.co dot uk"),
+        ("write me at john dot doe@example.com", "john dot doe@example.com"),
+    ],
+)
+def test_disguise_that_reaches_beyond_a_plain_address(text, source):
+    base = pii.find(text)
+    assert len(base) == 1 and base == plain_pii(text)
+    assert [text[s.start : s.end] for s in pii.find_disguised(text, base)] == [source]
+
+
+def test_disguise_within_a_plain_address_is_that_address():
+    for text in ("option (a) john.doe@example.com", "user_1 at john.doe@example.com"):
+        assert pii.find_disguised(text, pii.find(text)) == []
+
+
 def test_plain_prose_has_no_disguise():
     text = "We met at noon. The dot at the end, one of two, costs 3 dollars at shop.com. " * 20
     assert pii.find_disguised(text, pii.find(text)) == []
