@@ -8,6 +8,7 @@ source text (base findings) and on the output; what only the output shows is map
 from __future__ import annotations
 
 import re
+import sys
 from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -67,6 +68,11 @@ _WORD = "(?:" + "|".join(sorted(_DIGIT_OF, key=len, reverse=True)) + ")"
 _OPEN, _SHUT = r"\s?[\[({<]\s?", r"\s?[\])}>]\s?"
 _PLAIN_DOT = r"\s{1,3}(?:dot|punto|point|punkt)\s{1,3}"
 _DOT = rf"(?:{_OPEN}(?:dot|punto|point|punkt|\.){_SHUT}|{_PLAIN_DOT})"
+_BEFORE = "|".join(
+    [rf"(?<=[0-9][\x20()-]{{{n}}})" for n in (1, 2, 3)]
+    + [rf"(?<=\b{word}\.)" for word in _DIGIT_OF]
+    + [r"(?<=[0-9]\.)", r"(?<=\+)"]
+)
 # After an at that stands for @ no other @ follows the same name.
 _NO_LOCAL = rf"(?![A-Za-z0-9._%+-]++(?:{_DOT}[A-Za-z0-9._%+-]++)*+@)"
 _HOST = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -81,6 +87,13 @@ _DISGUISE = re.compile(
     re.IGNORECASE,
 )
 
+# One spelled digit beside a digit or between dots; for text without the other disguises.
+_ONE = re.compile(
+    rf"(?<!\w)(?:{_WORD}(?!\w)(?=[\x20()-]{{1,3}}[0-9]|\.(?:[0-9]|{_WORD}(?!\w)))"
+    rf"|(?={_WORD}(?!\w))(?:{_BEFORE}){_WORD})",
+    re.IGNORECASE,
+)
+
 # What a disguise cannot do without, quicker to look for.
 _PARTING = re.compile(r"[^\w\s]")
 _ASCII_PARTING = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
@@ -157,27 +170,37 @@ def _undisguised(match: re.Match) -> str:
 
 
 def may_be_disguised(text: str) -> bool:
-    """False only where the disguises have no match: no two spelled digits side by side, no
-    dot as a word, no bracketed or coded at or dot, no host after at, no letter between
-    digits."""
+    """False only where the disguises have no match: no spelled digit beside another or beside
+    a numeral, no dot as a word, no bracketed or coded at or dot, no host after at, no letter
+    between digits."""
     lower = text.lower()
     if not lower.isascii() and any(c > "\x7f" and not c.isalnum() for c in set(lower)):
         lower = _PARTING.sub(" ", lower)
     words = lower.encode().translate(_ASCII_PARTING).split()
-    if b"\1\1" in bytes(map(_SPELLED.__contains__, words)) or not _DOTS.isdisjoint(words):
+    spelled = bytes(map(_SPELLED.__contains__, words))
+    if b"\1\1" in spelled or not _DOTS.isdisjoint(words):
         return True
+    at = spelled.find(1)
+    while at >= 0:
+        if at and words[at - 1][-1:].isdigit() or words[at + 1 : at + 2] and words[at + 1][:1].isdigit():
+            return True
+        at = spelled.find(1, at + 1)
     return any(p.search(text) for p in (_BRACKETED, _LETTER, _BARE, _CODED))
 
 
 def normalise(text: str) -> list[Output]:
     """The transducers that change something, in order: look-alikes, then disguises in what
-    they gave. Spans go back through them in reverse."""
+    they gave, then single spelled digits. Spans go back through them in reverse."""
     outputs = []
     if not text.isascii() and not _ALIKE.keys().isdisjoint(set(text)):
         outputs.append(_rewritten(text, _ODD, lambda m: _ALIKE[m.group()]))
         text = outputs[0].text
     if may_be_disguised(text):
         found = _rewritten(text, _DISGUISE, _undisguised)
+        if found:
+            outputs.append(found)
+            text = found.text
+        found = _rewritten(text, _ONE, lambda m: _DIGIT_OF[m.group().lower()])
         if found:
             outputs.append(found)
     return outputs
@@ -220,6 +243,12 @@ def find(text: str) -> list[Span]:
     return found
 
 
+def _covers(spans: list[Span], span: Span) -> bool:
+    """Whether one of the sorted spans, those of a kind apart from each other, covers it wholly."""
+    at = bisect_right(spans, Span(span.kind, span.start, sys.maxsize)) - 1
+    return at >= 0 and spans[at].kind == span.kind and span.end <= spans[at].end
+
+
 def find_disguised(text: str, base: list[Span]) -> list[Span]:
     """Findings that only normalising shows, as spans of the source text.
 
@@ -227,18 +256,20 @@ def find_disguised(text: str, base: list[Span]) -> list[Span]:
     its kind covers wholly is that one in another spelling. One that reaches beyond is added.
     """
     outputs = normalise(text)
-    if not outputs:
-        return []
-    more = set()
-    for kind, start, end in find(outputs[-1].text):
-        changed = False
-        for output in reversed(outputs):
-            start, end, here = output.source(start, end)
-            changed |= here
-        taken = any(b.kind == kind and b.start <= start and end <= b.end for b in base)
-        if changed and not taken:
-            more.add(Span(kind, start, end))
-    return list(more)
+    layers = [sorted(base)]
+    # A single spelled digit may also be a word beside a finding: the text before counts too.
+    for last in range(len(outputs), max(0, len(outputs) - 2), -1):
+        more = []
+        for kind, start, end in find(outputs[last - 1].text):
+            changed = False
+            for output in reversed(outputs[:last]):
+                start, end, here = output.source(start, end)
+                changed |= here
+            span = Span(kind, start, end)
+            if changed and not any(_covers(layer, span) for layer in layers):
+                more.append(span)
+        layers.append(sorted(more))
+    return [span for layer in layers[1:] for span in layer]
 
 
 def scanned(docs: DataFrame) -> DataFrame:

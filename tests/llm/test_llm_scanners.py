@@ -94,6 +94,34 @@ def test_disguise_that_reaches_beyond_a_plain_address(text, source):
     assert [text[s.start : s.end] for s in pii.find_disguised(text, base)] == [source]
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "source"),
+    [
+        ("at one two seven dot zero dot zero dot one.", "ip", "one two seven dot zero dot zero dot one"),
+        ("at 192 dot 168 dot one dot seven now", "ip", "192 dot 168 dot one dot seven"),
+        ("at 127.zero.zero.one now", "ip", "127.zero.zero.one"),
+        ("at 10[.]zero[.]Eins[.]7 now", "ip", "10[.]zero[.]Eins[.]7"),
+        ("at seven.seven.seven.seven now", "ip", "seven.seven.seven.seven"),
+        ("no 4111 1111 1111 111 one here", "card", "4111 1111 1111 111 one"),
+        ("no four 111 1111 1111 1111 here", "card", "four 111 1111 1111 1111"),
+        ("call plus one (735) 555-5082 x", "phone", "plus one (735) 555-5082"),
+        ("no 4111 1111 1111 11l1 one here", "card", "4111 1111 1111 11l1"),
+    ],
+)
+def test_single_spelled_digits(text, kind, source):
+    found = [s for s in pii.find_disguised(text, pii.find(text)) if s.kind == kind]
+    assert [text[s.start : s.end] for s in found] == [source]
+
+
+def test_quick_test_never_hides_a_single_spelled_digit():
+    rng = random.Random(12)
+    parts = ["one", "Zero", "seven", "7", "12", "dot", ".", " ", " ", "-", "(", ")", "+", "x", "é", "_"]
+    for _ in range(20000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(9)))
+        if not pii.may_be_disguised(text):
+            assert all(text[m.start() - 1] == "+" for m in pii._ONE.finditer(text)), text
+
+
 def test_disguise_within_a_plain_address_is_that_address():
     for text in ("option (a) john.doe@example.com", "user_1 at john.doe@example.com"):
         assert pii.find_disguised(text, pii.find(text)) == []
