@@ -225,6 +225,34 @@ def test_network_finds_a_secret_that_no_pattern_has(spark):
     assert base == [] and [text[s.start : s.end] for s in spans] == [value]
 
 
+def test_network_sees_all_of_the_context(spark):
+    rng = random.Random(13)
+    made = list(secret_rows(rng, 400))
+    network = secrets.fit(table(spark, made))
+    window = np.frombuffer(secrets.window_of("x" * 200, Span("model", 60, 100)), np.int8)
+    for at in (0, 40, secrets.WIDTH - 1):  # every character has an effect
+        rows = np.repeat(window[None].astype(np.int64), secrets.CLASSES, 0)
+        rows[:, at] = np.arange(secrets.CLASSES)
+        assert len(set(network.logits(rows).round(9).tolist())) > 1, at
+
+
+def test_network_sees_the_middle_of_a_long_candidate():
+    # A network that looks for five digits in a row.
+    filters = np.zeros((secrets.SPAN, secrets.CLASSES, secrets.FILTERS))
+    filters[:, secrets._CLASS[ord("0")], 0] = 1
+    weights = np.zeros(len(secrets._PARTS) * secrets.FILTERS + 1)
+    weights[[secrets.FILTERS, -1]] = 20, -5
+    network = secrets.Network(filters, np.full(secrets.FILTERS, -4.5), weights, 1.0, 0.0, 0.5)
+    for n in range(60):
+        text = f'walk "{"a7/b" * n}12345{"/stone" * 20}" walk'
+        (candidate,) = secrets.candidates(text)
+        parts = [part for part, _ in secrets.windows_of(text, candidate)]
+        assert parts[0].start == candidate.start and parts[-1].end == candidate.end
+        assert all(a.end - b.start >= secrets.INSIDE // 2 for a, b in zip(parts, parts[1:]))
+        assert secrets.scanner(network)(text)[1] == [candidate]
+        assert secrets.scanner(network)(text.replace("12345", "1234x"))[1] == []
+
+
 def test_secrets_edge_cases(spark):
     made = rows()
     docs = table(spark, made)
