@@ -61,8 +61,9 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model | None:
 
     The class prior is counted over all labelled rows of the fold. The examples are a
     sample in the order of a seeded hash: at most ``POSITIVES`` documents with label 1, and
-    ``UNLABELLED`` of the fold with whatever label or none, which is not looked at. Only the
-    sample's hashed words reach the driver.
+    ``UNLABELLED`` of the fold with whatever label or none, which is not looked at. A ``doc_id``
+    of several rows counts as one document, with one of its texts. Only the sample's hashed words
+    reach the driver.
     """
     known = (
         pick(labels, "doc_id", "toxic")
@@ -80,6 +81,9 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model | None:
     chosen = toxic.withColumn("positive", F.lit(1)).union(others.withColumn("positive", F.lit(0)))
     # At most POSITIVES + UNLABELLED rows of an id and a flag.
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "positive", utf8("text"))
+    # Of the texts of one id the one with the smallest hash.
+    first = F.min(F.struct(F.xxhash64("text", F.lit(seed)), "text"))["text"].alias("text")
+    rows = rows.groupBy("doc_id", "positive").agg(first)
 
     def convert(batch: pa.RecordBatch) -> dict[str, object]:
         found = [

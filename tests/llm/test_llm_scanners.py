@@ -320,6 +320,19 @@ def test_labels_of_the_held_out_fold_change_nothing(spark):
     assert (one.weights == other.weights).all() and one.bias == other.bias
 
 
+def test_an_id_of_many_rows_is_one_example(spark, monkeypatch):
+    made = list(toxic_rows(random.Random(14), 60))
+    hot = next(i for i, *_ in made if i % 5 == 0 and i % 3 and zlib.crc32(str(i).encode()) % 4 != 2)
+    made += [(hot, f"grimble {i}", "en", "s", 1) for i in range(200)] + [(hot, None, "en", "s", 1)]
+    monkeypatch.setattr(toxicity, "train", lambda p, u, prior: (list(map(bytes, p)), list(map(bytes, u))))
+    labels = toxic_labels(spark, made)
+    positive, unlabelled = toxicity.fit(table(spark, made), labels)
+    learned = {i for i, *_ in made if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert len(unlabelled) == len(learned)
+    assert len(positive) == len({i for i in learned if i % 5 == 0 and i % 3})
+    assert (positive, unlabelled) == toxicity.fit(table(spark, made, 3), labels)
+
+
 def test_toxicity_edge_cases(spark):
     made = rows()
     docs = table(spark, made)
