@@ -7,6 +7,9 @@ import json
 import numpy as np
 from pyarrow import fs
 
+# Low parts have so many bits at most: with up to 7 ahead of them they are read as one number.
+MOST_LOW = 56
+
 _BYTES = np.arange(256, dtype=np.uint8)
 _ONES = np.bitwise_count(_BYTES)
 # Place of the r-th set bit of a byte, from the low end.
@@ -36,26 +39,25 @@ def _select(words: np.ndarray, before: np.ndarray, which: np.ndarray) -> np.ndar
 def encode(values: np.ndarray) -> dict[str, np.ndarray]:
     """Arrays that hold unsigned values in rising order, equal ones allowed.
 
-    The high part of a value is a step in unary; the low part is kept in whole bytes, as
-    many as keep the steps short.
+    The high part of a value is a step in unary; the low part is packed, as many bits as make
+    the steps about as many as the values.
     """
-    values = values.astype(np.uint64)
+    values = values.astype("<u8")
     n = len(values)
     top = int(values[-1]) if n else 0
-    ratio = top // max(n, 1)
-    size = 0 if ratio <= 16 else (ratio.bit_length() + 7) // 8
-    high = (values >> np.uint64(8 * size)).astype(np.int64) if size < 8 else np.zeros(n, np.int64)
+    size = min(MOST_LOW, max((top // max(n, 1)).bit_length() - 1, 0))
+    high = (values >> np.uint64(size)).astype(np.int64)
     places = high + np.arange(n)
     n_words = (int(places[-1]) + 2 if n else 1) // 64 + 1
     bits = np.zeros(64 * n_words, np.uint8)
     bits[places] = 1
     words = np.packbits(bits, bitorder="little").view("<u8")
     ones = np.cumsum(np.bitwise_count(words)).astype(np.uint64)
-    low = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
+    low = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, count=size, bitorder="little")
     return {
         "words": words,
-        "ones": np.concatenate(([0], ones[:-1])).astype("<u8"),
-        "low": np.ascontiguousarray(low).ravel(),
+        "ones": np.concatenate(([0], ones[:-1])).astype("<u4" if n < 1 << 32 else "<u8"),
+        "low": np.append(np.packbits(low, bitorder="little"), np.zeros(8, np.uint8)),
         "shape": np.array([n, size, high[-1] if n else -1], "<i8"),
     }
 
@@ -66,24 +68,22 @@ class EliasFano:
     def __init__(self, arrays: dict[str, np.ndarray]) -> None:
         self.words, self.ones = arrays["words"], arrays["ones"]
         self.n, self.size, self.top = (int(x) for x in arrays["shape"])
-        self.low = arrays["low"].reshape(self.n, self.size)
+        self.low = np.lib.stride_tricks.sliding_window_view(np.asarray(arrays["low"]), 8)
         self.zeros = np.arange(len(self.words), dtype=np.int64) * 64 - self.ones.astype(np.int64)
 
     def _low(self, at: np.ndarray) -> np.ndarray:
-        rows = self.low[at].astype(np.uint64)
-        value = np.zeros(len(at), np.uint64)
-        for i in range(self.size):
-            value |= rows[:, i] << np.uint64(8 * i)
-        return value
+        if not self.size:
+            return np.zeros(len(at), np.uint64)
+        bit = at * self.size
+        eight = self.low[bit >> 3].view("<u8")[:, 0]
+        return eight >> (bit & 7).astype(np.uint64) & np.uint64((1 << self.size) - 1)
 
     def access(self, at: np.ndarray) -> np.ndarray:
         """The values at these places."""
         if not len(at):
             return np.zeros(0, np.uint64)
         high = (_select(self.words, self.ones, at) - at).astype(np.uint64)
-        if self.size == 8:
-            return self._low(at)
-        return high << np.uint64(8 * self.size) | self._low(at)
+        return high << np.uint64(self.size) | self._low(at)
 
     def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each value the first place that has it or a larger one, and whether it has it.
@@ -92,16 +92,14 @@ class EliasFano:
         """
         values = values.astype(np.uint64)
         at, equal = np.full(len(values), self.n, np.int64), np.zeros(len(values), bool)
-        high = np.zeros(len(values), np.uint64) if self.size == 8 else values >> np.uint64(8 * self.size)
+        high = values >> np.uint64(self.size)
         inside = np.flatnonzero(high <= max(self.top, 0)) if self.n else np.zeros(0, np.int64)
         if not len(inside):
             return at, equal
-        h, low = high[inside].astype(np.int64), values[inside]
-        if self.size < 8:
-            low = low & np.uint64((1 << 8 * self.size) - 1)
+        h, low = high[inside].astype(np.int64), values[inside] & np.uint64((1 << self.size) - 1)
         flipped = ~self.words
-        before = np.where(h > 0, _select(flipped, self.zeros, np.maximum(h - 1, 0)) - h + 1, 0)
-        a, end = before, _select(flipped, self.zeros, h) - h
+        a = np.where(h > 0, _select(flipped, self.zeros, np.maximum(h - 1, 0)) - h + 1, 0)
+        end = _select(flipped, self.zeros, h) - h
         b = end.copy()
         while (open_ := np.flatnonzero(a < b)).size:
             middle = (a[open_] + b[open_]) // 2

@@ -6,32 +6,37 @@ the successors of the words in between (for bigrams the word's number). Levels a
 segment files in the shared folder, which tasks map into memory: nothing of them is collected or
 broadcast but one row per segment. Counts, thresholds and smoothing cover all training documents.
 
+The counts of a level tell how many tokens follow each of its entries, so they cut the next level
+into segments of like size before it is counted. Tasks send their n-grams as one packed run per
+chunk and segment; the task that has a segment merges the runs, sums equal n-grams and writes
+pointers, successors, probabilities and what contexts leave over, all in one pass. A context with
+more followers than a segment has is cut by its successors; its parts are summed on the driver.
+
 An n-gram of count c after a context of count h gets (c - DISCOUNT) / h, and the context hands
-what is left over to the next shorter one, down to words with (c + 1) / (N + V + 1). N-grams
-rarer than ``least``, if any, are left out, their share too goes to the shorter context; the
-registered query keeps all.
+what is left over to the next shorter one, down to words with (c + 1) / (N + V + 1). All n-grams
+are kept unless ``least`` asks for more; the share of rarer ones goes to the shorter context.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointloom.llm.common import by_task, folder_of, pick, scratch_dir, utf8, written
-from pointloom.llm.eliasfano import EliasFano, load, named, part, save
+from pointloom.llm.common import by_task, folder_of, pick, scratch_dir, utf8
+from pointloom.llm.eliasfano import load, named, part, save
 
-ORDER, LEAST_COUNT, DISCOUNT = 3, 2, 0.75
+ORDER, LEAST_COUNT, DISCOUNT = 3, 1, 0.75
 # Probabilities are kept as this many steps to a power of ten, in one byte.
 STEPS = 20
-# Tokens that a task looks at together, and n-grams of a segment file.
+# Tokens that a task looks at together, and tokens whose n-grams go into one segment file.
 CHUNK_TOKENS, SEGMENT_ROWS = 1 << 20, 1 << 20
 
 SEED = 42
@@ -91,25 +96,27 @@ def chunks(
         yield chunk()
 
 
-class Segment(NamedTuple):
-    """A file of a level: its first key, the number of its first entry, how many it has."""
-
-    first: tuple[int, int]
-    base: int
-    size: int
-    name: str
-
-
 class Level(NamedTuple):
-    """The segments of a level, in order, and the sum of their counts."""
+    """A level's folder, its directory there, its entries and the sum of their counts.
+
+    The directory is a file that tasks map. It has of each segment the first key, the number of the
+    first entry, how many there are and the file; of contexts that several segments
+    share the first entry's number, how many entries they have and what they hand over; and
+    the first keys of the segments of the next level.
+    """
 
     folder: str
-    segments: list[Segment]
+    name: str
+    size: int
     total: int
 
+    def directory(self) -> dict[str, np.ndarray]:
+        system, base = folder_of(self.folder)
+        return load(system, f"{base}/{self.name}")
+
     @property
-    def size(self) -> int:
-        return sum(s.size for s in self.segments)
+    def segments(self) -> list[str]:
+        return [name.decode() for name in self.directory()["names"]]
 
 
 def _shifted(words: np.ndarray) -> np.ndarray:
@@ -117,18 +124,43 @@ def _shifted(words: np.ndarray) -> np.ndarray:
     return (words ^ _TOP).view(np.int64)
 
 
+def _routes(cuts: tuple[np.ndarray, np.ndarray], parents: np.ndarray, children: np.ndarray):
+    """The segment whose range a key is in; -1 ahead of the first."""
+    low, high = (np.searchsorted(cuts[0], parents, side) for side in ("left", "right"))
+    at = high - 1
+    shared = np.flatnonzero(high - low > 1)
+    for parent in np.unique(parents[shared]).tolist():
+        rows = shared[parents[shared] == parent]
+        begin, end = low[rows[0]], high[rows[0]]
+        within = np.searchsorted(cuts[1][begin:end], children[rows], "right")
+        at[rows] = begin + np.maximum(within, 1) - 1
+    return at
+
+
+class Found(NamedTuple):
+    """Of each question: the entry's number (-1 where there is none), its quantised value, its
+    place among the successors of its context, and what the context hands over."""
+
+    number: np.ndarray
+    value: np.ndarray
+    place: np.ndarray
+    left: np.ndarray
+
+
 class Reader:
     """Questions to a level from within a task. Segments are opened once; questions come in
     arrays and go to their segments in the order of keys."""
 
     def __init__(self, level: Level) -> None:
-        self.level = level
         self.system, self.base = folder_of(level.folder)
         self.opened: dict[str, dict] = {}
-        self.firsts = [s.first for s in level.segments]
+        found = level.directory()
+        self.cuts = (found["parents"], found["children"])
+        self.bases, self.sizes, self.names = found["bases"], found["sizes"], found["names"]
+        self.split = tuple(found[n] for n in ("split", "split_first", "split_left"))
 
     def segment(self, at: int) -> dict:
-        name = self.level.segments[at].name
+        name = self.names[at].decode()
         if name not in self.opened:
             if self.system.type_name != "local":
                 self.opened.clear()  # read, not mapped: one at a time
@@ -140,76 +172,88 @@ class Reader:
             }
         return self.opened[name]
 
-    def routes(self, parents: np.ndarray, children: np.ndarray) -> np.ndarray:
-        """The segment whose range a key is in; -1 ahead of the first."""
-        if not self.firsts:
-            return np.full(len(parents), -1)
-        first = np.array(self.firsts, np.int64).reshape(-1, 2)
-        at = np.searchsorted(first[:, 0], parents, "left")
-        # Segments that begin within a parent's children are told apart by the child.
-        same = np.flatnonzero(first[np.minimum(at, len(first) - 1), 0] == parents)
-        for parent in np.unique(parents[same]).tolist():
-            rows = same[parents[same] == parent]
-            low, high = np.searchsorted(first[:, 0], (parent, parent + 1))
-            at[rows] = low + np.searchsorted(first[low:high, 1], children[rows], "right")
-        return at - 1
-
     def _by_segment(self, routes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         order = np.argsort(routes, kind="stable")
         values, begins = np.unique(routes[order], return_index=True)
         for value, rows in zip(values.tolist(), np.split(order, begins[1:])):
-            if value >= 0:
+            if value >= 0 and self.sizes[value]:
                 yield value, rows
 
     def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number (-1 for unknown ones) and count of each word, in level 1."""
         number, count = np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
-        keys = _shifted(hashes)
-        for at, rows in self._by_segment(self.routes(keys, np.zeros(len(keys), np.int64))):
+        routes = np.searchsorted(self.cuts[0], _shifted(hashes), "right") - 1
+        for at, rows in self._by_segment(routes):
             segment = self.segment(at)
             place, found = segment["keys"].find(hashes[rows])
             rows, place = rows[found], place[found]
-            number[rows] = self.level.segments[at].base + place
-            count[rows] = segment["counts"][place]
+            number[rows] = self.bases[at] + place
+            count[rows] = _counts(segment, place)
         return number, count
 
-    def entries(self, parents: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each entry (-1 where there is none) and its quantised value."""
-        number, value = np.full(len(parents), -1), np.zeros(len(parents), np.uint8)
-        asked = np.flatnonzero((parents >= 0) & (children >= 0))
-        routes = self.routes(parents[asked], children[asked])
-        for at, some in self._by_segment(routes):
-            rows, segment = asked[some], self.segment(at)
-            distinct, which = np.unique(parents[rows], return_inverse=True)
-            group, found = segment["parents"].find(distinct)
-            group = np.where(found, group, 0)
-            begin = segment["pointers"].access(group).astype(np.int64)
-            end = segment["pointers"].access(group + 1).astype(np.int64)
+    def entries(self, parents: np.ndarray, children: np.ndarray) -> Found:
+        """Answers to distinct questions. A context that is not known hands all over."""
+        n = len(parents)
+        found = Found(
+            np.full(n, -1), np.zeros(n, np.uint8), np.full(n, -1), np.zeros(n, np.uint8)
+        )
+        asked = np.flatnonzero(parents >= 0)
+        for at, some in self._by_segment(_routes(self.cuts, parents[asked], children[asked])):
+            rows, segment, first = asked[some], self.segment(at), self.cuts[0][at]
+            rows = rows[parents[rows] - first < len(segment["left"])]
+            distinct, which = np.unique(parents[rows] - first, return_inverse=True)
+            found.left[rows] = segment["left"][distinct][which]
+            edges = segment["pointers"].access(np.concatenate((distinct, distinct + 1)))
+            begin, end = edges.astype(np.int64).reshape(2, -1)
             # Children go on rising over parents: they are counted on from the one before.
             before = segment["children"].access(np.maximum(begin - 1, 0))
             offset = np.where(begin > 0, before + np.uint64(1), np.uint64(0))
-            rows, which = rows[found[which]], which[found[which]]
-            asked_for = children[rows].astype(np.uint64) + offset[which]
-            place, found = segment["children"].find(asked_for)
-            found &= (place >= begin[which]) & (place < end[which])
-            number[rows[found]] = self.level.segments[at].base + place[found]
-            value[rows[found]] = segment["values"][place[found]]
-        return number, value
-
-    def begins(self, parents: np.ndarray) -> np.ndarray:
-        """Number of the first entry of each parent; -1 where it has none."""
-        number = np.full(len(parents), -1)
-        asked = np.flatnonzero(parents >= 0)
-        routes = self.routes(parents[asked], np.full(len(asked), -1))
-        for at, some in self._by_segment(np.maximum(routes, 0) if self.firsts else routes):
-            rows, segment = asked[some], self.segment(at)
-            group, found = segment["parents"].find(parents[rows])
-            begin = segment["pointers"].access(group[found]).astype(np.int64)
-            number[rows[found]] = self.level.segments[at].base + begin
-            if at + 1 < len(self.firsts):  # a parent may begin where the next segment does
-                next_ = self.level.segments[at + 1]
-                number[rows[~found & (parents[rows] == next_.first[0])]] = next_.base
-        return number
+            known = (children[rows] >= 0) & (end > begin)[which]
+            rows, which = rows[known], which[known]
+            place, hit = segment["children"].find(children[rows].astype(np.uint64) + offset[which])
+            hit &= (place >= begin[which]) & (place < end[which])
+            rows, which, place = rows[hit], which[hit], place[hit]
+            found.number[rows] = self.bases[at] + place
+            found.value[rows] = segment["values"][place]
+            found.place[rows] = place - begin[which]
+        split, first, left = self.split
+        if len(split):
+            at = np.minimum(np.searchsorted(split, parents), len(split) - 1)
+            shared = split[at] == parents
+            found.left[shared] = left[at[shared]]
+            shared &= found.number >= 0
+            found.place[shared] = found.number[shared] - first[at[shared]]
+        return found
+
+    def counts(self, begin: int, end: int) -> np.ndarray:
+        """Counts of the entries of these numbers, which follow each other."""
+        found = [np.zeros(0, np.int64)]
+        at = max(int(np.searchsorted(self.bases, begin, "right")) - 1, 0)
+        for number in range(at, len(self.bases)):
+            base, size = int(self.bases[number]), int(self.sizes[number])
+            a, b = max(begin - base, 0), min(end - base, size)
+            if base >= end:
+                break
+            if a < b:
+                found.append(_counts(self.segment(number), np.arange(a, b)))
+        return np.concatenate(found)
+
+
+def _packed_counts(n: np.ndarray) -> dict[str, np.ndarray]:
+    """A byte each; those that do not fit are told apart."""
+    large = np.flatnonzero(n >= 255)
+    return {
+        "counts": np.minimum(n, 255).astype(np.uint8),
+        "large_at": large.astype("<i8"),
+        "large": n[large].astype("<i8"),
+    }
+
+
+def _counts(segment: dict, place: np.ndarray) -> np.ndarray:
+    found = segment["counts"][place].astype(np.int64)
+    large = np.flatnonzero(found == 255)
+    found[large] = segment["large"][np.searchsorted(segment["large_at"], place[large])]
+    return found
 
 
 def _byte(probability: np.ndarray) -> np.ndarray:
@@ -218,63 +262,23 @@ def _byte(probability: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(logs), 0, 255).astype(np.uint8)
 
 
-def _probability(byte: np.ndarray) -> np.ndarray:
-    return 10 ** (byte.astype(np.float64) / -STEPS)
-
+_PROBABILITY = 10 ** (np.arange(256) / -STEPS)
 
-def _build(
-    rows: DataFrame, columns: list[str], pack, purpose: str, segment_rows: int = SEGMENT_ROWS
-) -> Level:
-    """Sort rows by their first two columns and write them as segments of bounded size.
-
-    ``pack`` makes the arrays of a segment from the columns of its rows; the third column is the
-    count. The driver gets a row per segment.
-    """
-    folder = scratch_dir(rows.sparkSession, purpose)
-    keys = columns[:2]
-    ordered = rows.select(*columns).repartitionByRange(*keys).sortWithinPartitions(*keys)
-
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
-        system, base = folder_of(folder)
-        system.create_dir(base, recursive=True)
-        packed = pack()
-        for table in _in_segments(batches, segment_rows):
-            values = [table[c].to_numpy().astype(np.int64) for c in columns]
-            name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
-            save(packed(*values), system, f"{base}/{name}")
-            yield {
-                "a": [int(values[0][0])], "b": [int(values[1][0])], "size": [len(values[0])],
-                "total": [int(values[2].sum())], "name": [name],
-            }
 
-    found = by_task(ordered, "a long, b long, size long, total long, name string", convert).collect()
-    segments, base = [], 0
-    for row in sorted(found, key=lambda r: (r["a"], r["b"])):
-        segments.append(Segment((row["a"], row["b"]), base, row["size"], row["name"]))
-        base += row["size"]
-    return Level(folder, segments, sum(r["total"] for r in found))
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers from 0 in as few whole bytes each as hold all of them."""
+    most = int(values.max(initial=0))
+    return values.astype(np.min_scalar_type(most).newbyteorder("<")).tobytes()
 
 
-def _in_segments(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.num_rows
-        while size >= most:
-            table = pa.Table.from_batches(held)
-            yield table.slice(0, most)
-            held = table.slice(most).to_batches()
-            size -= most
-    if size:
-        yield pa.Table.from_batches(held)
+def _wide(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // size}").astype(np.int64)
 
 
 class Model(NamedTuple):
-    """Levels 1 to ``ORDER``, and from level 2 on what their contexts hand over."""
+    """Levels 1 to ``ORDER``."""
 
     levels: list[Level]
-    contexts: list[Level]
     n_documents: int
 
 
@@ -282,9 +286,7 @@ class _Lookup:
     """The numbers that n-grams of a chunk's tokens have in each level."""
 
     def __init__(self, model: Model) -> None:
-        self.model = model
         self.levels = [Reader(level) for level in model.levels]
-        self.contexts = [Reader(level) for level in model.contexts]
         # The place before a document is a context, numbered after all words.
         self.begin = model.levels[0].size
 
@@ -292,33 +294,26 @@ class _Lookup:
         number, count = self.levels[0].words(chunk.words)
         return number[chunk.tokens], count[chunk.tokens]
 
-    def parents(self, chunk: Chunk, ends: np.ndarray, level: int) -> np.ndarray:
-        """The context of each token at ``level``: the number of the n-gram before it, where
-        ``ends`` has the number of the n-gram that ends with each token."""
-        before = np.concatenate(([-1], ends[:-1]))
-        before[chunk.firsts()] = self.begin if level == 2 else -1
-        return before
-
-    def child(self, level: int, ends: list[np.ndarray], parents: list[np.ndarray]) -> np.ndarray:
-        """What tells the last token from others after the same context: its place among the
-        successors of the context less its first token."""
-        if level == 2:
-            return ends[0]
-        within, suffix = ends[level - 2], parents[level - 3]
-        distinct, place = np.unique(suffix, return_inverse=True)
-        return np.where(within >= 0, within - self.levels[level - 2].begins(distinct)[place], -1)
-
-    def entries(self, level: int, parents: np.ndarray, children: np.ndarray):
-        """Number and value of each entry; equal questions are asked once."""
-        distinct, place, _ = _distinct(parents, children)
-        number, value = self.levels[level - 1].entries(*distinct)
-        return number[place], value[place]
-
-    def handed_over(self, level: int, parents: np.ndarray) -> np.ndarray:
-        """What contexts leave to shorter ones: all, where they have no entries."""
-        distinct, place = np.unique(parents, return_inverse=True)
-        _, value = self.contexts[level - 2].entries(distinct, np.zeros(len(distinct), np.int64))
-        return _probability(value)[place]
+    def climb(self, chunk: Chunk, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, Found | None]]:
+        """For each level from 2 on: context and child of every token, and what the trie has
+        for them; for the level that is not built yet only the former.
+
+        A context is the number of the n-gram that ends with the token before. The child tells the
+        token from others after the same context: its place among the successors of the
+        context less its first token.
+        """
+        ends, child = words, words
+        for level in range(2, len(self.levels) + 2):
+            parents = np.concatenate(([-1], ends[:-1]))
+            parents[chunk.firsts()] = self.begin if level == 2 else -1
+            if level > len(self.levels):
+                yield parents, child, None
+                return
+            distinct, which, _ = _distinct(parents, child)
+            asked = self.levels[level - 1].entries(*distinct)
+            found = Found(*(x[which] for x in asked))
+            yield parents, child, found
+            ends, child = found.number, found.place
 
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -349,128 +344,246 @@ def fit(
     """Count n-grams of the training fold level by level and write their trie.
 
     A task counts what is in a chunk before anything is shuffled, so a frequent word is
-    a row per chunk. Keys of a level are spread by hash to be summed and then by range.
+    a row per chunk. Each level takes one exchange.
     """
     texts = _texts(docs).filter(~F.col("held_out"))
+    model = _words(texts, chunk_tokens, segment_rows)
+    for level in range(2, order + 1):
+        model = _add_level(model, texts, least, chunk_tokens, segment_rows, last=level == order)
+    return model
+
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+# What the driver gets of a segment: its range, file, size, sum and ends of documents; the contexts it shares with others
+# (their entries and sums here, their count); the entries at which segments of the next level
+# begin, in how many parts each is cut, and the entry's child.
+_WRITTEN = (
+    "first long, second long, name string, size long, total long, ends long, parents array<long>, "
+    "kinds array<long>, sums array<long>, whole array<long>, at array<long>, parts array<long>, "
+    "child array<long>"
+)
+
+
+def _next_cuts(n: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries at which segments of the next level begin, each with about ``most`` followers, and
+    in how many parts an entry with more is cut."""
+    if not len(n):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    piece = (np.cumsum(n) - n) // most
+    hot = n > most
+    begins = np.concatenate(([True], (piece[1:] != piece[:-1]) | hot[1:] | hot[:-1]))
+    at = np.flatnonzero(begins)
+    return at, np.maximum(-(-n[at] // most), 1)
+
+
+def _words(texts: DataFrame, chunk_tokens: int, most: int) -> Model:
+    """Level 1. Equal ranges of hashes go to tasks, which sum neighbours."""
+    spark = texts.sparkSession
+    folder = scratch_dir(spark, "level-1")
+    end = np.array([_END], np.uint64)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         for chunk in chunks(batches, chunk_tokens):
             n = np.bincount(chunk.tokens, minlength=len(chunk.words))
-            yield {"h": _shifted(chunk.words)[n > 0], "n": n[n > 0]}
+            words = chunk.words[n > 0]
+            part = ((words >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            yield {"part": part.astype(np.int32), "h": _shifted(words), "n": n[n > 0]}
 
-    def pack_words():
-        return lambda h, zero, n: {
-            **named("keys", h.view(np.uint64) ^ _TOP), "counts": n.astype("<i8")
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        system, base = folder_of(folder)
+        system.create_dir(base, recursive=True)
+        held = np.zeros((3, 0), np.int64)
+        for batch in batches:
+            columns = (batch[c].to_numpy().astype(np.int64) for c in ("part", "h", "n"))
+            held = summed(np.concatenate((held, np.stack([*columns])), axis=1))
+            while held.shape[1] and (held[0, 0] != held[0, -1] or held.shape[1] > most):
+                size = min(int(np.searchsorted(held[0], held[0, 0], "right")), most)
+                yield segment(system, base, held[1:, :size])
+                held = held[:, size:]
+        if held.shape[1]:
+            yield segment(system, base, held[1:])
+
+    def summed(rows: np.ndarray) -> np.ndarray:
+        if not rows.shape[1]:
+            return rows
+        first = np.flatnonzero(np.concatenate(([True], rows[1, 1:] != rows[1, :-1])))
+        return np.stack((*rows[:2, first], np.add.reduceat(rows[2], first)))
+
+    def segment(system, base: str, rows: np.ndarray) -> dict[str, object]:
+        h, n = rows
+        name = uuid.uuid4().hex
+        arrays = {**named("keys", h.view(np.uint64) ^ _TOP), **_packed_counts(n)}
+        save(arrays, system, f"{base}/{name}")
+        at, cut = _next_cuts(n, most)
+        return {
+            "first": [int(h[0])], "second": [-1], "name": [name], "size": [len(h)],
+            "total": [int(n.sum())], "ends": [int(n[h == _shifted(end)].sum())],
+            **dict.fromkeys(("parents", "kinds", "sums", "whole"), [[]]),
+            "at": [at], "parts": [cut], "child": [at],
         }
 
-    counted = by_task(texts, "h long, n long", count_words).groupBy("h").agg(F.sum("n").alias("n"))
-    words = written(counted.withColumn("zero", F.lit(0).cast("long")), "words")
-    first = _build(words, ["h", "zero", "n"], pack_words, "level-1", segment_rows)
-    model = Model([first], [], 0)
-    ends = Reader(model.levels[0]).words(np.array([_END], np.uint64))[1]
-    model = model._replace(n_documents=int(ends[0]))
-    for level in range(2, order + 1):
-        model = _add_level(model, texts, level, least, chunk_tokens, segment_rows)
-    return model
+    rows = by_task(texts, "part int, h long, n long", count)
+    dealt = rows.repartition("part").sortWithinPartitions("h")
+    level = _level(folder, by_task(dealt, _WRITTEN, convert).collect(), 1, most)
+    ends = Reader(level).words(end)[1]
+    return Model([level], int(ends[0]))
+
+
+def _bounds(parent: int, parts: int, space: int) -> list[tuple[int, int]]:
+    """Cuts of one context, by equal ranges of its children."""
+    return [(parent, c) for c in sorted({-1, *(part * space // parts for part in range(1, parts))})]
+
+
+def _level(folder: str, found: list, number: int, most: int) -> Level:
+    """Write the directory of a level's segments, a row each."""
+    found = sorted(found, key=lambda r: (r["first"], r["second"]))
+    size = sum(r["size"] for r in found)
+    bases = np.cumsum([0, *(r["size"] for r in found)])[:-1]
+    shared: dict[int, tuple[int, int, int, int]] = {}
+    for row, base in zip(found, bases.tolist()):
+        for parent, kinds, sums, whole in zip(row["parents"], row["kinds"], row["sums"], row["whole"]):
+            begin, k, s, _ = shared.get(parent, (base + row["size"] - kinds, 0, 0, 0))
+            shared[parent] = (begin, k + kinds, s + sums, whole)
+    split = sorted((p, b, k, 1 - (s - DISCOUNT * k) / max(w, 1)) for p, (b, k, s, w) in shared.items())
+    # A child of an entry is a word, or a place among the successors of its last words, of
+    # which those with more followers than a segment has are in several segments too.
+    widest = size if number == 1 else max((kinds for _, _, kinds, _ in split), default=size)
+    cuts = []
+    for row, base in zip(found, bases.tolist()):
+        for at, parts, child in zip(row["at"], row["parts"], row["child"]):
+            space = shared[child][1] if number == 2 and child in shared else widest
+            cuts += _bounds(base + at, parts, space)
+    if number == 1:  # the place before a document comes after all words
+        n_documents = sum(r["ends"] for r in found)
+        cuts += _bounds(size, max(-(-n_documents // most), 1), size)
+    arrays = {
+        "parents": np.array([r["first"] for r in found], "<i8"),
+        "children": np.array([r["second"] for r in found], "<i8"),
+        "bases": bases.astype("<i8"),
+        "sizes": np.array([r["size"] for r in found], "<i8"),
+        "names": np.array([r["name"].encode() for r in found], "S32"),
+        "split": np.array([p for p, *_ in split], "<i8"),
+        "split_first": np.array([b for _, b, *_ in split], "<i8"),
+        "split_left": _byte(np.array([left for *_, left in split], float)),
+        "next_parents": np.array([p for p, _ in cuts], "<i8"),
+        "next_children": np.array([c for _, c in cuts], "<i8"),
+    }
+    system, base = folder_of(folder)
+    system.create_dir(base, recursive=True)
+    save(arrays, system, f"{base}/directory")
+    return Level(folder, "directory", size, sum(r["total"] for r in found))
 
 
 def _add_level(
-    model: Model, texts: DataFrame, level: int, least: int, chunk_tokens: int, segment_rows: int
+    model: Model, texts: DataFrame, least: int, chunk_tokens: int, most: int, last: bool
 ) -> Model:
+    number = len(model.levels) + 1
+    folder = scratch_dir(texts.sparkSession, f"level-{number}")
+    # Contexts are the entries below and, for bigrams, the place before a document.
+    n_parents = model.levels[-1].size + (number == 2)
+
+    def ranges() -> tuple[np.ndarray, np.ndarray]:
+        found = model.levels[-1].directory()
+        return found["next_parents"], found["next_children"]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
-        lookup = _Lookup(model)
+        lookup, cuts = _Lookup(model), ranges()
         for chunk in chunks(batches, chunk_tokens):
-            *_, (parents, children, _, _) = _climb(lookup, chunk)
+            *_, (parents, children, _) = lookup.climb(chunk, lookup.words(chunk)[0])
             seen = (parents >= 0) & (children >= 0)
             (parent, child), _, n = _distinct(parents[seen], children[seen])
-            yield {"parent": parent, "child": child, "n": n}
-
-    sums = by_task(texts, "parent long, child long, n long", count)
-    kept = sums.groupBy("parent", "child").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    kept = written(kept, f"level-{level}")
-
-    def context_counts():
-        """How often each context is followed by a token."""
-        if level > 2:
-            reader = _Counts(model.levels[-1])
-            return reader.of
-        reader, begin = _Counts(model.levels[0]), model.levels[0].size
-        return lambda parents: np.where(
-            parents == begin, model.n_documents, reader.of(np.where(parents == begin, 0, parents))
-        )
-
-    def pack():
-        counts = context_counts()
+            range_ = _routes(cuts, parent, child)
+            begins = np.flatnonzero(np.concatenate(([True], range_[1:] != range_[:-1])))[: len(n)]
+            ends = np.append(begins[1:], len(n))
+            runs = [slice(a, b) for a, b in zip(begins.tolist(), ends.tolist())]
+            steps = np.diff(parent, prepend=0)
+            steps[begins] = parent[begins] - cuts[0][range_[begins]]
+            yield {
+                "range": range_[begins],
+                "size": ends - begins,
+                "steps": [_narrow(steps[r]) for r in runs],
+                "children": [_narrow(child[r]) for r in runs],
+                "n": [_narrow(n[r]) for r in runs],
+            }
 
-        def packed(parent: np.ndarray, child: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
-            begin = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1])))
-            lasts = child[np.append(begin[1:], len(child)) - 1] + 1
-            offset = np.repeat(np.cumsum(lasts) - lasts, np.diff(np.append(begin, len(child))))
-            parents = parent[begin]
-            share = (n - DISCOUNT) / np.repeat(counts(parents), np.diff(np.append(begin, len(n))))
-            return {
-                **named("parents", parents),
-                **named("pointers", np.append(begin, len(child))),
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        system, base = folder_of(folder)
+        system.create_dir(base, recursive=True)
+        packed = segments(system, base)
+        held: list[tuple] = []
+        at = -1
+        for batch in batches:
+            columns = [batch[c].to_pylist() for c in ("range", "size", "steps", "children", "n")]
+            for range_, size, *run in zip(*columns):
+                if held and range_ != at:
+                    yield packed(at, held)
+                    held = []
+                at = range_
+                steps, children, n = (_wide(x, size) for x in run)
+                held.append((np.cumsum(steps), children, n))
+        if held:
+            yield packed(at, held)
+
+    def merged(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        parent, child, n = (np.concatenate(x) for x in zip(*held))
+        width = int(child.max()) + 1
+        if (int(parent.max()) + 1) * width < 1 << 63:
+            order = np.argsort(parent * width + child, kind="stable")  # sorted runs are merged
+        else:
+            order = np.lexsort((child, parent))
+        parent, child = parent[order], child[order]
+        new = (parent[1:] != parent[:-1]) | (child[1:] != child[:-1])
+        first = np.flatnonzero(np.concatenate(([True], new)))
+        n = np.add.reduceat(n[order], first)
+        kept = n >= least
+        return parent[first][kept], child[first][kept], n[kept]
+
+    def segments(system, base: str) -> Callable[[int, list[tuple]], dict[str, object]]:
+        below, cuts = Reader(model.levels[-1]), ranges()
+
+        def packed(at: int, held: list[tuple]) -> dict[str, object]:
+            """Write a range; its contexts are numbered from its first."""
+            begun, goes_on = int(cuts[0][at]), False
+            here = n_parents - begun
+            if at + 1 < len(cuts[0]):
+                goes_on = bool(cuts[1][at + 1] >= 0)
+                here = int(cuts[0][at + 1]) + goes_on - begun
+            parent, child, n = merged(held)
+            whole = below.counts(begun, begun + here)
+            if len(whole) < here:
+                whole = np.append(whole, model.n_documents)
+            kinds = np.bincount(parent, minlength=here)
+            sums = np.bincount(parent, n, minlength=here).astype(np.int64)
+            ends = np.cumsum(kinds)
+            lasts = np.zeros(here, np.int64)
+            lasts[kinds > 0] = child[ends[kinds > 0] - 1] + 1
+            offset = np.repeat(np.cumsum(lasts) - lasts, kinds)
+            name = uuid.uuid4().hex
+            arrays = {
+                **named("pointers", np.concatenate(([0], ends))),
                 **named("children", child + offset),
-                "counts": n.astype("<i8"),
-                "values": _byte(share),
+                "values": _byte((n - DISCOUNT) / whole[parent]),
+                "left": _byte(1 - (sums - DISCOUNT * kinds) / np.maximum(whole, 1)),
             }
-
-        return packed
-
-    def pack_contexts():
-        counts = context_counts()
-
-        def packed(parent: np.ndarray, zero: np.ndarray, n: np.ndarray, kinds: np.ndarray):
-            left = 1 - (n - DISCOUNT * kinds) / counts(parent)
+            next_ = parts = np.zeros(0, np.int64)
+            if not last:  # nothing reads the counts of the last level
+                arrays |= _packed_counts(n)
+                next_, parts = _next_cuts(n, most)
+            save(arrays, system, f"{base}/{name}")
+            shared = sorted({0} if cuts[1][at] >= 0 else {here - 1} if goes_on else set())
             return {
-                **named("parents", parent),
-                **named("pointers", np.arange(len(parent) + 1)),
-                **named("children", np.arange(len(parent))),
-                "values": _byte(left),
+                "first": [begun], "second": [int(cuts[1][at])], "name": [name], "size": [len(n)],
+                "total": [int(n.sum())], "ends": [0], "parents": [[begun + i for i in shared]],
+                "kinds": [kinds[shared]], "sums": [sums[shared]], "whole": [whole[shared]],
+                "at": [next_], "parts": [parts], "child": [child[next_]],
             }
 
         return packed
 
-    built = _build(kept, ["parent", "child", "n"], pack, f"trie-{level}", segment_rows)
-    handed = kept.groupBy("parent").agg(
-        F.lit(0).cast("long").alias("zero"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")
-    )
-    columns = ["parent", "zero", "n", "kinds"]
-    contexts = _build(handed, columns, pack_contexts, f"contexts-{level}", segment_rows)
-    return model._replace(
-        levels=[*model.levels, built], contexts=[*model.contexts, contexts]
-    )
-
-
-class _Counts:
-    """Counts of entries by number."""
-
-    def __init__(self, level: Level) -> None:
-        self.reader = Reader(level)
-        self.bases = np.array([s.base for s in level.segments], np.int64)
-
-    def of(self, numbers: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(numbers), np.int64)
-        routes = np.searchsorted(self.bases, numbers, "right") - 1
-        for at, rows in self.reader._by_segment(routes):
-            found[rows] = self.reader.segment(at)["counts"][numbers[rows] - self.bases[at]]
-        return found
-
-
-def _climb(lookup: _Lookup, chunk: Chunk):
-    """For each level from 2 on: context and child of every token, and number and value that
-    the trie has for them; for the level that is not built yet only the former."""
-    ends, parents = [lookup.words(chunk)[0]], []
-    for level in range(2, len(lookup.levels) + 2):
-        parents.append(lookup.parents(chunk, ends[-1], level))
-        children = lookup.child(level, ends, parents)
-        if level > len(lookup.levels):
-            yield parents[-1], children, None, None
-            return
-        number, value = lookup.entries(level, parents[-1], children)
-        ends.append(number)
-        yield parents[-1], children, number, value
+    runs = by_task(texts, "range long, size long, steps binary, children binary, n binary", count)
+    dealt = runs.repartition("range").sortWithinPartitions("range")
+    level = _level(folder, by_task(dealt, _WRITTEN, convert).collect(), number, most)
+    return model._replace(levels=[*model.levels, level])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -486,14 +599,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         lookup = _Lookup(model)
         for chunk in chunks(batches):
-            _, count = lookup.words(chunk)
+            number, count = lookup.words(chunk)
             words = (count + 1) / (n_train + n_words + 1)
             p = words
-            for level, (parents, _, number, value) in zip(
-                range(2, len(model.levels) + 1), _climb(lookup, chunk)
-            ):
-                own = np.where(number >= 0, _probability(value), 0.0)
-                p = own + lookup.handed_over(level, parents) * p
+            for _, _, found in islice(lookup.climb(chunk, number), len(model.levels) - 1):
+                own = np.where(found.number >= 0, _PROBABILITY[found.value], 0.0)
+                p = own + _PROBABILITY[found.left] * p
             doc = np.repeat(np.arange(len(chunk.lengths)), chunk.lengths)
             sums = [np.bincount(doc, np.log10(x), len(chunk.lengths)) for x in (words, p)]
             yield {

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -66,8 +67,8 @@ class Plain:
         return base, total
 
 
-def compare(made, order, result):
-    model = Plain(made, order)
+def compare(made, order, result, least=1):
+    model = Plain(made, order, least)
     expected = []
     for doc_id, tokens in model.texts:
         base, total = model.score(tokens)
@@ -80,13 +81,24 @@ def compare(made, order, result):
     assert sorted(map(repr, found)) == sorted(map(repr, expected))
 
 
-@pytest.mark.parametrize("order", [2, 3])
-def test_equals_plain_model_in_many_chunks_and_segments(spark, order):
+@pytest.mark.parametrize(("order", "least"), [(2, 2), (3, 2), (2, 1), (3, 1), (4, 1)])
+def test_equals_plain_model_in_many_chunks_and_segments(spark, order, least):
     made = rows()
     docs = table(spark, made)
-    model = ngrams.fit(docs, order, chunk_tokens=500, segment_rows=37)
+    model = ngrams.fit(docs, order, least, chunk_tokens=500, segment_rows=37)
     assert all(len(level.segments) > 2 for level in model.levels)
-    compare(made, order, ngrams.scored(docs, model))
+    # One word is on a large share of all places, so its successors are cut.
+    assert len(model.levels[1].directory()["split"])
+    compare(made, order, ngrams.scored(docs, model), least)
+
+
+def test_levels_are_compact(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = ngrams.fit(docs)
+    for level, most in ((model.levels[1], 8), (model.levels[2], 5)):
+        held = sum((Path(level.folder) / name).stat().st_size for name in level.segments)
+        assert held / level.size < most
+    assert "counts" not in ngrams.Reader(model.levels[2]).segment(0)
 
 
 def test_nothing_to_learn_from(spark):
