@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pointloom.session import scratch_dir
+
 REFERENCE = (34.0522, -118.2437)
 
 # Start of the checked k-means updates and of the nearest-center query.
@@ -53,6 +55,21 @@ def blob_sql(key: str) -> str:
     )
 
 
+def put_again(spark: SparkSession, uploads: str, path: str, rows: DataFrame) -> None:
+    """Replace an uploaded file by another of the same name."""
+    staging = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark, "put-again"))
+    rows.coalesce(1).write.option("header", True).csv(staging.toString())
+    system = staging.getFileSystem(spark._jsc.hadoopConfiguration())
+    (written,) = [
+        f.getPath() for f in system.listStatus(staging) if f.getPath().getName().startswith("part-")
+    ]
+    # The path in the form that the folder was given in.
+    plain = spark._jvm.org.apache.hadoop.fs.Path(uploads).toUri().getPath()
+    target = spark._jvm.org.apache.hadoop.fs.Path(uploads + path[path.index(plain) + len(plain) :])
+    system.delete(target, False)
+    system.rename(written, target)
+
+
 def pts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One point per order line; the groups in it are not separable."""
     return table(spark, sf_dir, "lineitem").select(

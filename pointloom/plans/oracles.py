@@ -144,8 +144,11 @@ def _uploads() -> str:
     good = " UNION ALL ".join(
         f"SELECT '{name}' AS source, {key} % 3 AS planted, 'Completed' AS status, true AS scored, "
         f"count(*) AS n_uploaded, count(*) AS n_labelled, CAST(1 AS BIGINT) AS labels_per_group, "
-        f"true AS groups_apart FROM {name} GROUP BY {key} % 3"
-        for name, key in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("part", "p_partkey"))
+        f"true AS groups_apart FROM {table} GROUP BY {key} % 3"
+        for name, table, key in (
+            ("customer", "customer", "c_custkey"), ("supplier", "supplier", "s_suppkey"),
+            ("part", "part", "p_partkey"), ("nation again", "nation", "n_nationkey"),
+        )
     )
     return (
         f"SELECT source, CAST(planted AS BIGINT) AS planted, status, scored, n_uploaded, "

@@ -1,4 +1,8 @@
-"""Uploads as a file stream: every arriving file is a job of its own."""
+"""Uploads as a stream: every arriving file is a job of its own.
+
+A file source would tell files by their paths alone, so one that is put again under a used name
+would never be run. So each start lists the upload folder and announces what the stream has not had
+yet, by path, time and length; the announcements are the files that the stream reads."""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,17 +29,23 @@ from pointloom.streaming.ledger import (
 
 # The binary file source lists files; its content column is never selected, so
 # uploads are not opened to learn their names.
-LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+UPLOAD_SCHEMA = "path string, modificationTime timestamp, length bigint"
+LISTING_SCHEMA = f"{UPLOAD_SCHEMA}, content binary"
 
 
-def job_id_of(path: str, uploads: str = "") -> str:
+def job_id_of(
+    path: str, uploads: str = "", modified: datetime | None = None, length: int | None = None
+) -> str:
     """An id for the file at a path: what its name below the upload folder reads like, and a
-    hash of that name, so that no two files share an id and one file keeps its own."""
+    hash of that name, and of time and length if they are given, so that no two uploads share an
+    id and one keeps its own."""
     folder = f"{without_scheme(uploads).rstrip('/')}/"
     name = without_scheme(path)
     if uploads and name.startswith(folder):
         name = name[len(folder) :]
     readable = re.sub(r"[^A-Za-z0-9.]+", "-", name).strip("-.")[:60]
+    if modified is not None:
+        name = f"{name}\n{_utc(modified).isoformat()}\n{length}"
     return f"{readable}-{hashlib.sha256(name.encode()).hexdigest()[:16]}"
 
 
@@ -57,37 +68,70 @@ def intake(
     jobs_at_once: int = 1,
     **job_options,
 ) -> StreamingQuery:
-    """Start a query that runs :func:`run_job` once per file and stops when none is left.
+    """Start a query that runs :func:`run_job` once per upload and stops when none is left.
 
-    Files come in the order of their times; an empty file makes no job. Results go to
+    Uploads come in the order of their times; an empty file makes no job. A file that is put again
+    with another time or length is a job of its own, under an id of its own, and the results
+    of both stand; one that is replaced before it is run is run as it is then. Results go to
     ``<outputs>/<job id>``. A job that fails is recorded with its error and the next one
     goes on. Up to ``jobs_at_once`` jobs of a batch run at the same time. ``job_options`` are
     handed to the job (reference point, k, seed, schema).
     """
-    listing = (
-        spark.readStream.format("binaryFile")
-        .schema(LISTING_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("recursiveFileLookup", True)
-        .load(uploads)
-        .select("path", "modificationTime", "length")
+    announced = f"{checkpoint.rstrip('/')}/announced"
+    announce(spark, uploads, announced, files_per_batch)
+    stream = (
+        spark.readStream.schema(f"{UPLOAD_SCHEMA}, turn string")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(announced)
     )
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        arrived = batch.filter("length > 0").orderBy("modificationTime", "path")
+        arrived = batch.orderBy("modificationTime", "path")
         stream = stream_id(spark, checkpoint)
         run_uploads(
             arrived, stream, batch_id, uploads, outputs, ledger_path, job_options, jobs_at_once
         )
 
     return (
-        listing.writeStream.foreachBatch(run_batch)
+        stream.writeStream.foreachBatch(run_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def announce(spark: SparkSession, uploads: str, announced: str, files_per_batch: int = 1) -> int:
+    """Write what the upload folder has and no announcement names yet, ``files_per_batch`` uploads a
+    file, in the order of their times; returns how many uploads are new.
+
+    A start that is cut short here has announced all, some or nothing; the next one adds the rest.
+    """
+    reader = spark.read.format("binaryFile").schema(LISTING_SCHEMA)
+    listing = reader.option("recursiveFileLookup", True).load(uploads).filter("length > 0")
+    known = _announcements(spark, announced)
+    new = listing.select("path", "modificationTime", "length").join(
+        known, ["path", "modificationTime", "length"], "left_anti"
+    )
+    # At most one name per upload that is not run yet.
+    rows = new.orderBy("modificationTime", "path").collect()
+    begun = _now().strftime("%Y%m%dT%H%M%S%f")
+    turns = [(*row, f"{begun}-{i // files_per_batch:09d}") for i, row in enumerate(rows)]
+    table = spark.createDataFrame(turns, f"{UPLOAD_SCHEMA}, turn string")
+    # One task writes the files, one after the other.
+    ordered = table.coalesce(1).sortWithinPartitions("turn")
+    ordered.write.mode("append").partitionBy("turn").parquet(announced)
+    return len(rows)
+
+
+def _announcements(spark: SparkSession, announced: str) -> DataFrame:
+    try:
+        return spark.read.schema(UPLOAD_SCHEMA).option("recursiveFileLookup", True).parquet(announced)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], UPLOAD_SCHEMA)
+
+
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark gives a stream with its checkpoint: the same after a restart, another
     for a new checkpoint, at the old place too."""
@@ -112,7 +156,10 @@ def run_uploads(
     """
     spark = arrived.sparkSession
     # At most files_per_batch names.
-    files = [(job_id_of(f["path"], uploads), f) for f in arrived.collect()]
+    files = [
+        (job_id_of(f["path"], uploads, f["modificationTime"], f["length"]), f)
+        for f in arrived.collect()
+    ]
     changes = [
         Change(job_id, QUEUED, min(_utc(file["modificationTime"]), _now()), source=file["path"])
         for job_id, file in files

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime, timezone
 
 import pytest
 
 from conftest import SAMPLE, SAMPLE_SCORE
 from pointloom.sources import read_metrics, read_points
 from pointloom.streaming import current_jobs, intake, read_ledger
-from pointloom.streaming.intake import job_id_of, run_uploads
+from pointloom.streaming.intake import announce, job_id_of, run_uploads
 
 GEO = "lat,lon\n1,1\n2,2\n60,60\n61,61\n-50,170\n-50,171\n"
 
@@ -63,8 +64,49 @@ def test_every_file_has_an_id_of_its_own():
     assert len({job_id_of(f"/u/{n}", "/u") for n in names}) == len(names)
 
 
+def test_every_version_of_a_file_has_an_id_of_its_own():
+    first, later = datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 1, 2, tzinfo=timezone.utc)
+    versions = [(first, 3), (first, 4), (later, 3)]
+    assert len({job_id_of("/u/a.csv", "/u", *v) for v in versions}) == 3
+
+
 def uploaded(tmp_path, name):
-    return job_id_of(f"{tmp_path}/uploads/{name}", f"{tmp_path}/uploads")
+    state = (tmp_path / "uploads" / name).stat()
+    when = datetime.fromtimestamp(state.st_mtime, timezone.utc)
+    return job_id_of(f"{tmp_path}/uploads/{name}", f"{tmp_path}/uploads", when, state.st_size)
+
+
+def test_a_file_put_again_is_a_job_of_its_own(spark, tmp_path, upload, run):
+    upload("a.csv", "x,y,z\n1,1,1\n2,2,2\n50,50,50\n90,90,90\n")
+    first = uploaded(tmp_path, "a.csv")
+    assert run().count() == 3
+    upload("a.csv", SAMPLE + "3,3,3,1\n" * 6)
+    second = uploaded(tmp_path, "a.csv")
+    for _ in range(2):  # without a new upload nothing is added
+        ledger = run()
+        assert ledger.count() == 6 and ledger.select("stream").distinct().count() == 1
+    jobs = {r["job_id"]: r for r in current_jobs(ledger).collect()}
+    assert {j: r["status"] for j, r in jobs.items()} == {first: "Completed", second: "Completed"}
+    counts = {j: read_points(spark, f"{r['result_path']}/results.csv").count() for j, r in jobs.items()}
+    assert counts == {first: 4, second: 15}
+
+
+def test_a_file_put_again_before_it_is_run_is_run_once(spark, tmp_path, upload, run):
+    upload("a.csv", "x,y,z\n1,1,1\n")
+    upload("a.csv", SAMPLE)
+    assert run().count() == 3
+    job = current_jobs(read_ledger(spark, f"{tmp_path}/ledger")).first()
+    assert job["status"] == "Completed" and job["job_id"] == uploaded(tmp_path, "a.csv")
+
+
+def test_announcements_survive_a_start_that_is_cut_short(spark, tmp_path, upload, run):
+    upload("a.csv", SAMPLE)
+    announced = f"{tmp_path}/progress/announced"
+    assert announce(spark, f"{tmp_path}/uploads", announced) == 1  # and no stream was started
+    upload("b.csv", SAMPLE)
+    ledger = run()
+    assert ledger.count() == 6 and current_jobs(ledger).count() == 2
+    assert announce(spark, f"{tmp_path}/uploads", announced) == 0
 
 
 def test_uploads_run_in_order_and_fail_alone(spark, tmp_path, upload, run):
