@@ -27,9 +27,9 @@ from pointloom.llm.common import by_task, folder_of, pick, scratch_dir, utf8, wr
 
 # Payloads below this size are stored in full even if others are equal.
 LEAST_SHARED = 1000
-# Bytes after which a task begins another archive, captures in an index block, and bytes of
-# an archive that one task reads.
-ARCHIVE_BYTES, BLOCK_CAPTURES, STRETCH_BYTES = 1 << 30, 1024, 1 << 26
+# Bytes after which a task begins another archive, captures in an index block, bytes of an archive
+# that are read front to back, and bytes that one task reads.
+ARCHIVE_BYTES, BLOCK_CAPTURES, STRETCH_BYTES, READ_BYTES = 1 << 30, 1024, 1 << 21, 1 << 24
 
 # What WARC 1.1 prescribes.
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -190,12 +190,14 @@ class Shard(NamedTuple):
 
 
 class CaptureIndex(NamedTuple):
-    """Sorted shards; one per task that built them, so they are few."""
+    """Sorted shards; one per task that built them, so they are few. ``n_bytes`` is the size of
+    all captures in the archives."""
 
     spark: SparkSession
     folder: str
     archives: str
     shards: list[Shard]
+    n_bytes: int
 
 
 def build_index(captures: DataFrame, archives: str) -> CaptureIndex:
@@ -233,7 +235,8 @@ def build_index(captures: DataFrame, archives: str) -> CaptureIndex:
 
     shards = by_task(ordered.select(lines.alias("line")), "first binary, last binary, name string", convert)
     found = sorted(Shard(bytes(r["first"]), bytes(r["last"]), r["name"]) for r in shards.collect())
-    return CaptureIndex(captures.sparkSession, folder, archives, found)
+    n_bytes = captures.agg(F.sum("length")).first()[0] or 0
+    return CaptureIndex(captures.sparkSession, folder, archives, found, n_bytes)
 
 
 def _key(line: bytes) -> bytes:
@@ -326,7 +329,8 @@ def read_records(index: CaptureIndex, captures: DataFrame) -> DataFrame:
     """The pages behind captures: ``page_id``, ``payload_bytes``, ``payload_digest``,
     ``record_type``, ``refers_to``.
 
-    A task reads stretches of archives from front to back, one record at a time.
+    A task reads stretches of archives from front to back, one record at a time. The number of
+    tasks follows the bytes of the archives: rows that stand for records are too small to tell.
     """
     folder = index.archives
 
@@ -347,7 +351,8 @@ def read_records(index: CaptureIndex, captures: DataFrame) -> DataFrame:
             file.close()
 
     stretch = F.floor(F.col("start") / STRETCH_BYTES)
-    dealt = captures.repartition("file", stretch).sortWithinPartitions("file", "start")
+    tasks = -(-index.n_bytes // READ_BYTES) or 1
+    dealt = captures.repartition(tasks, "file", stretch).sortWithinPartitions("file", "start")
     schema = ", ".join(f"{n} {kind}" for n, kind in _PAGE.items())
     return by_task(dealt.select("file", "start", "length"), schema, convert)
 
