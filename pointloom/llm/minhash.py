@@ -115,15 +115,17 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     """Every document against its edited text and against the next one, by descending
     ``doc_id``; after the last comes the first.
 
-    Null ids come last, null texts count as empty, and rows of one id are ordered by text hash.
-    Texts are shuffled once, by range. A task compares neighbours as it reads them in order;
+    Null ids come last, null texts count as empty, and rows of one id are ordered by text hash. Rows
+    alike in both follow each other, in any order, as they cannot be told apart. Extra columns are
+    not read; no documents give no rows. Texts are shuffled once, by range, rows alike by
+    their places in the input. A task compares neighbours as it reads them in order;
     the first and last row of each task meet those of its neighbours afterwards.
     """
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text_hash").desc()]
+    order = [F.col("doc_id").desc_nulls_last(), F.col("text_hash").desc(), F.col("place")]
     ordered = (
         pick(docs, "doc_id", "text")
         .select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-        .withColumn("text_hash", F.xxhash64("text"))
+        .withColumns({"text_hash": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from fractions import Fraction
-from heapq import heappop, heappush
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +18,8 @@ from pointloom.llm.common import WORD_PATTERN, pick, written
 
 # Parts of the seeded order that are summed before documents are.
 BUCKETS = 1 << 14
+# Rows alike that one task makes.
+COPIES = 1 << 12
 
 
 def words_in(text: str) -> Column:
@@ -30,28 +31,86 @@ def targets(
     sizes: Sequence[int], weights: Sequence[int], share: Fraction, most: int
 ) -> list[Fraction]:
     """What each source is to give: ``share`` of all sizes by weight, at most ``most`` times its
-    own size; what one cannot give the others do, by weight, until none is above."""
-    left, open_ = share * sum(sizes), set(range(len(sizes)))
+    own size; what one cannot give the others do, by weight, until none is above.
+
+    Sources are full in the order of size by weight, so one pass over that order finds them.
+    """
+    left, total = share * sum(sizes), sum(weights)
     found = [Fraction(0)] * len(sizes)
-    while open_:
-        total = sum(weights[i] for i in open_)
-        full = [i for i in open_ if left * weights[i] > most * sizes[i] * total]
-        if not full:
-            for i in open_:
-                found[i] = left * weights[i] / total
+    order = sorted(range(len(sizes)), key=lambda i: Fraction(sizes[i], weights[i]))
+    for at, i in enumerate(order):
+        if left * weights[i] <= most * sizes[i] * total:
+            level = left / total
+            for j in order[at:]:
+                found[j] = level * weights[j]
             break
-        for i in full:
-            found[i] = Fraction(most * sizes[i])
-        left -= sum(found[i] for i in full)
-        open_ -= set(full)
+        found[i] = Fraction(most * sizes[i])
+        left -= found[i]
+        total -= weights[i]
     return found
 
 
-class _Arc:
-    __slots__ = ("back", "cost", "left", "to")
-
-    def __init__(self, to: int, left: int, cost: int) -> None:
-        self.to, self.left, self.cost = to, left, cost
+class _Network:
+    """Nodes and arcs with room; arc ``a`` and its way back ``a ^ 1``."""
+
+    def __init__(self, n_nodes: int) -> None:
+        self.to: list[int] = []
+        self.room: list[int] = []
+        self.out: list[list[int]] = [[] for _ in range(n_nodes)]
+
+    def link(self, a: int, b: int, room: int) -> int:
+        self.out[a].append(len(self.to))
+        self.out[b].append(len(self.to) + 1)
+        self.to += (b, a)
+        self.room += (room, 0)
+        return len(self.to) - 2
+
+    def fill(self, source: int, sink: int) -> None:
+        """Send as much more as can be sent, all that the shortest ways take at a time."""
+        while (level := self._levels(source, sink)) is not None:
+            self._block(source, sink, level)
+
+    def _levels(self, source: int, sink: int) -> list[int] | None:
+        level = [-1] * len(self.out)
+        level[source] = 0
+        front = [source]
+        while front and level[sink] < 0:
+            reached = []
+            for a in front:
+                for arc in self.out[a]:
+                    b = self.to[arc]
+                    if self.room[arc] and level[b] < 0:
+                        level[b] = level[a] + 1
+                        reached.append(b)
+            front = reached
+        return None if level[sink] < 0 else level
+
+    def _block(self, source: int, sink: int, level: list[int]) -> None:
+        to, room, out = self.to, self.room, self.out
+        tried = [0] * len(out)
+        way: list[int] = []
+        at = source
+        while True:
+            if at == sink:
+                moved = min(room[arc] for arc in way)
+                for arc in way:
+                    room[arc] -= moved
+                    room[arc ^ 1] += moved
+                full = next(k for k, arc in enumerate(way) if not room[arc])
+                at = to[way[full] ^ 1]
+                del way[full:]
+            while tried[at] < len(out[at]):
+                arc = out[at][tried[at]]
+                if room[arc] and level[to[arc]] == level[at] + 1:
+                    way.append(arc)
+                    at = to[arc]
+                    break
+                tried[at] += 1
+            else:
+                if not way:
+                    return
+                at = to[way.pop() ^ 1]
+                tried[at] += 1
 
 
 def min_cost_flow(
@@ -60,55 +119,40 @@ def min_cost_flow(
     """Words taken of each pattern: as much of the quotas as can be met, at the least cost.
 
     Pass ``p`` over a pattern costs ``p`` a word, so costs are convex and words come from
-    patterns read less often first. Shortest augmenting paths with potentials, over one node
-    per pattern and source: its size depends on how many sets of sources there are, not on the
-    documents.
+    patterns read less often first. All a way costs is the pass at its beginning; so the cheapest
+    ways are those of the passes opened first, and it takes a blocking flow over the network of
+    patterns and sources for each pass that is opened. A pattern of one source that no other
+    pattern has is not in that network. Its size depends on how many sets of sources
+    there are, not on the documents.
     """
-    n, m = len(sizes), len(quotas)
-    source, sink = n + m, n + m + 1
-    arcs: list[list[_Arc]] = [[] for _ in range(n + m + 2)]
-
-    def link(a: int, b: int, room: int, cost: int) -> None:
-        there, back = _Arc(b, room, cost), _Arc(a, 0, -cost)
-        there.back, back.back = back, there
-        arcs[a].append(there)
-        arcs[b].append(back)
-
-    for i, size in enumerate(sizes):
-        for p in range(passes):
-            link(source, i, size, p)
+    patterns = [0] * len(quotas)
+    for some in members:
+        for s in some:
+            patterns[s] += 1
+    taken = [0] * len(sizes)
+    shared = []
+    for i, some in enumerate(members):
+        if len(some) > 1 or (some and patterns[some[0]] > 1):
+            shared.append(i)
+        elif some:
+            taken[i] = min(passes * sizes[i], quotas[some[0]])
+    place = {s: k for k, s in enumerate(sorted({s for i in shared for s in members[i]}), len(shared))}
+    source, sink = len(shared) + len(place), len(shared) + len(place) + 1
+    network = _Network(sink + 1)
+    for s, node in place.items():
+        network.link(node, sink, quotas[s])
+    opened = []
+    for k, i in enumerate(shared):
+        opened.append(network.link(source, k, 0))
         for s in members[i]:
-            link(i, n + s, passes * size, 0)
-    for s, quota in enumerate(quotas):
-        link(n + s, sink, quota, 0)
-
-    potential = [0] * (n + m + 2)
-    while True:
-        far = [float("inf")] * (n + m + 2)
-        way: list[_Arc | None] = [None] * (n + m + 2)
-        far[source] = 0
-        heap = [(0, source)]
-        while heap:
-            length, a = heappop(heap)
-            if length > far[a]:
-                continue
-            for arc in arcs[a]:
-                step = length + arc.cost + potential[a] - potential[arc.to]
-                if arc.left and step < far[arc.to]:
-                    far[arc.to], way[arc.to] = step, arc
-                    heappush(heap, (step, arc.to))
-        if way[sink] is None:
-            break
-        potential = [p + (d if d < float("inf") else 0) for p, d in zip(potential, far)]
-        path, at = [], sink
-        while at != source:
-            path.append(way[at])
-            at = way[at].back.to
-        moved = min(arc.left for arc in path)
-        for arc in path:
-            arc.left -= moved
-            arc.back.left += moved
-    return [sum(a.back.left for a in arcs[source] if a.to == i) for i in range(n)]
+            network.link(k, place[s], passes * sizes[i])
+    for _ in range(passes):
+        for arc, i in zip(opened, shared):
+            network.room[arc] += sizes[i]
+        network.fill(source, sink)
+    for arc, i in zip(opened, shared):
+        taken[i] = network.room[arc ^ 1]
+    return taken
 
 
 class Mix(NamedTuple):
@@ -137,7 +181,8 @@ def mix(
     ``taken``, as one of them may be the last to be taken.
 
     The driver holds a row per set of sources. Documents are ordered by a hash with the seed;
-    parts of that order are summed first, and only narrow rows are shuffled.
+    parts of that order are summed first, and only narrow rows are shuffled. Rows alike are
+    one row with a count until the end, when they become rows again, ``COPIES`` at a time.
     """
     spark = docs.sparkSession
     docs = docs.select(*key, F.sort_array("sources").alias("sources"), "size")
@@ -146,7 +191,10 @@ def mix(
         {s for p in patterns for s in p["sources"]}, key=lambda s: (s is None, s or "")
     )
     number = {name: i for i, name in enumerate(names)}
-    sizes = [sum(p["size"] for p in patterns if n in p["sources"]) for n in names]
+    sizes = [0] * len(names)
+    for p in patterns:
+        for name in set(p["sources"]):
+            sizes[number[name]] += p["size"]
     cycle = [weights[i % len(weights)] for i in range(len(names))]
     wanted = targets(sizes, cycle, share, most)
     flow = min_cost_flow(
@@ -168,26 +216,38 @@ def mix(
         F.to_json(F.struct("sources")).alias("pattern"), "whole", "rest"
     )
     order = F.xxhash64(*key, F.lit(seed))
-    placed = docs.withColumns(
+    alike = docs.groupBy(*key, "sources", "size").agg(F.count(F.lit(1)).alias("copies"))
+    placed = alike.withColumns(
         {
             "pattern": F.to_json(F.struct("sources")),
             "order": order,
             "bucket": F.shiftrightunsigned(order, 64 - (BUCKETS.bit_length() - 1)).cast("int"),
+            "words": F.col("size") * F.col("copies"),
         }
     )
     before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = placed.groupBy("pattern", "bucket").agg(F.sum("size").alias("total"))
+    buckets = placed.groupBy("pattern", "bucket").agg(F.sum("words").alias("total"))
     # A row per set of sources and bucket at most.
     begun = buckets.withColumn("begun", F.coalesce(F.sum("total").over(before), F.lit(0)))
     begun = begun.join(F.broadcast(pattern), "pattern").drop("total")
     inside = (
         Window.partitionBy("pattern", "bucket")
-        .orderBy("order", *key)
+        .orderBy("order", *key, "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    start = F.col("begun") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - start))
-    taken = placed.join(begun, ["pattern", "bucket"]).withColumn(
+    start = F.col("begun") + F.coalesce(F.sum("words").over(inside), F.lit(0))
+    ranged = placed.join(begun, ["pattern", "bucket"]).select(
+        *key, "sources", "size", "copies", "whole", "rest", start.alias("start")
+    )
+    few = ranged.filter(F.col("copies") <= COPIES).withColumn("part", F.lit(0).cast("long"))
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))
+    many = ranged.filter(F.col("copies") > COPIES).withColumn("part", F.explode(parts))
+    rows = few.unionByName(many.repartition(*key, "part"))
+    first = F.col("part") * COPIES
+    copy = F.explode(F.sequence(first, F.least(first + COPIES, F.col("copies")) - 1))
+    place = F.col("start") + F.col("copy") * F.col("size")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - place))
+    taken = rows.withColumn("copy", copy).withColumn(
         "taken", (F.col("whole") * F.col("size") + part).cast("long")
     )
     return Mix(taken.select(*key, "sources", "size", "taken"), sources)

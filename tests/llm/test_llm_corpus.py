@@ -6,14 +6,18 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from fractions import Fraction
 
 import numpy as np
 import pytest
-from corpus_cases import clean, lower, multiset, prose, rows, table
+import xxhash
+from corpus_cases import SCHEMA, clean, lower, multiset, prose, rows, table
 from pyspark.sql import functions as F
 
 from pointloom.llm import minhash, mixing, positional, warc
+from pointloom.llm.catalogue import QUERIES
+from pointloom.llm.common import written
 
 PAGES = "page_id long, url string, html string"
 
@@ -349,6 +353,115 @@ def test_flow_is_feasible_and_cheapest():
         assert (-sum(flow), sum(cost(f, s) for f, s in zip(flow, sizes))) == best
 
 
+def test_flow_scales():
+    """A source for each of 100,000 patterns, and 20,000 patterns that share 300 sources."""
+    rng = random.Random(15)
+    sizes = [rng.randrange(10_000) for _ in range(100_000)]
+    begin = time.perf_counter()
+    wanted = mixing.targets(sizes, [(3, 1, 2)[i % 3] for i in range(len(sizes))], Fraction(3, 2), 2)
+    quotas = [round(w) for w in wanted]
+    flow = mixing.min_cost_flow(sizes, [[i] for i in range(len(sizes))], quotas, 2)
+    assert time.perf_counter() - begin < 10
+    assert flow == [min(2 * z, q) for z, q in zip(sizes, quotas)]
+
+    members = [sorted(rng.sample(range(300), rng.randrange(1, 4))) for _ in range(20_000)]
+    quotas = [rng.randrange(1_000_000) for _ in range(300)]
+    begin = time.perf_counter()
+    flow = mixing.min_cost_flow(sizes[:20_000], members, quotas, 2)
+    assert time.perf_counter() - begin < 20
+    assert sum(flow) <= sum(quotas) and all(0 <= f <= 2 * z for f, z in zip(flow, sizes))
+
+
+def test_equal_rows_are_mixed_in_many_tasks(spark):
+    """Half of all rows alike: they are counted, and made again a few thousand at a time."""
+    made = [(1, "a b c", "en", "s0", 5)] * 20_000 + [(i, "a b", "en", "s1", 3) for i in range(20_000)]
+    docs = spark.createDataFrame(made, SCHEMA).repartition(4)
+    for name, value in (("adaptive.coalescePartitions.enabled", "false"), ("shuffle.partitions", "16")):
+        spark.conf.set(f"spark.sql.{name}", value)
+    try:
+        found = mixing.mix(mixing.of_documents(docs), ["doc_id", "text_hash"]).taken
+        mine = found.filter("sources[0] = 's0'").withColumn("task", F.spark_partition_id())
+        tasks = mine.groupBy("task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(r["count"] for r in tasks) == 20_000
+    assert max(r["count"] for r in tasks) <= 3 * mixing.COPIES
+    taken = sorted(r["taken"] for r in mine.collect())
+    assert sum(0 < t % 3 for t in taken) <= 1 and set(taken) <= {0, 3, 6, *(t for t in taken if t % 3)}
+
+
+def test_equal_rows_are_compared_in_many_tasks(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(minhash, "written", lambda *a: tables.append(written(*a)) or tables[-1])
+    made = [(1, "a b c d e f", "en", "s0", 5)] * 3000 + [(i, f"a {i}", "en", "s1", 3) for i in range(3000)]
+    docs = spark.createDataFrame(made, SCHEMA).repartition(4)
+    found = minhash.compared_with_next(docs)
+    assert found.count() == len(made)
+    assert found.filter("doc_id = 1 AND near_next = 1").count() >= 2999
+    files = tables[0].select(F.input_file_name().alias("file")).groupBy("file").count().collect()
+    assert len(files) > 2 and max(r["count"] for r in files) < 3000  # no task had all copies
+
+
+def test_query_equals_plain_fingerprints(spark, tmp_path):
+    """Binning and densification with dictionaries, through the registered query."""
+    made = [r for r in rows() if len(r[1] or "") < 5000]
+    spark.createDataFrame(made, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op2_minhash"](spark, str(tmp_path)).collect()
+
+    def plain(text):
+        words = clean(text)
+        shingles = {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+        least = {}
+        for shingle in shingles:
+            h = xxhash.xxh64_intdigest(shingle.encode(), 42)
+            at = h >> 56
+            least[at] = min(least.get(at, h), h)
+        if not least:
+            return ""
+        digits = ""
+        for at in range(256):
+            source, attempt = at, 0
+            while source not in least:
+                source, attempt = int(minhash._draw(attempt)[at]), attempt + 1
+            value = (least[source] ^ int(minhash._SPREAD[at])) * 0x9E3779B97F4A7C15 % (1 << 64)
+            digits += f"{(value ^ value >> 32) & 15:x}"
+        return digits
+
+    def likeness(a, b):
+        if not a or not b:
+            return float(a == b)
+        agree = sum(x == y for x, y in zip(a, b)) / 256
+        return min(1.0, max(0.0, (agree - 1 / 16) / (15 / 16)))
+
+    texts = {}
+    for r in made:
+        texts.setdefault(r[0], []).append(r[1] or "")
+    assert len(found) == len(made)
+    for r in found:
+        assert r["fingerprint"] in {plain(t) for t in texts[r["doc_id"]]}
+        assert r["near_edited"] == pytest.approx(likeness(r["fingerprint"], r["edited_fingerprint"]))
+        if len(r["fingerprint"]) and r["near_next"] == 1:
+            assert r["fingerprint"] in {plain(t) for some in texts.values() for t in some}
+
+
+def test_records_are_read_by_as_many_tasks_as_their_bytes_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 2000)
+    monkeypatch.setattr(warc, "STRETCH_BYTES", 500)
+    rng = random.Random(3)
+    pages = spark.createDataFrame(
+        [(i, f"http://h{i % 9}.org/{i}", f"{rng.random()} " * 30) for i in range(200)],
+        "page_id long, url string, html string",
+    )
+    index = warc.archived(pages)
+    found = warc.read_records(index, warc.lookup(index, warc.keys_of(pages)))
+    tasks = -(-index.n_bytes // 2000)
+    assert tasks > 20
+    assert found.rdd.getNumPartitions() == tasks
+    assert found.count() == 200
+    assert found.select(F.spark_partition_id()).distinct().count() > tasks / 3
+
+
 def test_overlapping_sources_fill_what_others_cannot(spark):
     docs = spark.createDataFrame(
         [(i, ["a"], 10) for i in range(50)] + [(100 + i, ["a", "b"], 10) for i in range(50)],
