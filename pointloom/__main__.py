@@ -1,5 +1,5 @@
 """``python -m pointloom --input points.csv --output folder [--config job.yaml] [--k 3] [--seed 1]
-[--schema "x double, y double, z double"] [--format parquet]``"""
+[--schema "x double, y double, z double"] [--format parquet] [--reference LAT LON]``"""
 
 from __future__ import annotations
 
@@ -28,12 +28,16 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--format", default="csv", help="format of the input (csv, parquet, ...)")
     parser.add_argument("--k", type=int, default=3, help="number of clusters")
     parser.add_argument("--seed", type=int, default=1, help="seed of the start")
+    parser.add_argument(
+        "--reference", type=float, nargs=2, metavar=("LAT", "LON"), help="point that distances are to"
+    )
     args = parser.parse_args(argv)
 
     config = read_config(args.config) if args.config else {}
     source = args.input or config.get("input_path")
     output = args.output or config.get("output_path")
     point = config.get("reference_point") or {"lat": 0.0, "lon": 0.0}
+    reference = args.reference or (point["lat"], point["lon"])
     if not source:
         print("error: give --input, or input_path in --config", file=sys.stderr)
         return 1
@@ -42,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
         get_spark(),
         source,
         output,
-        reference=(point["lat"], point["lon"]),
+        reference=tuple(reference),
         k=args.k,
         seed=args.seed,
         schema=args.schema,

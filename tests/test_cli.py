@@ -37,6 +37,13 @@ def test_format_schema_k_and_seed(spark, tmp_path, capsys):
     assert found.columns == ["a", "cluster"] and found.select("cluster").distinct().count() == 4
 
 
+def test_reference_needs_no_config(spark, write_csv, tmp_path):
+    geo = write_csv("lat,lon\n34,-118\n34.1,-118\n60,60\n61,61\n-50,0\n-50,1\n", "geo.csv")
+    assert main(["--input", geo, "--output", f"{tmp_path}/out", "--reference", "34.0", "-118.0"]) == 0
+    rows = read_points(spark, f"{tmp_path}/out/results.csv").orderBy("distance_to_center_km")
+    assert rows.first()["distance_to_center_km"] == 0.0
+
+
 def test_input_is_needed(write_csv, capsys):
     assert main([]) == 1
     assert "--input" in capsys.readouterr().err
