@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from pointloom.functions import column, quoted
+from pointloom.functions import column
 
 
 def silhouette(
@@ -44,24 +44,27 @@ def _measured(df: DataFrame, clusters: list[Row], names: list[str], label: str)
     if it is alone there) and to the nearest other cluster.
 
     The statistics are constant arrays, so the expression has the same size for any number of
-    clusters; the distances of a row are an array that is gone before the next row.
+    clusters. The own cluster's are taken out by its place, in generated code; one pass over the
+    arrays finds the nearest other.
     """
-    values = [[row[f"mean_{i}"] for row in clusters] for i in range(len(names))]
-    spread = [sum(row[f"var_{i}"] for i in range(len(names))) for row in clusters]
-    rest = [row["size"] / (row["size"] - 1) if row["size"] > 1 else None for row in clusters]
-    gaps = [
-        f"(CAST({quoted(name)} AS DOUBLE) - {_array(mean)}[i])"
-        for name, mean in zip(names, values, strict=True)
-    ]
-    distance = " + ".join(f"{gap} * {gap}" for gap in gaps)
+    values = [_array([row[f"mean_{i}"] for row in clusters]) for i in range(len(names))]
+    spread = _array([sum(row[f"var_{i}"] for i in range(len(names))) for row in clusters])
+    rest = _array([row["size"] / (row["size"] - 1) if row["size"] > 1 else None for row in clusters])
     place = F.array_position(F.array(*[F.lit(row["label"]) for row in clusters]), column(label))
     rows = df.select(
-        place.cast("int").alias("place"),
-        F.expr(f"transform({_array(spread)}, (v, i) -> {distance} + v)").alias("distances"),
+        (place - 1).cast("int").alias("place"),
+        *[column(name).cast("double").alias(f"x{i}") for i, name in enumerate(names)],
     )
+
+    def distance(at: str) -> str:
+        gaps = [f"(x{i} - {mean}[{at}])" for i, mean in enumerate(values)]
+        return " + ".join(f"{gap} * {gap}" for gap in gaps)
+
     return rows.select(
-        F.expr(f"element_at(distances, place) * element_at({_array(rest)}, place)").alias("own"),
-        F.expr("array_min(transform(distances, (d, i) -> IF(i = place - 1, NULL, d)))").alias("other"),
+        F.expr(f"({distance('place')} + {spread}[place]) * {rest}[place]").alias("own"),
+        F.expr(
+            f"array_min(transform({spread}, (v, i) -> IF(i = place, NULL, {distance('i')} + v)))"
+        ).alias("other"),
     )
 
 
