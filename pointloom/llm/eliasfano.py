@@ -7,33 +7,35 @@ import json
 import numpy as np
 from pyarrow import fs
 
-# Low parts have so many bits at most: with up to 7 ahead of them they are read as one number.
+# Low parts have so many bits at most.
 MOST_LOW = 56
 
-_BYTES = np.arange(256, dtype=np.uint8)
-_ONES = np.bitwise_count(_BYTES)
-# Place of the r-th set bit of a byte, from the low end.
-_SELECT = np.zeros((256, 8), np.int64)
+_1, _8, _63 = (np.uint64(n) for n in (1, 8, 63))
+# The same in each byte of a word.
+_EACH = np.uint64(0x0101010101010101)
+_TOPS, _PAIRS, _FOURS, _NIBBLES = (_EACH * np.uint64(n) for n in (0x80, 0x55, 0x33, 0x0F))
+# Place of the r-th set bit of byte b, from the low end, at 8 * b + r.
+_SELECT = np.zeros(256 * 8, np.uint64)
 for _byte in range(256):
     _places = [i for i in range(8) if _byte >> i & 1]
-    _SELECT[_byte, : len(_places)] = _places
-
-
-def _select(words: np.ndarray, before: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Place of the bits number ``which`` that are set in ``words``; ``before`` counts those
-    set ahead of each word."""
-    word = np.searchsorted(before, which.astype(before.dtype), "right") - 1
-    left = (which - before[word].astype(np.int64)).astype(np.uint8)
-    parts = np.ascontiguousarray(words[word]).view(np.uint8).reshape(-1, 8)
-    # Column by column: the byte in which the bit lies, and what is set before it.
-    upto, byte = np.zeros(len(word), np.uint8), np.zeros(len(word), np.int64)
-    passed = np.zeros(len(word), np.uint8)
-    for i in range(7):
-        upto = upto + _ONES[parts[:, i]]
-        beyond = upto <= left
-        byte += beyond
-        passed = np.where(beyond, upto, passed)
-    return 64 * word + 8 * byte + _SELECT[parts[np.arange(len(byte)), byte], left - passed]
+    _SELECT[8 * _byte : 8 * _byte + len(_places)] = _places
+
+
+def _select(words: np.ndarray, before: np.ndarray, which: np.ndarray, clear: bool = False) -> np.ndarray:
+    """Place of the bits number ``which`` that are set in ``words``, or that are clear; ``before``
+    counts those ahead of each word."""
+    at = np.searchsorted(before, which.astype(before.dtype), "right") - 1
+    left = (which - before[at].astype(np.int64)).astype(np.uint64)
+    word = ~words[at] if clear else words[at]
+    # Bits in each byte and those ahead of it: all bytes of a word at once.
+    count = word - (word >> _1 & _PAIRS)
+    count = (count & _FOURS) + (count >> np.uint64(2) & _FOURS)
+    upto = (count + (count >> np.uint64(4)) & _NIBBLES) * _EACH
+    passed = ((left * _EACH | _TOPS) - upto) & _TOPS
+    shift = np.bitwise_count(passed).astype(np.uint64) * _8
+    left -= (upto << _8) >> shift & np.uint64(255)
+    place = _SELECT[(word >> shift & np.uint64(255)) * _8 + left]
+    return 64 * at + (shift + place).astype(np.int64)
 
 
 def encode(values: np.ndarray) -> dict[str, np.ndarray]:
@@ -52,12 +54,17 @@ def encode(values: np.ndarray) -> dict[str, np.ndarray]:
     bits = np.zeros(64 * n_words, np.uint8)
     bits[places] = 1
     words = np.packbits(bits, bitorder="little").view("<u8")
-    ones = np.cumsum(np.bitwise_count(words)).astype(np.uint64)
+    ones = np.cumsum(np.bitwise_count(words), dtype=np.int64)
+    ones = np.concatenate(([0], ones[:-1]))
+    kind = "<u4" if 64 * n_words < 1 << 32 else "<u8"
     low = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, count=size, bitorder="little")
+    low = np.packbits(low, bitorder="little")
     return {
         "words": words,
-        "ones": np.concatenate(([0], ones[:-1])).astype("<u4" if n < 1 << 32 else "<u8"),
-        "low": np.append(np.packbits(low, bitorder="little"), np.zeros(8, np.uint8)),
+        "ones": ones.astype(kind),
+        "zeros": (64 * np.arange(n_words) - ones).astype(kind),
+        # A word more, as low parts are read two words at a time.
+        "low": np.append(low, np.zeros(-len(low) % 8 + 8, np.uint8)).view("<u8"),
         "shape": np.array([n, size, high[-1] if n else -1], "<i8"),
     }
 
@@ -66,17 +73,28 @@ class EliasFano:
     """Values by place, and places by value, for arrays of questions."""
 
     def __init__(self, arrays: dict[str, np.ndarray]) -> None:
-        self.words, self.ones = arrays["words"], arrays["ones"]
+        self.words, self.ones, self.zeros = (np.asarray(arrays[n]) for n in ("words", "ones", "zeros"))
         self.n, self.size, self.top = (int(x) for x in arrays["shape"])
-        self.low = np.lib.stride_tricks.sliding_window_view(np.asarray(arrays["low"]), 8)
-        self.zeros = np.arange(len(self.words), dtype=np.int64) * 64 - self.ones.astype(np.int64)
+        self.low = np.asarray(arrays["low"])
 
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.size:
             return np.zeros(len(at), np.uint64)
         bit = at * self.size
-        eight = self.low[bit >> 3].view("<u8")[:, 0]
-        return eight >> (bit & 7).astype(np.uint64) & np.uint64((1 << self.size) - 1)
+        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        both = self.low[word] >> shift | self.low[word + 1] << _1 << (_63 - shift)
+        return both & np.uint64((1 << self.size) - 1)
+
+    def _run_end(self, begin: np.ndarray) -> np.ndarray:
+        """Place of the first clear bit from each place on."""
+        rest = ~self.words[begin >> 6] >> (begin & 63).astype(np.uint64)
+        end = begin + np.bitwise_count((rest & -rest) - _1)
+        beyond = np.flatnonzero(rest == 0)
+        if len(beyond):
+            word = (begin[beyond] >> 6) + 1
+            first = 64 * word - self.ones[word].astype(np.int64)
+            end[beyond] = _select(self.words, self.zeros, first, clear=True)
+        return end
 
     def access(self, at: np.ndarray) -> np.ndarray:
         """The values at these places."""
@@ -97,9 +115,10 @@ class EliasFano:
         if not len(inside):
             return at, equal
         h, low = high[inside].astype(np.int64), values[inside] & np.uint64((1 << self.size) - 1)
-        flipped = ~self.words
-        a = np.where(h > 0, _select(flipped, self.zeros, np.maximum(h - 1, 0)) - h + 1, 0)
-        end = _select(flipped, self.zeros, h) - h
+        begin = np.zeros(len(h), np.int64)
+        later = h > 0
+        begin[later] = _select(self.words, self.zeros, h[later] - 1, clear=True) + 1
+        a, end = begin - h, self._run_end(begin) - h
         b = end.copy()
         while (open_ := np.flatnonzero(a < b)).size:
             middle = (a[open_] + b[open_]) // 2

@@ -19,14 +19,15 @@ are kept unless ``least`` asks for more; the share of rarer ones goes to the sho
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +39,19 @@ ORDER, LEAST_COUNT, DISCOUNT = 3, 1, 0.75
 STEPS = 20
 # Tokens that a task looks at together, and tokens whose n-grams go into one segment file.
 CHUNK_TOKENS, SEGMENT_ROWS = 1 << 20, 1 << 20
-
-SEED = 42
-_END = xxhash.xxh64_intdigest(b" end of text ", SEED)
+# Segments that a task has open at a time.
+OPEN_SEGMENTS = 1024
+# Distinct words that a task has together before it sends them.
+TASK_WORDS = 1 << 21
+
+# Bytes that are hashed together.
+BLOCK_BYTES = 1 << 20
+# Hashes are sums over a word's bytes times powers of an odd number, mixed; the end has one of its own.
+_BASE = 0x9E3779B97F4A7C15
+_END = 0x5851F42D4C957F2D
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+_WHITE_BYTE = re.compile(rb"[\x20\x09-\x0D]")
 _TOP = np.uint64(1 << 63)
 
 
@@ -64,35 +75,81 @@ class Chunk(NamedTuple):
         return np.cumsum(self.lengths) - self.lengths
 
 
+@lru_cache(maxsize=2)
+def _powers(size: int, base: int) -> np.ndarray:
+    powers = np.full(size, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
+def word_hashes(line: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a text begins, and its hash. Words are told from the sums up to their
+    edges, for all words of a block of the text at once."""
+    data, at = np.frombuffer(line, np.uint8), 0
+    begins, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    while at < len(data):
+        stop = min(at + BLOCK_BYTES, len(data))
+        if stop < len(data):  # to the next white space, so that no word is cut
+            found = _WHITE_BYTE.search(line, stop)
+            stop = found.start() if found else len(data)
+        part = data[at:stop]
+        room = max(len(part), BLOCK_BYTES)
+        size = room if room == BLOCK_BYTES else 1 << room.bit_length()
+        edge = np.diff((~_WHITE[part]).view(np.int8), prepend=0, append=0)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        steps = (part + np.uint64(1)) * _powers(size, _BASE)[: len(part)]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(steps, dtype=np.uint64)))
+        h = (sums[end] - sums[start]) * _powers(size, pow(_BASE, -1, 1 << 64))[start]
+        h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        begins.append(at + start)
+        hashes.append(h ^ h >> np.uint64(31))
+        at = stop
+    return np.concatenate(begins), np.concatenate(hashes)
+
+
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of some texts, each closed by the end, and how many each text has."""
+    begins, hashes = word_hashes(b" ".join(texts).lower())
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    closed = np.searchsorted(begins, ends)
+    return np.insert(hashes, closed, np.uint64(_END)), np.diff(closed, prepend=0) + 1
+
+
 def chunks(
     batches: Iterator[pa.RecordBatch], most: int = CHUNK_TOKENS
 ) -> Iterator[Chunk]:
-    numbers: dict[bytes | None, int] = {None: 0}
-    tokens: list[np.ndarray] = []
+    """Documents together until they have ``most`` tokens."""
+    hashes: list[np.ndarray] = []
+    lengths: list[np.ndarray] = []
     ids: list[int | None] = []
     held: list[bool] = []
     size = 0
 
     def chunk() -> Chunk:
-        hashes = [_END, *(xxhash.xxh64_intdigest(w, SEED) for w in numbers if w is not None)]
-        words, place = np.unique(np.array(hashes, np.uint64), return_inverse=True)
-        lengths = np.array([len(t) for t in tokens], np.int64)
-        return Chunk(words, place[np.concatenate(tokens)], lengths, ids, held)
+        words, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        return Chunk(words, place, np.concatenate(lengths), ids, held)
 
     for batch in batches:
         columns = [batch[c].to_pylist() for c in ("doc_id", "held_out", "text")]
-        for doc_id, held_out, text in zip(*columns):
-            words = [*text.lower().split(), None]
-            tokens.append(
-                np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words))
-            )
-            ids.append(doc_id)
-            held.append(held_out)
-            size += len(words)
+        at = 0
+        while at < batch.num_rows:
+            # Some texts at a time, of no more bytes than a block or just one.
+            stop, n_bytes = at, 0
+            room = min(BLOCK_BYTES, 4 * (most - size))
+            while stop < batch.num_rows and (stop == at or n_bytes + len(columns[2][stop]) <= room):
+                n_bytes += len(columns[2][stop])
+                stop += 1
+            found, n = _tokens(columns[2][at:stop])
+            hashes.append(found)
+            lengths.append(n)
+            ids += columns[0][at:stop]
+            held += columns[1][at:stop]
+            at, size = stop, size + len(found)
             if size >= most:
                 yield chunk()
-                numbers, tokens, ids, held, size = {None: 0}, [], [], [], 0
-    if tokens:
+                hashes, lengths, ids, held, size = [], [], [], [], 0
+    if hashes:
         yield chunk()
 
 
@@ -162,8 +219,9 @@ class Reader:
     def segment(self, at: int) -> dict:
         name = self.names[at].decode()
         if name not in self.opened:
-            if self.system.type_name != "local":
-                self.opened.clear()  # read, not mapped: one at a time
+            # Mapped ones take little memory; others are read, one at a time.
+            if len(self.opened) >= (OPEN_SEGMENTS if self.system.type_name == "local" else 1):
+                self.opened.pop(next(iter(self.opened)))
             arrays = load(self.system, f"{self.base}/{name}")
             sequences = {n.partition(".")[0] for n in arrays if "." in n}
             self.opened[name] = {
@@ -266,13 +324,17 @@ _PROBABILITY = 10 ** (np.arange(256) / -STEPS)
 
 
 def _narrow(values: np.ndarray) -> bytes:
-    """Numbers from 0 in as few whole bytes each as hold all of them."""
-    most = int(values.max(initial=0))
-    return values.astype(np.min_scalar_type(most).newbyteorder("<")).tobytes()
+    """Numbers from 0 in as few whole bytes each as hold all of them: all first bytes, then all
+    second ones, as those of one rank are alike."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def _wide(data: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // size}").astype(np.int64)
+    found = np.zeros((size, 8), np.uint8)
+    planes = np.frombuffer(data, np.uint8).reshape(-1, size)
+    found[:, : len(planes)] = planes.T
+    return found.view("<i8")[:, 0]
 
 
 class Model(NamedTuple):
@@ -382,12 +444,21 @@ def _words(texts: DataFrame, chunk_tokens: int, most: int) -> Model:
     end = np.array([_END], np.uint64)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         for chunk in chunks(batches, chunk_tokens):
             n = np.bincount(chunk.tokens, minlength=len(chunk.words))
-            words = chunk.words[n > 0]
-            part = ((words >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            yield {"part": part.astype(np.int32), "h": _shifted(words), "n": n[n > 0]}
+            both = [np.concatenate(x) for x in zip(held, (chunk.words, n))]
+            words, place = np.unique(both[0], return_inverse=True)
+            held = (words, np.bincount(place, both[1]).astype(np.int64))
+            if len(words) >= TASK_WORDS:
+                yield sent(*held)
+                held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        yield sent(*held)
+
+    def sent(words: np.ndarray, n: np.ndarray) -> dict[str, object]:
+        part = ((words >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        return {"part": part.astype(np.int32), "h": _shifted(words), "n": n}
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         system, base = folder_of(folder)
@@ -422,7 +493,7 @@ def _words(texts: DataFrame, chunk_tokens: int, most: int) -> Model:
             "at": [at], "parts": [cut], "child": [at],
         }
 
-    rows = by_task(texts, "part int, h long, n long", count)
+    rows = by_task(texts, "part int, h long, n long", counted)
     dealt = rows.repartition("part").sortWithinPartitions("h")
     level = _level(folder, by_task(dealt, _WRITTEN, convert).collect(), 1, most)
     ends = Reader(level).words(end)[1]
@@ -486,7 +557,7 @@ def _add_level(
         found = model.levels[-1].directory()
         return found["next_parents"], found["next_children"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         lookup, cuts = _Lookup(model), ranges()
         for chunk in chunks(batches, chunk_tokens):
             *_, (parents, children, _) = lookup.climb(chunk, lookup.words(chunk)[0])
@@ -580,7 +651,7 @@ def _add_level(
 
         return packed
 
-    runs = by_task(texts, "range long, size long, steps binary, children binary, n binary", count)
+    runs = by_task(texts, "range long, size long, steps binary, children binary, n binary", counted)
     dealt = runs.repartition("range").sortWithinPartitions("range")
     level = _level(folder, by_task(dealt, _WRITTEN, convert).collect(), number, most)
     return model._replace(levels=[*model.levels, level])

@@ -137,6 +137,17 @@ def test_query_keeps_ngrams_seen_once(spark, tmp_path):
     assert sorted(map(repr, expected)) == sorted(repr((r[0], round(r[1], 6))) for r in found)
 
 
+@pytest.mark.parametrize("block", [1, 7, 1 << 20])
+def test_words_are_told_by_their_hashes(monkeypatch, block):
+    monkeypatch.setattr(ngrams, "BLOCK_BYTES", block)
+    text = " ".join(r[1] or "" for r in rows()[:10]) + "  a\tb\n\x0bc\x0c\rd\x1ce  ß\x85 " + "long" * 300
+    line = text.encode()
+    begins, hashes = ngrams.word_hashes(line)
+    words = line.split()
+    assert [line[b:].split()[0] for b in begins.tolist()] == words
+    assert len(set(zip(hashes.tolist(), words))) == len(set(words)) == len(set(hashes.tolist()))
+
+
 @pytest.mark.parametrize("top", [1, 5, 100, 10**6, 2**40, 2**63, 2**64 - 1])
 @pytest.mark.parametrize("n", [0, 1, 2, 70, 3000])
 def test_sequence_finds_and_returns_values(top, n):
