@@ -304,7 +304,7 @@ def test_examples_are_judged_as_in_their_texts():
     network, classes = some_network(3), secrets.classes_of(text)
     spans = secrets.candidates(text)
     examples = [
-        secrets.Example(np.frombuffer(secrets.example_of(classes, s), np.int8), 0) for s in spans
+        secrets.Example(np.frombuffer(secrets.example_of(secrets.padded(classes), s), np.int8), 0) for s in spans
     ]
     assert np.allclose(secrets._judged(network, examples), network.logits([classes], [spans]), atol=1e-3)
 
