@@ -14,11 +14,14 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointloom.llm.common import by_batch, by_task, pick, shingle_hashes, utf8, written
 from pointloom.llm.graph import connected
+from pointloom.llm.substrings import PARTS_PER_SHUFFLE, Answers, by_part, part_of
 
 BITS = 64
 # Node pairs that are traversed together; more wait on a stack.
@@ -194,14 +197,19 @@ def near_duplicates(
     documents give no rows. Copies meet as one fingerprint before anything is compared.
     """
     prints = written(fingerprints(docs, shingle, seed), "fingerprints")
+    components = _components(prints, max_bits)
+    return prints.join(components, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def _components(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``fp``, ``root`` and ``component_id`` of every fingerprint in a table."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected(links(distinct.select("fp"), max_bits)).toDF("fp", "root")
     classes = distinct.join(roots, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least"
     )
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    components = classes.join(least, "root").select("fp", "root", "component_id")
-    return prints.join(components, "fp").select("doc_id", "fp", "root", "component_id")
+    return classes.join(least, "root").select("fp", "root", "component_id")
 
 
 def hex_digits(name: str):
@@ -215,39 +223,57 @@ def keep_one_of_each(
     """The rows of ``docs``, one of each component of :func:`near_duplicates`, all columns.
 
     It is the one with the smallest ``doc_id`` (null last); among equal ids that with the
-    smallest fingerprint, then the smallest hash of the text. The texts are shuffled once,
-    to meet the decision on them.
+    smallest fingerprint, then the smallest hash of the text, then the first of its file. Each
+    fingerprint is made once. What goes is told by file and row in the shared folder, where the
+    tasks that read the documents look it up, so texts are not moved. No documents give no rows.
     """
-    prints = near_duplicates(docs, shingle, max_bits, seed)
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "fp"))
-    kept = (
-        written(prints, "components")
-        .groupBy("root")
-        .agg(first.alias("first"))
-        .select(F.col("first.*"))
-        .toDF("__none", "__id", "__fp")
-    )
     names = [f"__column_{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    text = names[docs.columns.index("text")]
-    doc_id = F.col(names[docs.columns.index("doc_id")]).cast("long")
-    marked = plain.withColumns(
-        {
-            "__none": doc_id.isNull(),
-            "__id": F.coalesce(doc_id, F.lit(0)),
-            "__fp": _fingerprint_column(shingle, seed)(utf8(text)),
+    id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
+    rows = _with_rows(docs, names)
+    parts = PARTS_PER_SHUFFLE * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def convert(batch: pa.RecordBatch) -> dict[str, object]:
+        texts = batch["text"].to_pylist()
+        return {
+            "file": batch["file"],
+            "row": batch["row"],
+            "doc_id": batch["doc_id"],
+            "fp": [signed(fingerprint(t, shingle, seed)) for t in texts],
+            "text_hash": [signed(xxhash.xxh64_intdigest(t, seed)) for t in texts],
         }
+
+    texts = rows.select(
+        "file", "row", F.col(names[id_at]).cast("long").alias("doc_id"),
+        utf8(names[text_at]).alias("text"),
     )
-    keys = ["__none", "__id", "__fp"]
-    rows = marked.join(kept, keys).groupBy(*keys).agg(
-        F.min_by(F.struct(*names), F.xxhash64(text)).alias("row")
+    schema = "file long, row long, doc_id long, fp long, text_hash long"
+    prints = written(by_batch(texts, schema, convert), "fingerprints")
+    placed = prints.join(_components(prints, max_bits).select("fp", "root"), "fp")
+    # The numbers of a row in an order in which null ids come last.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_hash", "file", "row")
+    first = placed.groupBy("root").agg(F.min(order).alias("first"))
+    kept = first.select("root", F.col("first.file").alias("kept_file"), F.col("first.row").alias("kept_row"))
+    gone = placed.join(kept, "root").filter("file != kept_file OR row != kept_row")
+    gone = gone.select("file", "row", F.lit(0).alias("start"), F.lit(1).alias("span"))
+    told = by_part(gone, parts, "near-duplicates")
+
+    @F.pandas_udf("boolean")
+    def stays(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        answers = Answers(told)
+        for places in batches:
+            yield pd.Series([not len(answers.of(*place)[0]) for place in zip(*places)], dtype=bool)
+
+    return rows.filter(stays("file", "row", part_of(parts))).select(*names).toDF(*docs.columns)
+
+
+def _with_rows(docs: DataFrame, names: list[str]) -> DataFrame:
+    """The columns under other names, and ``file`` (a hash of its path) and ``row`` of each row.
+    What is no plain scan of Parquet files is written first."""
+    place = ("_metadata.file_path", "_metadata.row_index")
+    try:
+        marked = docs.select("*", *place)
+    except AnalysisException:
+        marked = written(docs.toDF(*names), "documents").select("*", *place)
+    return marked.toDF(*names, "file", "row").withColumns(
+        {"file": F.xxhash64("file"), "row": F.col("row").cast("long")}
     )
-    return rows.select("row.*").toDF(*docs.columns)
-
-
-def _fingerprint_column(shingle: int, seed: int):
-    @F.pandas_udf("long")
-    def column(texts: pd.Series) -> pd.Series:
-        return pd.Series([signed(fingerprint(t, shingle, seed)) for t in texts], dtype="int64")
-
-    return column

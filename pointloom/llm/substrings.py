@@ -191,16 +191,16 @@ def _answered(messages: DataFrame) -> DataFrame:
     return by_task(dealt, "file long, row long, start int, span int", convert)
 
 
-def _part(parts: int) -> Column:
+def part_of(parts: int) -> Column:
     """Where answers about a document are: neighbours in a file share a part."""
     block = F.shiftright("row", BLOCK_BITS)
     return F.pmod(F.xxhash64("file", block), F.lit(parts)).cast("int").alias("part")
 
 
-def _by_part(answers: DataFrame, parts: int, purpose: str) -> str:
+def by_part(answers: DataFrame, parts: int, purpose: str) -> str:
     """Write answers where the tasks that read the documents find them."""
     path = scratch_dir(answers.sparkSession, purpose)
-    dealt = answers.withColumn("part", _part(parts)).repartition("part")
+    dealt = answers.withColumn("part", part_of(parts)).repartition("part")
     ordered = dealt.sortWithinPartitions("part", "file", "row", "start")
     ordered.write.partitionBy("part").parquet(path)
     return path
@@ -290,7 +290,7 @@ def located(docs: DataFrame, parts: int) -> DataFrame:
         F.xxhash64("file_path").alias("file"),
         F.col("row_index").cast("long").alias("row"),
         utf8("text"),
-    ).select("doc_id", "file", "row", _part(parts), "text")
+    ).select("doc_id", "file", "row", part_of(parts), "text")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -305,7 +305,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     parts = PARTS_PER_SHUFFLE * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = located(docs, parts)
     by_row = texts.select("file", "row", "part", "text")
-    anchors = _by_part(_answered(by_task(by_row, MESSAGE, _anchors)), parts, "anchors")
+    anchors = by_part(_answered(by_task(by_row, MESSAGE, _anchors)), parts, "anchors")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         told = Answers(anchors)
@@ -322,7 +322,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             check = rolling(chunk.words ^ (chunk.words >> np.uint64(29)), WINDOW, _CHECK_BASE)[at]
             yield _messages(chunk, h, (check >> np.uint64(34)).astype(np.int64), doc, start)
 
-    repeats = _by_part(_answered(by_task(by_row, MESSAGE, windows)), parts, "windows")
+    repeats = by_part(_answered(by_task(by_row, MESSAGE, windows)), parts, "windows")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         told = Answers(repeats)

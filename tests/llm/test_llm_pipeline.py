@@ -8,7 +8,7 @@ from pathlib import Path
 import corpus_pipeline
 import duckdb
 import pytest
-from corpus_cases import clean, multiset
+from corpus_cases import SCHEMA, clean, multiset, rows, table
 from test_llm_scanners import plain_pii, plain_secrets
 from test_llm_simhash import plain_components
 
@@ -17,7 +17,7 @@ from pointloom.llm import positional, secrets, simhash, toxicity
 from pointloom.llm.catalogue import ORACLES, QUERIES
 from pointloom.llm.spans import digest
 
-NUMBERS = range(1, 11)
+NUMBERS = range(1, 14)
 
 
 @pytest.fixture(scope="module")
@@ -134,6 +134,40 @@ def test_run_is_the_chain_of_stages(spark, sf_dir):
     ]
 
 
+@pytest.mark.parametrize("made", [[], rows()])
+def test_run_on_empty_tables_and_on_nulls(spark, tmp_path, made):
+    spark.createDataFrame(made, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, int(i == 3)) for i in range(40)] + [(None, None, None)] if made else []
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet"
+    )
+    items = [("b0", "never seen words of an item here"), (None, None)] if made else []
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert bool(found) == bool(made)
+    assert {r["doc_id"] for r in found} <= {r[0] for r in made}
+    assert all(0 <= r["taken"] <= 2 * r["size"] for r in found)
+
+
+def test_clean_documents_stay_whatever_they_lack(spark):
+    def model(words):
+        weights = toxicity.np.zeros(toxicity.BUCKETS)
+        for word in words:
+            weights[toxicity.buckets_of(word.encode())[0]] = 9.0
+        return toxicity.Model(weights, -3.0)
+
+    made = [(1, "vile", "en", "s", 4), (2, None, None, None, None), (3, "", "en", "s", 0),
+            (None, "VILE words", "en", "s", 1), (4, "kind words", "en", "s", 1), (4, "kind words", "en", "s", 1)]
+    docs = table(spark, made)
+    kept = toxicity.keep_clean(docs, model(["vile"]))
+    assert kept.columns == docs.columns
+    assert multiset(r[0] for r in kept.collect()) == multiset([2, 3, 4, 4])
+    assert toxicity.keep_clean(table(spark, []), model(["vile"])).collect() == []
+    assert toxicity.keep_clean(docs, None).count() == len(made)
+
+
 def test_library_without_the_corpus_part(tmp_path):
     """Without the folders and the pipeline all else is still registered."""
     import shutil

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import xxhash
-from corpus_cases import clean, lower, multiset, rows, table
+from corpus_cases import SCHEMA, clean, lower, multiset, rows, table
 
 from pointloom.llm import graph, simhash
 
@@ -51,6 +51,15 @@ def test_one_document_of_each_component_stays(spark):
     assert multiset(r["a"] for r in found) == multiset(least.values())
 
 
+def test_texts_of_a_table_are_not_moved(spark, tmp_path):
+    spark.createDataFrame(rows(), SCHEMA).write.parquet(f"{tmp_path}/documents")
+    kept = simhash.keep_one_of_each(spark.read.parquet(f"{tmp_path}/documents"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert plan.count("ArrowEvalPython") == 1  # looks up file and row; fingerprints are made before
+    assert kept.count() == len({c for *_, c in plain_components(rows())})
+
+
 def test_no_documents(spark):
     empty = table(spark, [])
     assert simhash.near_duplicates(empty).collect() == []
