@@ -6,10 +6,13 @@ is not empty in an order of its own, drawn at random: drawing bins over and over
 not empty does just that. Values go into bands; documents that agree on a whole band share a bucket.
 
 In a bucket all meet one hub, a star of as many candidate edges as it has members, and the full
-sets confirm or refuse each edge. Where a bucket's members still lie in several components, more of
-them become hubs, four times as many each round, and meet those of other components,
-until all members that never were hubs lie in one: then no pair that shares a bucket is left
-that could join two components.
+sets confirm or refuse each edge. The hub is the member that shares the most buckets with others: of
+copies that were each changed a little that is the one they were made of. Where a bucket's members
+still lie in several components, more of them become hubs, four times as many each round, and meet
+those of other components, until all members that never were hubs lie in one: then no pair that
+shares a bucket is left that could join two components. Before each such round those go that can be
+similar to no set of another component: too few of their shingles are in any. So documents that only
+share a passage are told apart by counts of shingles, not in pairs.
 """
 
 from __future__ import annotations
@@ -18,12 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointloom.llm.common import by_task, pick, shingle_hashes, utf8, written
+from pointloom.llm.common import by_task, folder_of, pick, scratch_dir, shingle_hashes, utf8, written
 from pointloom.llm.graph import connected
 
 SHINGLE, PERCENT, SEED = 2, 80, 42
@@ -32,10 +37,16 @@ BANDS, VALUES = 32, 5
 BINS = BANDS * VALUES
 # Hubs are four times as many each round; edges of a hub that one task confirms.
 MORE_HUBS, EDGES = 4, 1 << 12
+# Documents whose sets a task makes together.
+ROWS = 1 << 10
+# Rows of a task whose choice is in one part, and parts for each shuffle partition.
+STRETCH_BITS, PARTS_PER_SHUFFLE = 12, 4
 
 _EDGES = np.array([-(-(b << 64) // BINS) for b in range(BINS)], np.uint64)
 # Rank of every bin in the order in which each empty bin asks them.
-_RANK = np.random.default_rng(SEED).permuted(np.tile(np.arange(BINS), (BINS, 1)), axis=1)
+_RANK = np.random.default_rng(SEED).permuted(
+    np.tile(np.arange(BINS, dtype=np.int16), (BINS, 1)), axis=1
+)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.random.default_rng(SEED + 1).integers(1, 1 << 63, BANDS, np.uint64)
 
@@ -59,7 +70,7 @@ def bin_values(hashes: np.ndarray) -> np.ndarray:
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
-    """A hash of the values of each band."""
+    """A hash of the values of each band; no two bands share a key, but by accident."""
     keys = _SALT.copy()
     for column in values.reshape(BANDS, VALUES).T:
         keys = (keys ^ column) * _MIX
@@ -67,23 +78,40 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys
 
 
-_SETS = "row long, doc_id long, n_shingles long, set_key binary, bands binary, shingles array<long>"
+_SETS = "row long, doc_id long, n_shingles long, set_key binary, keys array<long>, shingles array<long>"
+# Rows of a task are numbered on from its own multiple of this.
+TASK = 1 << 40
+# Numbers of rows in an order as if drawn, and back: products that wrap around.
+_SPREAD = 0xD1342543DE82EF95
+_GATHER = pow(_SPREAD, -1, 1 << 64)
+
+
+def spread(rows: np.ndarray) -> np.ndarray:
+    """A number of its own for each row, in no order."""
+    return (rows.astype(np.uint64) * np.uint64(_SPREAD)).view(np.int64)
+
+
+def gathered(numbers: np.ndarray) -> np.ndarray:
+    """The rows of such numbers."""
+    return (numbers.view(np.uint64) * np.uint64(_GATHER)).view(np.int64)
 
 
 def sets_of(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``row`` (a number of its own), ``doc_id``, ``n_shingles``, ``set_key`` (128 bits that tell
-    sets apart), ``bands`` (keys, 8 bytes each) and ``shingles`` of every document."""
+    sets apart), ``keys`` (one per band, none without shingles) and ``shingles`` of every document."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        row = TaskContext.get().partitionId() * TASK
+        slices = (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS))
+        for batch in slices:
             found = [shingles(t, size) for t in batch["text"].to_pylist()]
+            keys = [band_keys(bin_values(f)) if len(f) else f for f in found]
             yield {
-                "row": np.arange(row, row + len(found)),
+                "row": spread(np.arange(row, row + len(found))),
                 "doc_id": batch["doc_id"],
                 "n_shingles": [len(f) for f in found],
                 "set_key": [xxhash.xxh128_digest(f.tobytes()) for f in found],
-                "bands": [band_keys(bin_values(f)).astype(">u8").tobytes() if len(f) else None for f in found],
+                "keys": [k.view(np.int64) for k in keys],
                 "shingles": [f.view(np.int64) for f in found],
             }
             row += len(found)
@@ -92,15 +120,56 @@ def sets_of(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return by_task(texts, _SETS, convert)
 
 
-def members(distinct: DataFrame) -> DataFrame:
-    """``band``, ``key``, ``rep``, ``n``, ``rank`` of every distinct set and band."""
-    bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda b: F.struct(b.alias("band"), F.substring("bands", b * 8 + 1, F.lit(8)).alias("key")),
-    )
-    return distinct.select("rep", "n", F.xxhash64("rep").alias("rank"), F.inline(bands)).select(
-        "band", "key", "rep", "n", "rank"
-    )
+def chosen(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """``row`` and ``shingles`` of the sets whose ``row`` is among the rows. ``sets`` is a table as
+    :func:`sets_of` wrote it.
+
+    The few rows that are asked for go to the shared folder, in parts by stretches of what one
+    task wrote; tasks that read the sets look up their parts there, so sets are not moved.
+    """
+    spark = sets.sparkSession
+    parts = PARTS_PER_SHUFFLE * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_dir(spark, "chosen")
+
+    def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        for batch in batches:
+            row = batch["row"].to_numpy()
+            yield {"row": row, "part": _part(row, parts)}
+
+    dealt = by_task(rows, "row long, part int", stretch).repartition("part")
+    dealt.sortWithinPartitions("part").write.partitionBy("part").parquet(path)
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+        system, base = folder_of(path)
+        at, wanted = -1, np.zeros(0, np.int64)
+        for batch in batches:
+            row = batch["row"].to_numpy()
+            part, keep = _part(row, parts), np.zeros(len(row), bool)
+            edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+            for a, b in zip(edges.tolist(), edges[1:].tolist()):
+                if part[a] != at:
+                    at, wanted = int(part[a]), _rows_of(system, f"{base}/part={part[a]}")
+                keep[a:b] = np.isin(row[a:b], wanted)
+            kept = batch.filter(pa.array(keep))
+            yield {"row": kept["row"], "shingles": kept["shingles"]}
+
+    return by_task(sets.select("row", "shingles"), "row long, shingles array<long>", convert)
+
+
+def _part(numbers: np.ndarray, parts: int) -> np.ndarray:
+    """Rows that follow each other in a task's file share a part, thousands at a time."""
+    stretch = gathered(numbers).view(np.uint64) >> np.uint64(STRETCH_BITS)
+    mixed = (stretch * _MIX) >> np.uint64(32)
+    return (mixed % np.uint64(parts)).astype(np.int64)
+
+
+def _rows_of(system: fs.FileSystem, folder: str) -> np.ndarray:
+    found = [np.zeros(0, np.int64)]
+    for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        if info.path.endswith(".parquet"):
+            with system.open_input_file(info.path) as opened:
+                found.append(pq.ParquetFile(opened).read(["row"])["row"].to_numpy())
+    return np.concatenate(found)
 
 
 def _alike_in_size(a: str, b: str, percent: int):
@@ -116,7 +185,7 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     dealt = edges.withColumn("slot", F.pmod(F.xxhash64("b"), "slots"))
     ends = edges.select(F.col("a").alias("row")).union(edges.select(F.col("b").alias("row"))).distinct()
-    some = sets.select("row", "shingles").join(ends, "row", "left_semi")
+    some = written(chosen(sets, ends), "chosen-sets")
     hubs = edges.groupBy("a").agg(F.max("slots").alias("slots"))
     hubs = some.join(hubs, some["row"] == hubs["a"]).select(
         "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"),
@@ -136,48 +205,71 @@ def _edges(pairs: DataFrame, percent: int) -> DataFrame:
     return fits.groupBy(F.col("hub").alias("a"), F.col("rep").alias("b")).agg(slots)
 
 
-def links(distinct: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(``a``, ``b``): enough confirmed links between sets (``rep``, ``n``, ``bands``) to connect
-    all that share a bucket and are similar enough, directly or over others."""
-    every = members(distinct)
-    first = F.min_by(F.struct("rep", "n", "rank"), F.struct("rank", "rep")).alias("hub")
-    hubs = every.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), first)
-    hubs = hubs.filter("size > 1").select(
-        "band", "key", "size", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")
-    )
-    crowded = written(every.join(hubs, ["band", "key"]), "buckets")
-    tried = written(_edges(crowded.filter("rep != hub"), percent), "edges")
-    found = written(confirmed(tried, sets, percent), "links")
-    crowded = crowded.select("band", "key", "size", "rep", "n", "rank")
-    n_hubs = 1
+def _may_link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``rep`` of those members (``rep``, ``n``, ``root``) that may be similar to one of another
+    component: at least ``percent`` of their shingles are in a set of another one, as all that a
+    link has in common are. Shingles are counted before they are shuffled."""
+    some = chosen(sets, members.select(F.col("rep").alias("row")))
+    rows = some.select(F.col("row").alias("rep"), F.explode("shingles").alias("shingle"))
+    rows = written(rows.join(members, "rep"), "shingles")
+    shared = rows.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    shared = shared.filter("low < high").select("shingle")
+    counts = rows.join(shared, "shingle").groupBy("rep", "n").agg(F.count(F.lit(1)).alias("common"))
+    return counts.filter(100 * F.col("common") >= percent * F.col("n")).select("rep")
+
+
+def linked(distinct: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links (``a``, ``b``) between sets (``rep``, ``n``, ``keys``), enough to connect all that
+    share a bucket and are similar enough, directly or over others; and their components
+    (``rep``, ``root``), of sets with a link."""
+    spark = distinct.sparkSession
+    every = distinct.select("rep", "n", F.explode("keys").alias("key"))
+    sizes = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    crowded = written(every.join(sizes, "key"), "buckets")
+    # Members in the order in which they become hubs: those who meet most others first.
+    met = crowded.groupBy("rep").agg((-F.sum("size")).alias("rank"))
+    crowded = written(crowded.join(met, "rep"), "buckets")
+    found = tried = spark.createDataFrame([], "a long, b long")
+    roots, n_hubs = spark.createDataFrame([], "rep long, root long"), 1
+    lowest = Window.partitionBy("key").orderBy("rank", "rep")
+    turn = F.struct("rank", "rep")
     while True:
-        roots = connected(found).toDF("rep", "root")
         placed = crowded.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        # A bucket's hubs are its members of the lowest rank; each task sends that many a bucket.
-        lowest = Window.partitionBy("band", "key").orderBy("rank", "rep")
-
-        def hubs_of(rows: DataFrame, most: int) -> DataFrame:
-            return rows.withColumn("at", F.row_number().over(lowest)).filter(F.col("at") <= most)
-
-        cut = hubs_of(placed, n_hubs).groupBy("band", "key").agg(F.max(F.struct("rank", "rep")).alias("cut"))
-        left = placed.join(cut, ["band", "key"]).filter(F.struct("rank", "rep") > F.col("cut"))
-        open_ = left.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        open_ = open_.filter("low < high").select("band", "key")
-        placed = written(placed.join(open_, ["band", "key"]), "open-buckets")
-        if placed.isEmpty():
-            return found
-        n_hubs *= MORE_HUBS
-        stars = hubs_of(placed, n_hubs).select(
-            "band", "key", F.col("rep").alias("hub"), F.col("n").alias("hub_n"),
-            F.col("rank").alias("hub_rank"), F.col("root").alias("hub_root"),
-        )
-        pairs = placed.join(stars, ["band", "key"]).filter(
-            (F.col("root") != F.col("hub_root"))
-            & (F.struct("hub_rank", "hub") < F.struct("rank", "rep"))
+        # Each task sends no more members of a bucket than are to be hubs.
+        hubs = placed.withColumn("at", F.row_number().over(lowest)).filter(F.col("at") <= n_hubs)
+        hubs = written(
+            hubs.select(
+                "key", F.col("rep").alias("hub"), F.col("n").alias("hub_n"),
+                F.col("root").alias("hub_root"), turn.alias("hub_turn"),
+            ),
+            "hubs",
         )
+        pairs = placed.join(hubs, "key").filter((F.col("root") != F.col("hub_root")) & (turn > F.col("hub_turn")))
         new = written(_edges(pairs, percent).join(tried, ["a", "b"], "left_anti"), "edges")
-        found = written(found.union(confirmed(new, sets, percent)), "links")
-        tried = written(tried.union(new), "tried")
+        more = written(confirmed(new, sets, percent), "links")
+        found, tried = found.union(more), tried.union(new.select("a", "b"))
+        if not more.isEmpty():
+            # What is connected already is a star of its root.
+            stars = roots.filter("rep != root").toDF("a", "b")
+            roots = written(connected(stars.union(more)).toDF("rep", "root"), "roots")
+        placed = crowded.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        placed = written(placed, "placed")
+        open_ = _open(placed, hubs)
+        some = placed.join(open_, "key").select("rep", "n", "root").distinct()
+        alive = written(_may_link(written(some, "open-members"), sets, percent), "may-link")
+        crowded = placed.join(alive, "rep")
+        crowded = written(crowded.join(_open(crowded, hubs), "key").drop("root"), "open-buckets")
+        if crowded.isEmpty():
+            return found, roots
+        n_hubs *= MORE_HUBS
+
+
+def _open(placed: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Keys of buckets whose members after the hubs lie in several components."""
+    cut = hubs.groupBy("key").agg(F.max("hub_turn").alias("cut"))
+    left = placed.join(cut, "key").filter(F.struct("rank", "rep") > F.col("cut"))
+    ends = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return ends.filter("low < high").select("key")
 
 
 def near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -194,12 +286,11 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     sets = written(sets_of(docs, size), "sets")
     distinct = written(
         sets.filter("n_shingles > 0")
-        .groupBy("set_key", "bands", F.col("n_shingles").alias("n"))
+        .groupBy("set_key", "keys", F.col("n_shingles").alias("n"))
         .agg(F.min("row").alias("rep"), F.min("doc_id").alias("least")),
         "distinct-sets",
     )
-    found = links(distinct.select("rep", "n", "bands"), sets.select("row", "shingles"), percent)
-    roots = connected(found).toDF("rep", "root")
+    _, roots = linked(distinct.select("rep", "n", "keys"), sets, percent)
     classes = distinct.join(roots, "rep", "left").select(
         "set_key", F.coalesce("root", "rep").alias("root"), "least"
     )

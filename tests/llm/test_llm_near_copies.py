@@ -76,8 +76,9 @@ def test_template_gives_a_star_and_no_pairs(spark):
     base = prose(random.Random(7), 200).split()
     made = [(i, " ".join([*base[:i], f"new{i}", *base[i + 1 :]]), "en", "s", 1) for i in range(200)]
     sets = near_copies.written(near_copies.sets_of(table(spark, made)), "sets")
-    distinct = sets.selectExpr("row AS rep", "n_shingles AS n", "bands")
-    assert near_copies.links(distinct, sets.select("row", "shingles")).count() < 10 * len(made)
+    distinct = sets.selectExpr("row AS rep", "n_shingles AS n", "keys")
+    links, _ = near_copies.linked(distinct, sets)
+    assert links.count() < 10 * len(made)
     found = near_copies.near_copies(table(spark, made)).collect()
     assert {r["component_id"] for r in found} == {0} and sum(r["kept"] for r in found) == 1
 
@@ -94,17 +95,27 @@ def test_no_link_of_a_bucket_is_lost(spark, seed):
             base[rng.randrange(len(base))] = g * 1000 + 500 + rng.randrange(400)
     sets = sorted(set(sets), key=sorted)
     rng.shuffle(sets)
-    made = [(i, len(s), bytes(8 * near_copies.BANDS), sorted(s)) for i, s in enumerate(sets)]
-    schema = "row long, n long, bands binary, shingles array<long>"
+    numbers = near_copies.spread(np.arange(len(sets))).tolist()
+    made = [(r, len(s), list(range(32)), sorted(s)) for r, s in zip(numbers, sets)]
+    schema = "row long, n long, keys array<long>, shingles array<long>"
     df = near_copies.written(spark.createDataFrame(made, schema), "sets")
-    distinct = df.withColumnRenamed("row", "rep").select("rep", "n", "bands")
-    links = near_copies.links(distinct, df.select("row", "shingles")).collect()
+    distinct = df.withColumnRenamed("row", "rep").select("rep", "n", "keys")
+    links, roots = near_copies.linked(distinct, df)
+    at = {r: i for i, r in enumerate(numbers)}
     label = list(range(len(sets)))
+    links = [(at[a], at[b]) for a, b in links.collect()]
+    assert all(similar(sets[a], sets[b]) for a, b in links)
     for _ in sets:
         for a, b in links:
-            assert similar(sets[a], sets[b])
             label[a] = label[b] = min(label[a], label[b])
     assert label == components(sets)
+    groups = {r["rep"]: r["root"] for r in roots.collect()}
+    assert len({groups.get(r, r) for r in numbers}) == len(set(label))
+
+
+def test_rows_come_back_from_their_numbers():
+    rows = np.array([0, 1, 5 * near_copies.TASK + 7, near_copies.TASK * 900_000])
+    assert (near_copies.gathered(near_copies.spread(rows)) == rows).all()
 
 
 def test_densification_is_that_of_drawing_again_and_again():
