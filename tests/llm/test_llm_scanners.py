@@ -255,6 +255,53 @@ def test_recall_on_findings_of_kinds_held_out(spark):
     assert yes[clean].mean() <= 0.01
 
 
+def test_network_is_fitted_on_every_example_whole(spark, monkeypatch):
+    """Examples in many shards are what plain code finds; each shard, and each long candidate, counts."""
+    monkeypatch.setattr(secrets, "SHARD", 2_000)
+    long = ("/".join(f"part{i}" for i in range(300)), "x" * 3_000)
+    made = [*secret_rows(random.Random(31), 60), (60, f"see {long[0]} there", "en", "s", 1), (61, long[1], "en", "s", 1)]
+    made += made[:20]
+    expected = [set(), set()]
+    for _, text, *_ in made:
+        some, base = secrets.candidates(text), plain_secrets(text)
+        values = secrets.touching(some, secrets.values_of(text, base))
+        for span, label, other in zip(some, values, secrets.touching(some, base)):
+            if label or not other:
+                expected[int(label)].add(secrets.example_of(secrets.padded(secrets.classes_of(text)), span))
+    shards = secrets.examples_of(table(spark, made)).collect()
+    assert len(shards) > 5
+    for label in (0, 1):
+        found = [e for r in shards for k in ("fit", "aside") for e in secrets._unpacked(r[f"{k}_{label}"])]
+        assert len(found) == len(set(found)) and set(found) == expected[label]
+    assert max(map(len, expected[0])) == 3_000 + 2 * secrets.AROUND
+    # What any shard holds changes the network, and the partitions do not.
+    one, same = secrets.fit(table(spark, made)), secrets.fit(table(spark, made, 2))
+    assert all(np.array_equal(a, b) for a, b in zip(one[:3], same[:3])) and one.threshold == pytest.approx(same.threshold)
+    learned, shares = secrets.learned, []
+    state = [one.filters, one.offsets, one.weights]
+    for r in shards:
+        examples = [secrets._unpacked(r[f"fit_{label}"]) for label in (0, 1)]
+        if all(examples):
+            shares.append(any((a != b).any() for a, b in zip(learned(state, examples, 1, 1, 64, 0.01, 1), state)))
+    assert len(shares) > 5 and all(shares)
+
+
+def test_mean_of_shards_weighs_them_by_their_examples(spark):
+    rows_ = [(i, 3 * i, 0, i, 0) for i in range(1, 8)]
+    shards = spark.createDataFrame(rows_, "shard long, n_fit_0 long, n_aside_0 long, n_fit_1 long, n_aside_1 long")
+    found = secrets._mean_state(
+        shards.repartition(3), lambda row: [np.full(x.shape, float(row["shard"])) for x in secrets._some_state(0)]
+    )
+    assert all(np.allclose(x, sum(i * i for i in range(1, 8)) / 28) for x in found)
+
+
+def test_smallest_is_that_of_the_sorted_values(spark):
+    values = [random.Random(5).gauss(0, 3) for _ in range(400)] + [0.5] * 50 + [0.5 + 1e-9, -3.0, -3.0]
+    judged = spark.createDataFrame([(v,) for v in values], "logit double")
+    for rank in (0, 1, 17, 200, 230, len(values) - 1):
+        assert secrets._smallest(judged, rank) == sorted(values)[rank]
+
+
 def test_every_run_is_a_candidate():
     text = "abcdefgh a.b.c.d.e x1234567 short and-so-on/what=ever. Ünabcdefgh"
     found = [text[s.start : s.end] for s in secrets.candidates(text)]
