@@ -2,14 +2,15 @@
 
 A linear model over the distinct words of a text, trained with the non-negative
 positive-unlabelled risk: what the unlabelled text costs as non-toxic, less the share of it
-that the class prior says is toxic, and never less than nothing.
+that the class prior says is toxic, and never less than nothing. It is fitted on all documents
+of the fold: what they come to is counted in tasks, and each step sums over all of them.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -19,10 +20,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointloom.llm.common import by_batch, by_task, pick, utf8
+from pointloom.llm.common import by_batch, by_task, pick, utf8, written
 
-# Bounds of the sample that a model is fitted on. Scores cover every document.
-POSITIVES, UNLABELLED = 4_000, 8_000
+# Documents whose words are counted together, and distinct sets of weights of documents, each with
+# its number of documents, up to which the driver sums; more are summed by tasks, to the same.
+ROWS, SETS = 1 << 8, 1 << 15
+# Sums are of whole numbers of this fraction, so the same in whatever order.
+_UNIT = float(1 << 26)
 # Weights of the model: a word counts by itself and by its beginnings.
 BUCKETS = 1 << 18
 BEGINNINGS = (4, 6)
@@ -59,11 +63,10 @@ def training_fold(doc_id: str = "doc_id", folds: int = 4, held_out: int = 2) ->
 def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model | None:
     """A model of ``labels.toxic`` from the training fold; None without a toxic example.
 
-    The class prior is counted over all labelled rows of the fold. The examples are a
-    sample in the order of a seeded hash: at most ``POSITIVES`` documents with label 1, and
-    ``UNLABELLED`` of the fold with whatever label or none, which is not looked at. A ``doc_id``
-    of several rows counts as one document, with one of its texts. Only the sample's hashed words
-    reach the driver.
+    The class prior is counted over all labelled rows of the fold. The toxic examples are all
+    documents of the fold with label 1, the unlabelled ones all of the fold with whatever label or
+    none, which is not looked at. A ``doc_id`` of several rows counts as one document, with one of
+    its texts. Only counts of hashed words, and sums, reach the driver.
     """
     known = (
         pick(labels, "doc_id", "toxic")
@@ -74,55 +77,146 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model | None:
     prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     if not prior:
         return None
-    texts = pick(docs, "doc_id", "text").filter(training_fold())
-    order = F.xxhash64("doc_id", F.lit(seed))
-    toxic = known.filter("toxic = 1").select("doc_id").orderBy(order, "doc_id").limit(POSITIVES)
-    others = texts.select("doc_id").distinct().orderBy(order, "doc_id").limit(UNLABELLED)
-    chosen = toxic.withColumn("positive", F.lit(1)).union(others.withColumn("positive", F.lit(0)))
-    # At most POSITIVES + UNLABELLED rows of an id and a flag.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "positive", utf8("text"))
+    # Written, so that few ids are known to be few and no text is moved.
+    toxic = written(known.filter("toxic = 1").select("doc_id"), "toxic-ids")
+    texts = pick(docs, "doc_id", "text").filter(training_fold()).select("doc_id", utf8("text"))
+    repeated = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    repeated = written(repeated, "ids-of-several-rows")
     # Of the texts of one id the one with the smallest hash.
     first = F.min(F.struct(F.xxhash64("text", F.lit(seed)), "text"))["text"].alias("text")
-    rows = rows.groupBy("doc_id", "positive").agg(first)
-
-    def convert(batch: pa.RecordBatch) -> dict[str, object]:
-        found = [
-            np.array(sorted({b for w in words_of(t) for b in buckets_of(w)}), "<i4").tobytes()
-            for t in batch["text"].to_pylist()
-        ]
-        return {"doc_id": batch["doc_id"], "positive": batch["positive"], "buckets": found}
-
-    sample = by_batch(rows, "doc_id long, positive int, buckets binary", convert).toPandas()
-    sample = sample.sort_values(["positive", "doc_id", "buckets"], kind="stable")
-    sets = {
-        label: [np.frombuffer(b, "<i4") for b in sample["buckets"][sample["positive"] == label]]
-        for label in (0, 1)
-    }
-    if not sets[1]:
+    several = texts.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(first)
+    unlabelled = texts.join(repeated, "doc_id", "left_anti").union(several)
+    positive = unlabelled.join(toxic, "doc_id", "left_semi")
+    if positive.isEmpty():
         return None
-    return train(sets[1], sets[0], min(prior, 0.99))
+    return train(Examples(positive), Examples(unlabelled), min(prior, 0.99))
+
+
+def _remembering(of: Callable[[bytes], tuple[int, ...]]) -> Callable[[bytes], tuple[int, ...]]:
+    """The same function, which remembers ``MEMO`` words."""
+    known: dict[bytes, tuple[int, ...]] = {}
+
+    def remembered(word: bytes) -> tuple[int, ...]:
+        found = known.get(word)
+        if found is None:
+            if len(known) >= MEMO:
+                known.clear()
+            found = known[word] = of(word)
+        return found
+
+    return remembered
+
+
+class Examples:
+    """Documents (``text``), each as the buckets of its words."""
+
+    def __init__(self, texts: DataFrame) -> None:
+        self.texts = texts.select("text")
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        def convert(batch: pa.RecordBatch) -> dict[str, object]:
+            found = [sorted({b for w in words_of(t) for b in buckets_of(w)}) for t in batch["text"].to_pylist()]
+            return {"buckets": [np.array(f, "<i4").tobytes() for f in found]}
+
+        for row in by_batch(self.texts, "buckets binary", convert).orderBy("buckets").toLocalIterator():
+            yield np.frombuffer(row["buckets"], "<i4")
+
+    def counts(self) -> tuple[int, np.ndarray]:
+        """Documents, and those that have each bucket."""
+
+        def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+            buckets, have, n = _remembering(lambda w: tuple(buckets_of(w))), np.zeros(BUCKETS, np.int64), 0
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS):
+                    texts = batch["text"].slice(at, ROWS).to_pylist()
+                    some = [b for t in texts for b in set().union(*map(buckets, words_of(t)))]
+                    have += np.bincount(np.array(some, np.int64), minlength=BUCKETS)
+                    n += len(texts)
+            found = np.flatnonzero(have)
+            yield {"bucket": np.append(found, BUCKETS), "n": np.append(have[found], n)}
+
+        rows = by_task(self.texts, "bucket long, n long", convert).groupBy("bucket").agg(F.sum("n"))
+        have = np.zeros(BUCKETS + 1, np.int64)
+        for bucket, n in rows.collect():
+            have[bucket] = n
+        return int(have[-1]), have[:-1]
+
+    def within(self, columns: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+        """The function :func:`_sums` of a model over all documents."""
+
+        def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+            places = {int(c): i for i, c in enumerate(columns)}
+            weighted = _remembering(lambda w: tuple(places[b] for b in buckets_of(w) if b in places))
+            for batch in batches:
+                found = [
+                    sorted(set().union(*map(weighted, words_of(t)))) for t in batch["text"].to_pylist()
+                ]
+                yield {"places": [np.array(f, "<i4").tobytes() for f in found]}
 
+        alike = by_task(self.texts, "places binary", convert).groupBy("places")
+        sets = written(alike.agg(F.count(F.lit(1)).alias("n")), "weighted-sets")
+        if sets.count() <= SETS:
+            some = sets.collect()
+            rows = _Rows([np.frombuffer(r["places"], "<i4") for r in some], [r["n"] for r in some])
+            return lambda model: _sums(rows, model)
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
-    """Descent on the non-negative risk with logistic losses, over whole samples.
+        def in_tasks(model: np.ndarray) -> np.ndarray:
+            def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+                total = np.zeros(len(model) + 1, np.int64)
+                for batch in batches:
+                    places = [np.frombuffer(p, "<i4") for p in batch["places"].to_pylist()]
+                    total += _sums(_Rows(places, batch["n"].to_numpy()), model)
+                yield {"sums": [total.tobytes()]}
+
+            found = by_task(sets, "sums binary", partial).collect()
+            return sum((np.frombuffer(r["sums"], np.int64) for r in found), np.zeros(len(model) + 1, np.int64))
+
+        return in_tasks
+
+
+class Listed:
+    """Documents at hand, as :class:`Examples`."""
+
+    def __init__(self, documents: Iterable[np.ndarray]) -> None:
+        self.documents = list(documents)
+
+    def counts(self) -> tuple[int, np.ndarray]:
+        every = np.concatenate([*self.documents, np.zeros(0, np.int32)])
+        return len(self.documents), np.bincount(every, minlength=BUCKETS)
+
+    def within(self, columns: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+        position = np.full(BUCKETS, -1)
+        position[columns] = np.arange(len(columns))
+        found = [position[d] for d in self.documents]
+        rows = _Rows([f[f >= 0] for f in found], np.ones(len(found), np.int64))
+        return lambda model: _sums(rows, model)
+
+
+def train(
+    positive: Examples | Iterable[np.ndarray], unlabelled: Examples | Iterable[np.ndarray], prior: float
+) -> Model:
+    """Descent on the non-negative risk with logistic losses, over all examples.
 
     Where the estimated cost of the non-toxic part falls below nothing, which only
     overfitting can bring about, the step undoes that part instead. Only buckets that are
     clearly more frequent in toxic than in unlabelled text get a weight: others would be
     learned by heart.
     """
-    columns = _telling(positive, unlabelled)
-    p, u = _Rows(positive, columns), _Rows(unlabelled, columns)
+    positive, unlabelled = (x if isinstance(x, Examples) else Listed(x) for x in (positive, unlabelled))
+    (n_p, have), (n_u, usual) = positive.counts(), unlabelled.counts()
+    columns = _telling(n_p, have, n_u, usual)
+    p, u = positive.within(columns), unlabelled.within(columns)
+    ones = np.append(have[columns], n_p) / max(n_p, 1)
     model = np.append(np.zeros(len(columns)), math.log(prior / (1 - prior)))
     slope, square, total = np.zeros(len(model)), np.zeros(len(model)), np.zeros(len(model))
     for step in range(1, STEPS + 1):
-        p_out, u_out = p.score(model), u.score(model)
-        p_one, u_one = _sigmoid(p_out), _sigmoid(u_out)
-        # Calling z non-toxic costs log(1 + e^z), calling it toxic log(1 + e^-z).
-        clean = _mean(np.logaddexp(0, u_out)) - prior * _mean(np.logaddexp(0, p_out))
-        gradient = u.gradient(u_one) - prior * p.gradient(p_one)
+        # Means of calling z toxic by weight, and last of log(1 + e^z), the cost of calling it
+        # non-toxic; calling it toxic costs log(1 + e^-z).
+        p_one, u_one = p(model) / (_UNIT * max(n_p, 1)), u(model) / (_UNIT * max(n_u, 1))
+        clean = u_one[-1] - prior * p_one[-1]
+        gradient = u_one[:-1] - prior * p_one[:-1]
         if clean >= 0:
-            gradient = gradient + prior * p.gradient(p_one - 1)
+            gradient = gradient + prior * (p_one[:-1] - ones)
         else:
             gradient = -gradient
         gradient[:-1] += DECAY * model[:-1]
@@ -138,40 +232,33 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return Model(weights, float(model[-1]))
 
 
-def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+def _telling(n_p: int, have: np.ndarray, n_u: int, usual: np.ndarray) -> np.ndarray:
     """Buckets whose share of the toxic examples is ``CLEARLY`` standard errors above their
     share of the unlabelled ones, and which at least ``LEAST_EXAMPLES`` of the former have."""
-    nothing = np.zeros(0, np.int32)
-    have = np.bincount(np.concatenate([*positive, nothing]), minlength=BUCKETS)
-    usual = (np.bincount(np.concatenate([*unlabelled, nothing]), minlength=BUCKETS) + 0.5) / (
-        len(unlabelled) + 1
-    )
-    error = np.sqrt(usual * (1 - usual) / len(positive))
-    clearly = have / len(positive) - usual >= CLEARLY * error
+    usual = (usual + 0.5) / (n_u + 1)
+    error = np.sqrt(usual * (1 - usual) / n_p)
+    clearly = have / n_p - usual >= CLEARLY * error
     return np.flatnonzero(clearly & (have >= LEAST_EXAMPLES))
 
 
 class _Rows:
-    """Documents as positions in ``columns``, end to end, other buckets left out."""
-
-    def __init__(self, rows: list[np.ndarray], columns: np.ndarray) -> None:
-        self.size, self.width = len(rows), len(columns)
-        position = np.full(BUCKETS, -1)
-        position[columns] = np.arange(self.width)
-        at = position[np.concatenate([*rows, np.zeros(0, np.int32)])]
-        self.rows = np.repeat(np.arange(self.size), [len(r) for r in rows])[at >= 0]
-        self.at = at[at >= 0]
+    """Sets of positions end to end, and how many documents have each set."""
 
-    def score(self, model: np.ndarray) -> np.ndarray:
-        return np.bincount(self.rows, model[self.at], self.size) + model[-1]
+    def __init__(self, sets: list[np.ndarray], n: Iterable[int]) -> None:
+        self.n = np.array(n, np.int64)
+        self.rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        self.at = np.concatenate([*sets, np.zeros(0, np.int32)])
 
-    def gradient(self, slopes: np.ndarray) -> np.ndarray:
-        total = np.bincount(self.at, slopes[self.rows], self.width)
-        return np.append(total, slopes.sum()) / max(self.size, 1)
 
-
-def _mean(values: np.ndarray) -> float:
-    return float(values.mean()) if len(values) else 0.0
+def _sums(rows: _Rows, model: np.ndarray) -> np.ndarray:
+    """Of all documents, the probabilities by weight and bias, and log(1 + e^z), in whole units."""
+    out = np.bincount(rows.rows, model[rows.at], len(rows.n)) + model[-1]
+    one = np.rint(_sigmoid(out) * _UNIT).astype(np.int64) * rows.n
+    cost = np.rint(np.logaddexp(0, out) * _UNIT).astype(np.int64) * rows.n
+    total = np.zeros(len(model) + 1, np.int64)
+    np.add.at(total, rows.at, one[rows.rows])
+    total[-2:] = one.sum(), cost.sum()
+    return total
 
 
 def _sigmoid(values: np.ndarray) -> np.ndarray:
@@ -183,15 +270,7 @@ def scorer(model: Model | None) -> Callable[[list[bytes]], np.ndarray]:
     if model is None:
         return lambda texts: np.zeros(len(texts))
     weights = {int(i): float(model.weights[i]) for i in np.flatnonzero(model.weights)}
-    buckets: dict[bytes, tuple[int, ...]] = {}
-
-    def weighted(word: bytes) -> tuple[int, ...]:
-        found = buckets.get(word)
-        if found is None:
-            if len(buckets) >= MEMO:
-                buckets.clear()
-            found = buckets[word] = tuple(b for b in buckets_of(word) if b in weights)
-        return found
+    weighted = _remembering(lambda w: tuple(b for b in buckets_of(w) if b in weights))
 
     def score(texts: list[bytes]) -> np.ndarray:
         sums = [

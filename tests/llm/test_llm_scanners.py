@@ -489,6 +489,29 @@ def test_an_id_of_many_rows_is_one_example(spark, monkeypatch):
     assert (positive, unlabelled) == toxicity.fit(table(spark, made, 3), labels)
 
 
+def test_toxicity_is_fitted_on_every_document(spark, monkeypatch):
+    """More documents of the fold than any bound, each counted once, summed by tasks as by the driver."""
+    made = list(toxic_rows(random.Random(15), 12_500))
+    docs = table(spark, made)
+    labels = spark.createDataFrame([(r[0], 1, int(r[0] % 5 == 0)) for r in made], "doc_id long, quality int, toxic int")
+    learned = [r for r in made if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    assert len(learned) > 8_000
+    sets = {i: np.array(sorted({b for w in toxicity.words_of(t.encode()) for b in toxicity.buckets_of(w)}), np.int32)
+            for i, t, *_ in learned}
+    positive = [s for i, s in sets.items() if i % 5 == 0]
+    expected = toxicity.train(positive, list(sets.values()), len(positive) / len(sets))
+    one = toxicity.fit(docs, labels)
+    assert (one.weights == expected.weights).all() and one.bias == expected.bias
+    n, have = toxicity.Examples(spark.createDataFrame([(r[1].encode(),) for r in made], "text binary")).counts()
+    assert n == len(made)
+    assert have[toxicity.buckets_of(b"grimble")[0]] == sum("grimble" in t.split() for _, t, *_ in made)
+    monkeypatch.setattr(toxicity, "SETS", 0)
+    monkeypatch.setattr(toxicity, "STEPS", 4)
+    few = toxicity.train(positive, list(sets.values()), len(positive) / len(sets))
+    other = toxicity.fit(docs.repartition(3), labels)
+    assert (few.weights == other.weights).all() and few.bias == other.bias and few.weights.any()
+
+
 def test_toxicity_edge_cases(spark):
     made = rows()
     docs = table(spark, made)
