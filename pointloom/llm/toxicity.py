@@ -25,7 +25,7 @@ from pointloom.llm.common import by_batch, by_task, pick, utf8, written
 # Documents whose words are counted together, and distinct sets of weights of documents, each with
 # its number of documents, up to which the driver sums; more are summed by tasks, to the same.
 ROWS, SETS = 1 << 8, 1 << 15
-# Sums are of whole numbers of this fraction, so the same in whatever order.
+# Sums are of whole numbers of this fraction and of its square, so the same in whatever order.
 _UNIT = float(1 << 26)
 # Weights of the model: a word counts by itself and by its beginnings.
 BUCKETS = 1 << 18
@@ -162,14 +162,15 @@ class Examples:
 
         def in_tasks(model: np.ndarray) -> np.ndarray:
             def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
-                total = np.zeros(len(model) + 1, np.int64)
+                total = np.zeros((2, len(model) + 1), np.int64)
                 for batch in batches:
                     places = [np.frombuffer(p, "<i4") for p in batch["places"].to_pylist()]
                     total += _sums(_Rows(places, batch["n"].to_numpy()), model)
                 yield {"sums": [total.tobytes()]}
 
             found = by_task(sets, "sums binary", partial).collect()
-            return sum((np.frombuffer(r["sums"], np.int64) for r in found), np.zeros(len(model) + 1, np.int64))
+            nothing = np.zeros((2, len(model) + 1), np.int64)
+            return sum((np.frombuffer(r["sums"], np.int64).reshape(2, -1) for r in found), nothing)
 
         return in_tasks
 
@@ -212,7 +213,7 @@ def train(
     for step in range(1, STEPS + 1):
         # Means of calling z toxic by weight, and last of log(1 + e^z), the cost of calling it
         # non-toxic; calling it toxic costs log(1 + e^-z).
-        p_one, u_one = p(model) / (_UNIT * max(n_p, 1)), u(model) / (_UNIT * max(n_u, 1))
+        p_one, u_one = _fraction(p(model)) / max(n_p, 1), _fraction(u(model)) / max(n_u, 1)
         clean = u_one[-1] - prior * p_one[-1]
         gradient = u_one[:-1] - prior * p_one[:-1]
         if clean >= 0:
@@ -251,16 +252,26 @@ class _Rows:
 
 
 def _sums(rows: _Rows, model: np.ndarray) -> np.ndarray:
-    """Of all documents, the probabilities by weight and bias, and log(1 + e^z), in whole units."""
+    """Of all documents, the probabilities by weight and bias, and log(1 + e^z), in whole units and
+    what these leave over in whole squares of units."""
     out = np.bincount(rows.rows, model[rows.at], len(rows.n)) + model[-1]
-    one = np.rint(_sigmoid(out) * _UNIT).astype(np.int64) * rows.n
-    cost = np.rint(np.logaddexp(0, out) * _UNIT).astype(np.int64) * rows.n
-    total = np.zeros(len(model) + 1, np.int64)
-    np.add.at(total, rows.at, one[rows.rows])
-    total[-2:] = one.sum(), cost.sum()
+    one, cost = _whole(_sigmoid(out)) * rows.n, _whole(np.logaddexp(0, out)) * rows.n
+    total = np.zeros((2, len(model) + 1), np.int64)
+    for k in (0, 1):
+        np.add.at(total[k], rows.at, one[k][rows.rows])
+    total[:, -2], total[:, -1] = one.sum(1), cost.sum(1)
     return total
 
 
+def _whole(values: np.ndarray) -> np.ndarray:
+    units = values * _UNIT
+    return np.stack((np.rint(units), np.rint((units - np.rint(units)) * _UNIT))).astype(np.int64)
+
+
+def _fraction(total: np.ndarray) -> np.ndarray:
+    return total[0] / _UNIT + total[1] / _UNIT**2
+
+
 def _sigmoid(values: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(values, -50, 50)))
 
