@@ -154,18 +154,17 @@ class Examples:
                 yield {"places": [np.array(f, "<i4").tobytes() for f in found]}
 
         alike = by_task(self.texts, "places binary", convert).groupBy("places")
-        sets = written(alike.agg(F.count(F.lit(1)).alias("n")), "weighted-sets")
-        if sets.count() <= SETS:
-            some = sets.collect()
-            rows = _Rows([np.frombuffer(r["places"], "<i4") for r in some], [r["n"] for r in some])
+        alike = by_task(alike.agg(F.count(F.lit(1)).alias("n")), _PACKED, _packs)
+        sets = written(alike, "weighted-sets")
+        if (sets.agg(F.sum("sets")).first()[0] or 0) <= SETS:
+            rows = _unpacked([r.asDict() for r in sets.collect()])
             return lambda model: _sums(rows, model)
 
         def in_tasks(model: np.ndarray) -> np.ndarray:
             def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
                 total = np.zeros((2, len(model) + 1), np.int64)
                 for batch in batches:
-                    places = [np.frombuffer(p, "<i4") for p in batch["places"].to_pylist()]
-                    total += _sums(_Rows(places, batch["n"].to_numpy()), model)
+                    total += _sums(_unpacked(batch.to_pylist()), model)
                 yield {"sums": [total.tobytes()]}
 
             found = by_task(sets, "sums binary", partial).collect()
@@ -245,12 +244,38 @@ def _telling(n_p: int, have: np.ndarray, n_u: int, usual: np.ndarray) -> np.ndar
 class _Rows:
     """Sets of positions end to end, and how many documents have each set."""
 
-    def __init__(self, sets: list[np.ndarray], n: Iterable[int]) -> None:
+    def __init__(self, sets: list[np.ndarray], n: Iterable[int], sizes: np.ndarray | None = None) -> None:
         self.n = np.array(n, np.int64)
-        self.rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        sizes = np.array([len(s) for s in sets], np.int64) if sizes is None else sizes
+        self.rows = np.repeat(np.arange(len(self.n)), sizes)
         self.at = np.concatenate([*sets, np.zeros(0, np.int32)])
 
 
+# Sets end to end, thousands in a row, so that a step does not go through them one by one.
+_PACKED, PACK = "sets long, places binary, sizes binary, n binary", 1 << 12
+
+
+def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, PACK):
+            some = batch.slice(at, PACK)
+            places = some["places"].to_pylist()
+            yield {
+                "sets": [len(places)],
+                "places": [b"".join(places)],
+                "sizes": [np.array([len(p) // 4 for p in places], "<i8").tobytes()],
+                "n": [some["n"].to_numpy().astype("<i8").tobytes()],
+            }
+
+
+def _unpacked(packs: list[dict[str, object]]) -> _Rows:
+    places, sizes, n = (
+        np.frombuffer(b"".join(p[name] for p in packs), kind)
+        for name, kind in (("places", "<i4"), ("sizes", "<i8"), ("n", "<i8"))
+    )
+    return _Rows([places], n, sizes)
+
+
 def _sums(rows: _Rows, model: np.ndarray) -> np.ndarray:
     """Of all documents, the probabilities by weight and bias, and log(1 + e^z), in whole units and
     what these leave over in whole squares of units."""
