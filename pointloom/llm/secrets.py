@@ -60,8 +60,12 @@ CLASSES, FILTERS, SPAN = 12, 24, 5
 EPOCHS, STEPS, RATE, ON_RATE = 8, 200, 0.01, 0.002
 # Examples of the label that has more in a step: least and most of them there, and where all go on.
 BATCH, MOST, ON_BATCH = 64, 256, 1024
-# Places of texts that are convolved together, and texts whose candidates are judged together.
+# Places of examples that are convolved together and of texts that are judged together, and texts
+# of which that is done at most.
 PLACES, TEXTS = 1 << 17, 256
+# Places whose answers are held at once, and the longest run of them with its strongest at hand.
+BLOCK, RUN = 1 << 12, 16
+_RUNS = 2 ** np.arange(RUN.bit_length())
 
 
 def base_spans(text: str) -> list[Span]:
@@ -153,28 +157,40 @@ class Network(NamedTuple):
     def _pooled(self, line: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         three, two = _answer_tables(self.filters.astype(np.float32), self.offsets.astype(np.float32))
         features = np.zeros((len(start) * PARTS, FILTERS), np.float32)
-        rows = np.arange(len(start) * PARTS).reshape(PARTS, -1)
-        ranges = zip(rows, *np.array(_ranges(start, end)).transpose(1, 0, 2))
-        row, low, high = (np.concatenate(x) for x in zip(*ranges))
-        # Long ranges go in pieces, and pieces in blocks of bounded length.
-        n = -(-(high - low) // PLACES)
-        piece = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        row, low, high = np.repeat(row, n), np.repeat(low, n) + piece * PLACES, np.repeat(high, n)
-        high = np.minimum(high, low + PLACES)
+        low, high = np.array(_ranges(start, end)).transpose(1, 0, 2).reshape(2, -1)
+        # Ranges go in pieces that two runs of ``RUN`` cover, and pieces in blocks of bounded length.
+        n = -(-(high - low) // (2 * RUN))
+        row = np.repeat(np.arange(len(low)), n)
+        piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        low, high = low[row] + piece * 2 * RUN, high[row]
+        high = np.minimum(high, low + 2 * RUN)
         order = np.argsort(low, kind="stable")
         row, low, high = row[order], low[order], high[order]
+        whole = n[row] == 1
+        level = np.searchsorted(_RUNS, high - low, "right") - 1
         at = 0
         while at < len(low):
-            stop = int(np.searchsorted(low, low[at] + PLACES, "left"))
+            stop = int(np.searchsorted(low, low[at] + BLOCK, "left"))
             base, top = int(low[at]), int(high[at:stop].max())
             c = line[base : top + SPAN - 1]
-            answers = three[(c[:-4] * CLASSES + c[1:-3]) * CLASSES + c[2:-2]]
-            answers += two[c[3:-1] * CLASSES + c[4:]]
-            # A row more, so that a range may end with the last place.
-            answers = np.concatenate((answers, np.full((1, FILTERS), -np.inf, np.float32)))
-            pairs = np.stack((low[at:stop], high[at:stop]), 1).ravel() - base
-            best = np.maximum.reduceat(answers, pairs, axis=0)[::2]
-            np.maximum.at(features, row[at:stop], best)
+            # The strongest answers of runs of 1, 2, 4, ... places, by the place where they begin.
+            best = np.take(three, (c[:-4] * CLASSES + c[1:-3]) * CLASSES + c[2:-2], axis=0)
+            best += np.take(two, c[3:-1] * CLASSES + c[4:], axis=0)
+            found = np.empty((stop - at, FILTERS), np.float32)
+            for k, run in enumerate(_RUNS.tolist()):
+                if k:
+                    best = np.maximum(best[: -run // 2], best[run // 2 :])
+                these = np.flatnonzero(level[at:stop] == k)
+                if len(these):
+                    one = np.take(best, low[at + these] - base, axis=0)
+                    other = np.take(best, high[at + these] - run - base, axis=0)
+                    found[these] = np.maximum(one, other, out=one)
+                if len(best) <= run:
+                    break
+            np.maximum(found, 0, out=found)
+            alone = whole[at:stop]
+            features[row[at:stop][alone]] = found[alone]
+            np.maximum.at(features, row[at:stop][~alone], found[~alone])
             at = stop
         return features.reshape(PARTS, len(start), FILTERS).transpose(1, 0, 2).reshape(len(start), -1)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -346,6 +347,30 @@ def test_sliding_equals_one_candidate_at_a_time(monkeypatch, places):
     assert np.allclose(network.logits(classes, spans), expected, atol=1e-3)
 
 
+@pytest.mark.parametrize("block", [1, 7, 64, 1 << 12])
+def test_answers_are_pooled_in_blocks(monkeypatch, block):
+    monkeypatch.setattr(secrets, "BLOCK", block, raising=False)
+    rng, network = np.random.default_rng(5), some_network(2)
+    lengths = [*range(1, 70), 127, 128, 129, 200]
+    texts = [rng.integers(1, secrets.CLASSES, n + 40).astype(np.int8) for n in lengths]
+    spans = [[Span("model", 9, 9 + n), Span("model", 20 + n, 21 + n)] for n in lengths]
+    expected = [plain_logit(network, c, s) for c, some in zip(texts, spans) for s in some]
+    assert np.allclose(network.logits(texts, spans), expected, atol=1e-3)
+
+
+def test_answers_of_few_places_are_held_at_once():
+    text, network = np.ones(120_000, np.int8), some_network()
+    spans = [Span("model", at, at + 10) for at in range(0, len(text) - 10, 40)]
+    tracemalloc.start()
+    try:
+        network.logits([text], [spans])
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # All answers take 11.5 MB.
+    assert most < 8e6
+
+
 def test_examples_are_judged_as_in_their_texts():
     text = f"walk to the {'a7/b' * 9} and {'x' * secrets.INSIDE} then"
     network, classes = some_network(3), secrets.classes_of(text)
