@@ -37,8 +37,8 @@ BANDS, VALUES = 32, 5
 BINS = BANDS * VALUES
 # Hubs are four times as many each round; edges of a hub that one task confirms.
 MORE_HUBS, EDGES = 4, 1 << 12
-# Documents whose sets a task makes together.
-ROWS = 1 << 10
+# Documents whose sets a task makes, and reads, together; bytes of a file that it reads at once.
+ROWS, BUFFER = 1 << 10, 1 << 20
 # Rows of a task whose choice is in one part, and parts for each shuffle partition.
 STRETCH_BITS, PARTS_PER_SHUFFLE = 12, 4
 
@@ -125,7 +125,9 @@ def chosen(sets: DataFrame, rows: DataFrame) -> DataFrame:
     :func:`sets_of` wrote it.
 
     The few rows that are asked for go to the shared folder, in parts by stretches of what one
-    task wrote; tasks that read the sets look up their parts there, so sets are not moved.
+    task wrote. Tasks look up their parts there by the numbers of all rows, and then read, in their
+    files, the sets that are asked for, a few at a time: sets are not moved, and no others are read
+    but those that share a page with them.
     """
     spark = sets.sparkSession
     parts = PARTS_PER_SHUFFLE * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -141,7 +143,7 @@ def chosen(sets: DataFrame, rows: DataFrame) -> DataFrame:
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         system, base = folder_of(path)
-        at, wanted = -1, np.zeros(0, np.int64)
+        at, wanted, reader = -1, np.zeros(0, np.int64), None
         for batch in batches:
             row = batch["row"].to_numpy()
             part, keep = _part(row, parts), np.zeros(len(row), bool)
@@ -151,9 +153,48 @@ def chosen(sets: DataFrame, rows: DataFrame) -> DataFrame:
                     at, wanted = int(part[a]), _rows_of(system, f"{base}/part={part[a]}")
                 keep[a:b] = np.isin(row[a:b], wanted)
             kept = batch.filter(pa.array(keep))
-            yield {"row": kept["row"], "shingles": kept["shingles"]}
-
-    return by_task(sets.select("row", "shingles"), "row long, shingles array<long>", convert)
+            row, place = kept["row"].to_numpy(), kept["place"].to_numpy()
+            # A task may read a file in pieces, in any order.
+            file = kept["file"].dictionary_encode()
+            new = (np.diff(file.indices.to_numpy()) != 0) | (np.diff(place) <= 0)
+            edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(row)] if len(row) else []
+            for a, b in zip(edges, edges[1:]):
+                name = file[a].as_py()
+                if reader is None or name != reader.name or place[a] < reader.first:
+                    reader = _SetReader(name)
+                for found in reader.of(place[a:b]):
+                    yield {"row": row[a : a + len(found)], "shingles": found}
+                    a += len(found)
+
+    places = sets.select("row", "_metadata.file_path", F.col("_metadata.row_index").cast("long"))
+    return by_task(places.toDF("row", "file", "place"), "row long, shingles array<long>", convert)
+
+
+class _SetReader:
+    """The sets of a file by their places, which are asked for in order."""
+
+    def __init__(self, name: str):
+        self.name, self.first = name, 0
+        system, path = folder_of(name)
+        self.file = pq.ParquetFile(system.open_input_file(path), buffer_size=BUFFER)
+        rows = [self.file.metadata.row_group(g).num_rows for g in range(self.file.num_row_groups)]
+        self.ends, self.group = np.cumsum(rows), -1
+
+    def of(self, places: np.ndarray) -> Iterator[pa.Array]:
+        """Some at a time. ``first`` is the first place that may be asked for next."""
+        while len(places):
+            group = int(np.searchsorted(self.ends, places[0], "right"))
+            if group != self.group:
+                self.group, self.first = group, int(self.ends[group - 1]) if group else 0
+                self.batches = self.file.iter_batches(ROWS, row_groups=[group], columns=["shingles"])
+                self.held = next(self.batches)["shingles"]
+            n = int(np.searchsorted(places, self.first + len(self.held)))
+            if n:
+                yield self.held.take(pa.array(places[:n] - self.first))
+                places = places[n:]
+            else:
+                self.first += len(self.held)
+                self.held = next(self.batches)["shingles"]
 
 
 def _part(numbers: np.ndarray, parts: int) -> np.ndarray:

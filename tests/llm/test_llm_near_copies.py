@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from corpus_cases import clean, lower, multiset, prose, rows, table
 
@@ -113,6 +115,38 @@ def test_no_link_of_a_bucket_is_lost(spark, seed):
     assert len({groups.get(r, r) for r in numbers}) == len(set(label))
 
 
+def test_chosen_sets_are_read_in_small_batches(spark, monkeypatch):
+    """Only numbers and places of rows go to the tasks' Python, whichever the sets that are asked for."""
+    made = [(i, f"w{i} " * (i % 5) + f"v{i % 97} u{i} t{i % 7}", "en", "s", 1) for i in range(5000)]
+    sets = near_copies.written(near_copies.sets_of(table(spark, made).coalesce(2)), "sets")
+    every = {r["row"]: r["shingles"] for r in sets.collect()}
+    seen, by_task = [], near_copies.by_task
+
+    def noted(df, schema, convert):
+        seen.append((df.columns, schema))
+        return by_task(df, schema, convert)
+
+    monkeypatch.setattr(near_copies, "by_task", noted)
+    numbers = sorted(every)
+    for some in ([], numbers[:1], numbers[::7], numbers[1000:1100], numbers):
+        rows = spark.createDataFrame([(n,) for n in some], "row long")
+        found = near_copies.chosen(sets, rows).collect()
+        assert {r["row"]: r["shingles"] for r in found} == {n: every[n] for n in some}
+        assert len(found) == len(some)
+    assert all("shingles" not in columns for columns, _ in seen)
+
+
+def test_sets_of_a_file_are_read_by_their_places(tmp_path):
+    sets = [list(range(i, i + i % 4)) for i in range(5000)]
+    path = f"{tmp_path}/sets.parquet"
+    pq.write_table(pa.table({"shingles": pa.array(sets, pa.list_(pa.int64()))}), path, row_group_size=1300)
+    for asked in ([0], [4999], [1299, 1300], range(5000), range(3, 5000, 1024), range(1023, 1400), [7, 3900, 3999]):
+        reader, asked, found = near_copies._SetReader(f"file://{path}"), list(asked), []
+        for a in range(0, len(asked), 600):
+            found += [x for some in reader.of(np.array(asked[a : a + 600])) for x in some.to_pylist()]
+        assert found == [sets[i] for i in asked]
+
+
 def test_rows_come_back_from_their_numbers():
     rows = np.array([0, 1, 5 * near_copies.TASK + 7, near_copies.TASK * 900_000])
     assert (near_copies.gathered(near_copies.spread(rows)) == rows).all()
