@@ -121,12 +121,14 @@ def compared_with_next(docs: DataFrame) -> DataFrame:
     their places in the input. A task compares neighbours as it reads them in order;
     the first and last row of each task meet those of its neighbours afterwards.
     """
+    # Said outright, as few bytes may be much work: of ranges without a number small ones become one.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("text_hash").desc(), F.col("place")]
     ordered = (
         pick(docs, "doc_id", "text")
         .select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
         .withColumns({"text_hash": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
-        .repartitionByRange(*order)
+        .repartitionByRange(tasks, *order)
         .sortWithinPartitions(*order)
     )
     names = [*(c.split()[0] for c in _COMPARED.split(", ")), "kind", "part", "text"]
