@@ -7,17 +7,23 @@ not empty does just that. Values go into bands; documents that agree on a whole
 
 In a bucket all meet one hub, a star of as many candidate edges as it has members, and the full
 sets confirm or refuse each edge. The hub is the member that shares the most buckets with others: of
-copies that were each changed a little that is the one they were made of. Where a bucket's members
-still lie in several components, more of them become hubs, four times as many each round, and meet
+copies that were each changed a little that is the one they were made of. Where a bucket's other members
+still lie in several components, more of them become hubs, many times as many each round, and meet
 those of other components, until all members that never were hubs lie in one: then no pair that
-shares a bucket is left that could join two components. Before each such round those go that can be
-similar to no set of another component: too few of their shingles are in any. So documents that only
-share a passage are told apart by counts of shingles, not in pairs.
+shares a bucket is left that could join two components. Before rounds of very many hubs those go that
+can be similar to no set of another component: too few of their shingles are in any. So documents that
+only share a passage are told apart by counts of shingles, not in pairs.
+
+A pair becomes an edge only if the parities of its sets allow: of each set it is known for every range
+of hashes whether it has an odd number there. In a range where two sets differ in that, at least one
+shingle is in just one of them, so too many such ranges refuse a pair, and never one that is similar.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +31,7 @@ import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointloom.llm.common import by_task, folder_of, pick, scratch_dir, shingle_hashes, utf8, written
@@ -35,8 +41,11 @@ SHINGLE, PERCENT, SEED = 2, 80, 42
 # A pair of similarity 0.8 shares no bucket once in 300,000 times.
 BANDS, VALUES = 32, 5
 BINS = BANDS * VALUES
-# Hubs are four times as many each round; edges of a hub that one task confirms.
-MORE_HUBS, EDGES = 4, 1 << 12
+# Hubs are so many times as many each round; from how many on shingles are counted before it; edges of
+# a hub that one task confirms.
+MORE_HUBS, MANY_HUBS, EDGES = 16, 1 << 12, 1 << 12
+# Longs with the parities of a set, 64 each. Beyond 144 shingles a long they refuse no pair.
+PARITIES = 16
 # Documents whose sets a task makes, and reads, together; bytes of a file that it reads at once.
 ROWS, BUFFER = 1 << 10, 1 << 20
 # Rows of a task whose choice is in one part, and parts for each shuffle partition.
@@ -120,9 +129,18 @@ def sets_of(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return by_task(texts, _SETS, convert)
 
 
-def chosen(sets: DataFrame, rows: DataFrame) -> DataFrame:
-    """``row`` and ``shingles`` of the sets whose ``row`` is among the rows. ``sets`` is a table as
-    :func:`sets_of` wrote it.
+def parities(sets: pa.ListArray) -> np.ndarray:
+    """For every set the parities of how many hashes it has in each class of equal low bits, as longs."""
+    bits = 64 * PARITIES
+    low = sets.flatten().to_numpy() & (bits - 1)
+    place = np.repeat(np.arange(len(sets)) * bits, sets.value_lengths().to_numpy()) + low
+    odd = np.bincount(place, minlength=len(sets) * bits).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).reshape(-1, PARITIES)
+
+
+def chosen(sets: DataFrame, rows: DataFrame, only_parities: bool = False) -> DataFrame:
+    """``row`` and ``shingles`` of the sets whose ``row`` is among the rows, or ``row`` and their
+    ``parities`` only. ``sets`` is a table as :func:`sets_of` wrote it.
 
     The few rows that are asked for go to the shared folder, in parts by stretches of what one
     task wrote. Tasks look up their parts there by the numbers of all rows, and then read, in their
@@ -132,6 +150,7 @@ def chosen(sets: DataFrame, rows: DataFrame) -> DataFrame:
     spark = sets.sparkSession
     parts = PARTS_PER_SHUFFLE * int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_dir(spark, "chosen")
+    column = "parities" if only_parities else "shingles"
 
     def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         for batch in batches:
@@ -163,11 +182,12 @@ def chosen(sets: DataFrame, rows: DataFrame) -> DataFrame:
                 if reader is None or name != reader.name or place[a] < reader.first:
                     reader = _SetReader(name)
                 for found in reader.of(place[a:b]):
-                    yield {"row": row[a : a + len(found)], "shingles": found}
+                    made = [*parities(found)] if only_parities else found
+                    yield {"row": row[a : a + len(found)], column: made}
                     a += len(found)
 
     places = sets.select("row", "_metadata.file_path", F.col("_metadata.row_index").cast("long"))
-    return by_task(places.toDF("row", "file", "place"), "row long, shingles array<long>", convert)
+    return by_task(places.toDF("row", "file", "place"), f"row long, {column} array<long>", convert)
 
 
 class _SetReader:
@@ -218,6 +238,13 @@ def _alike_in_size(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _parities_allow(percent: int) -> Column:
+    """A pair's parities do not refuse it: ``both`` of sizes n and m have (n + m - d) / 2 in common, d in
+    just one of them, and parities differ at most d times."""
+    apart = [F.bit_count(F.col("parities")[i].bitwiseXOR(F.col("hub_parities")[i])) for i in range(PARITIES)]
+    return (100 + percent) * reduce(add, apart) <= (100 - percent) * (F.col("n") + F.col("hub_n"))
+
+
 def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the edges (``a``, ``b``, ``slots``) whose full sets are similar enough.
 
@@ -225,14 +252,13 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     tasks, which share its edges.
     """
     dealt = edges.withColumn("slot", F.pmod(F.xxhash64("b"), "slots"))
-    ends = edges.select(F.col("a").alias("row")).union(edges.select(F.col("b").alias("row"))).distinct()
-    some = written(chosen(sets, ends), "chosen-sets")
     hubs = edges.groupBy("a").agg(F.max("slots").alias("slots"))
-    hubs = some.join(hubs, some["row"] == hubs["a"]).select(
+    ones = chosen(sets, hubs.select(F.col("a").alias("row")))
+    hubs = ones.join(hubs, ones["row"] == hubs["a"]).select(
         "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"),
         F.col("shingles").alias("one"),
     )
-    other = some.select(F.col("row").alias("b"), F.col("shingles").alias("other"))
+    other = chosen(sets, edges.select(F.col("b").alias("row")).distinct()).toDF("b", "other")
     both = F.size(F.array_intersect("one", "other")).cast("long")
     pairs = dealt.join(hubs, ["a", "slot"]).join(other, "b")
     sized = pairs.select("a", "b", both.alias("both"), (F.size("one") + F.size("other")).alias("sum"))
@@ -241,7 +267,7 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _edges(pairs: DataFrame, percent: int) -> DataFrame:
     """Distinct edges of pairs of a hub and a member of its bucket, a row each at most."""
-    fits = pairs.filter(_alike_in_size("n", "hub_n", percent))
+    fits = pairs.filter(_alike_in_size("n", "hub_n", percent) & _parities_allow(percent))
     slots = F.max(F.ceil(F.col("size") / EDGES)).cast("long").alias("slots")
     return fits.groupBy(F.col("hub").alias("a"), F.col("rep").alias("b")).agg(slots)
 
@@ -270,12 +296,14 @@ def linked(distinct: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tupl
     # Members in the order in which they become hubs: those who meet most others first.
     met = crowded.groupBy("rep").agg((-F.sum("size")).alias("rank"))
     crowded = written(crowded.join(met, "rep"), "buckets")
+    bits = chosen(sets, crowded.select(F.col("rep").alias("row")).distinct(), only_parities=True)
+    bits = written(bits.withColumnRenamed("row", "rep"), "parities")
     found = tried = spark.createDataFrame([], "a long, b long")
     roots, n_hubs = spark.createDataFrame([], "rep long, root long"), 1
+    placed = crowded.withColumn("root", F.col("rep"))
     lowest = Window.partitionBy("key").orderBy("rank", "rep")
     turn = F.struct("rank", "rep")
     while True:
-        placed = crowded.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
         # Each task sends no more members of a bucket than are to be hubs.
         hubs = placed.withColumn("at", F.row_number().over(lowest)).filter(F.col("at") <= n_hubs)
         hubs = written(
@@ -285,7 +313,9 @@ def linked(distinct: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tupl
             ),
             "hubs",
         )
-        pairs = placed.join(hubs, "key").filter((F.col("root") != F.col("hub_root")) & (turn > F.col("hub_turn")))
+        ones = hubs.join(bits.toDF("hub", "hub_parities"), "hub")
+        pairs = placed.join(bits, "rep").join(ones, "key")
+        pairs = pairs.filter((F.col("root") != F.col("hub_root")) & (turn > F.col("hub_turn")))
         new = written(_edges(pairs, percent).join(tried, ["a", "b"], "left_anti"), "edges")
         more = written(confirmed(new, sets, percent), "links")
         found, tried = found.union(more), tried.union(new.select("a", "b"))
@@ -293,24 +323,27 @@ def linked(distinct: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tupl
             # What is connected already is a star of its root.
             stars = roots.filter("rep != root").toDF("a", "b")
             roots = written(connected(stars.union(more)).toDF("rep", "root"), "roots")
-        placed = crowded.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        placed = written(placed, "placed")
-        open_ = _open(placed, hubs)
-        some = placed.join(open_, "key").select("rep", "n", "root").distinct()
-        alive = written(_may_link(written(some, "open-members"), sets, percent), "may-link")
-        crowded = placed.join(alive, "rep")
-        crowded = written(crowded.join(_open(crowded, hubs), "key").drop("root"), "open-buckets")
-        if crowded.isEmpty():
-            return found, roots
+        # Hubs have met all of their bucket.
+        cut = hubs.groupBy("key").agg(F.max("hub_turn").alias("cut"))
+        left = crowded.join(cut, "key").filter(turn > F.col("cut")).drop("cut")
+        left = left.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        placed = _open(written(left, "left"))
         n_hubs *= MORE_HUBS
+        if n_hubs >= MANY_HUBS:
+            placed = written(placed, "open-members")
+            some = placed.select("rep", "n", "root").distinct()
+            alive = written(_may_link(some, sets, percent), "may-link")
+            placed = _open(written(placed.join(alive, "rep"), "left"))
+        placed = written(placed, "open-buckets")
+        if placed.isEmpty():
+            return found, roots
+        crowded = placed.drop("root")
 
 
-def _open(placed: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Keys of buckets whose members after the hubs lie in several components."""
-    cut = hubs.groupBy("key").agg(F.max("hub_turn").alias("cut"))
-    left = placed.join(cut, "key").filter(F.struct("rank", "rep") > F.col("cut"))
+def _open(left: DataFrame) -> DataFrame:
+    """Members of buckets whose members lie in several components."""
     ends = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return ends.filter("low < high").select("key")
+    return left.join(ends.filter("low < high").select("key"), "key")
 
 
 def near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -115,6 +115,49 @@ def test_no_link_of_a_bucket_is_lost(spark, seed):
     assert len({groups.get(r, r) for r in numbers}) == len(set(label))
 
 
+@pytest.mark.parametrize("first", [1, 16])
+def test_no_link_is_lost_when_shingles_are_counted_early(spark, monkeypatch, first):
+    monkeypatch.setattr(near_copies, "MANY_HUBS", first)
+    monkeypatch.setattr(near_copies, "MORE_HUBS", 2)
+    test_no_link_of_a_bucket_is_lost(spark, 4)
+
+
+def test_unlike_mixes_of_passages_are_not_compared_in_pairs(spark, monkeypatch):
+    """Documents all of whose words are in others, half of them in all, with similarities below 0.8."""
+    rng = random.Random(11)
+    half = prose(rng, 120)
+    passages = [prose(rng, 40) for _ in range(12)]
+    texts = [" ".join([half, *rng.sample(passages, 3)]) for _ in range(120)]
+    made = [(i, t, "en", "s", 1) for i, t in enumerate([*texts, texts[0] + " more"])]
+    edges, confirmed = [], near_copies.confirmed
+
+    def counted(some, sets, percent):
+        edges.append(some.count())
+        return confirmed(some, sets, percent)
+
+    monkeypatch.setattr(near_copies, "confirmed", counted)
+    found = near_copies.near_copies(table(spark, made)).collect()
+    assert multiset(map(tuple, found)) == multiset(plain(made))
+    assert 0 < sum(edges) < 2 * len(made)
+
+
+def test_parities_refuse_no_similar_pair():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 40, 300, 3000):
+        pool = rng.integers(-(1 << 63), 1 << 63, 3 * n, np.int64)
+        sets = [np.unique(pool[at : at + n]) for at in range(0, 2 * n, max(1, n // 12))]
+        bits = near_copies.parities(pa.array(sets, pa.list_(pa.int64())))
+        assert bits.shape == (len(sets), near_copies.PARITIES)
+        refused = 0
+        for a, x in zip(sets, bits):
+            for b, y in zip(sets, bits):
+                apart = len(np.setxor1d(a, b))
+                differ = int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+                assert differ <= apart and (apart - differ) % 2 == 0
+                refused += 9 * differ > len(a) + len(b)
+        assert refused > len(sets) or n in (1, 3000)
+
+
 def test_chosen_sets_are_read_in_small_batches(spark, monkeypatch):
     """Only numbers and places of rows go to the tasks' Python, whichever the sets that are asked for."""
     made = [(i, f"w{i} " * (i % 5) + f"v{i % 97} u{i} t{i % 7}", "en", "s", 1) for i in range(5000)]
