@@ -139,8 +139,8 @@ def parities(sets: pa.ListArray) -> np.ndarray:
 
 
 def chosen(sets: DataFrame, rows: DataFrame, only_parities: bool = False) -> DataFrame:
-    """``row`` and ``shingles`` of the sets whose ``row`` is among the rows, or ``row`` and their
-    ``parities`` only. ``sets`` is a table as :func:`sets_of` wrote it.
+    """``shingles`` (or ``parities`` only) of the sets whose ``row`` is among the rows, once for each of
+    these, with its columns, all of them longs. ``sets`` is a table as :func:`sets_of` wrote it.
 
     The few rows that are asked for go to the shared folder, in parts by stretches of what one
     task wrote. Tasks look up their parts there by the numbers of all rows, and then read, in their
@@ -150,44 +150,59 @@ def chosen(sets: DataFrame, rows: DataFrame, only_parities: bool = False) -> Dat
     spark = sets.sparkSession
     parts = PARTS_PER_SHUFFLE * int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_dir(spark, "chosen")
-    column = "parities" if only_parities else "shingles"
+    column, asked = "parities" if only_parities else "shingles", rows.columns
+    longs = ", ".join(f"{c} long" for c in asked)
 
     def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         for batch in batches:
-            row = batch["row"].to_numpy()
-            yield {"row": row, "part": _part(row, parts)}
+            part = _part(batch["row"].to_numpy(), parts)
+            yield {"part": part, **{c: batch[c] for c in asked}}
 
-    dealt = by_task(rows, "row long, part int", stretch).repartition("part")
+    dealt = by_task(rows, f"{longs}, part int", stretch).repartition("part")
     dealt.sortWithinPartitions("part").write.partitionBy("part").parquet(path)
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, object]]:
         system, base = folder_of(path)
-        at, wanted, reader = -1, np.zeros(0, np.int64), None
+        at, wanted, reader = -1, {}, None
         for batch in batches:
             row = batch["row"].to_numpy()
-            part, keep = _part(row, parts), np.zeros(len(row), bool)
+            part = _part(row, parts)
+            times, first, held, n = np.zeros_like(row), np.zeros_like(row), [], 0
             edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
             for a, b in zip(edges.tolist(), edges[1:].tolist()):
                 if part[a] != at:
-                    at, wanted = int(part[a]), _rows_of(system, f"{base}/part={part[a]}")
-                keep[a:b] = np.isin(row[a:b], wanted)
+                    at, wanted = int(part[a]), _rows_of(system, f"{base}/part={part[a]}", asked)
+                low = np.searchsorted(wanted["row"], row[a:b])
+                times[a:b] = np.searchsorted(wanted["row"], row[a:b], "right") - low
+                first[a:b] = n + low
+                held.append(wanted)
+                n += len(wanted["row"])
+            keep = times > 0
+            times, first = times[keep], first[keep]
+            here = {c: np.concatenate([h[c] for h in held]) for c in asked if held}
             kept = batch.filter(pa.array(keep))
-            row, place = kept["row"].to_numpy(), kept["place"].to_numpy()
+            place = kept["place"].to_numpy()
             # A task may read a file in pieces, in any order.
             file = kept["file"].dictionary_encode()
             new = (np.diff(file.indices.to_numpy()) != 0) | (np.diff(place) <= 0)
-            edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(row)] if len(row) else []
+            edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(place)] if len(place) else []
             for a, b in zip(edges, edges[1:]):
                 name = file[a].as_py()
                 if reader is None or name != reader.name or place[a] < reader.first:
                     reader = _SetReader(name)
                 for found in reader.of(place[a:b]):
-                    made = [*parities(found)] if only_parities else found
-                    yield {"row": row[a : a + len(found)], column: made}
+                    made = pa.array([*parities(found)], pa.list_(pa.int64())) if only_parities else found
+                    own, start = times[a : a + len(found)], first[a : a + len(found)]
                     a += len(found)
+                    which = np.repeat(np.arange(len(found)), own)
+                    index = np.arange(len(which)) + np.repeat(start - (np.cumsum(own) - own), own)
+                    for some in range(0, len(which), ROWS):
+                        said = index[some : some + ROWS]
+                        values = made.take(pa.array(which[some : some + ROWS]))
+                        yield {column: values, **{c: here[c][said] for c in asked}}
 
     places = sets.select("row", "_metadata.file_path", F.col("_metadata.row_index").cast("long"))
-    return by_task(places.toDF("row", "file", "place"), f"row long, {column} array<long>", convert)
+    return by_task(places.toDF("row", "file", "place"), f"{longs}, {column} array<long>", convert)
 
 
 class _SetReader:
@@ -224,13 +239,18 @@ def _part(numbers: np.ndarray, parts: int) -> np.ndarray:
     return (mixed % np.uint64(parts)).astype(np.int64)
 
 
-def _rows_of(system: fs.FileSystem, folder: str) -> np.ndarray:
-    found = [np.zeros(0, np.int64)]
+def _rows_of(system: fs.FileSystem, folder: str, columns: list[str]) -> dict[str, np.ndarray]:
+    """The rows of a part, none if nobody wrote it, by ``row``."""
+    found = {c: [np.zeros(0, np.int64)] for c in columns}
     for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
         if info.path.endswith(".parquet"):
             with system.open_input_file(info.path) as opened:
-                found.append(pq.ParquetFile(opened).read(["row"])["row"].to_numpy())
-    return np.concatenate(found)
+                table = pq.ParquetFile(opened).read(columns)
+                for c in columns:
+                    found[c].append(table[c].to_numpy())
+    rows = {c: np.concatenate(x) for c, x in found.items()}
+    order = np.argsort(rows["row"], kind="stable")
+    return {c: x[order] for c, x in rows.items()}
 
 
 def _alike_in_size(a: str, b: str, percent: int):
@@ -248,28 +268,42 @@ def _parities_allow(percent: int) -> Column:
 def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the edges (``a``, ``b``, ``slots``) whose full sets are similar enough.
 
-    Only sets with an edge are moved. The set of a hub with very many edges goes to ``slots``
-    tasks, which share its edges.
+    Only sets with an edge are moved: that of ``b`` once for each of its edges, as it is read, to where it
+    meets that of ``a``. The set of a hub with very many edges goes to ``slots`` tasks, which
+    share its edges.
     """
-    dealt = edges.withColumn("slot", F.pmod(F.xxhash64("b"), "slots"))
+    slot = F.pmod(F.xxhash64("b"), "slots").alias("slot")
+    others = chosen(sets, edges.select(F.col("b").alias("row"), "a", slot))
     hubs = edges.groupBy("a").agg(F.max("slots").alias("slots"))
-    ones = chosen(sets, hubs.select(F.col("a").alias("row")))
-    hubs = ones.join(hubs, ones["row"] == hubs["a"]).select(
-        "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"),
+    ones = chosen(sets, hubs.select(F.col("a").alias("row"), "slots"))
+    ones = ones.select(
+        F.col("row").alias("a"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"),
         F.col("shingles").alias("one"),
     )
-    other = chosen(sets, edges.select(F.col("b").alias("row")).distinct()).toDF("b", "other")
+    pairs = others.withColumnsRenamed({"row": "b", "shingles": "other"}).join(ones, ["a", "slot"])
     both = F.size(F.array_intersect("one", "other")).cast("long")
-    pairs = dealt.join(hubs, ["a", "slot"]).join(other, "b")
     sized = pairs.select("a", "b", both.alias("both"), (F.size("one") + F.size("other")).alias("sum"))
     return sized.filter(100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("a", "b")
 
 
-def _edges(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct edges of pairs of a hub and a member of its bucket, a row each at most."""
-    fits = pairs.filter(_alike_in_size("n", "hub_n", percent) & _parities_allow(percent))
+def _edges(members: DataFrame, hubs: DataFrame, bits: DataFrame, percent: int, first: bool) -> DataFrame:
+    """Distinct edges of hubs and members of their buckets, a row each at most, without those that
+    sizes or parities refuse. The first hubs have no more pairs than there are members, and
+    most of these in many buckets, so that parities are asked for distinct pairs; later they
+    refuse pairs in the join that makes them."""
+    hub_bits = bits.toDF("hub", "hub_parities")
+    if not first:
+        members, hubs = members.join(bits, "rep"), hubs.join(hub_bits, "hub")
+    others = (F.col("root") != F.col("hub_root")) & (F.struct("rank", "rep") > F.col("hub_turn"))
+    fits = members.join(hubs, "key").filter(others & _alike_in_size("n", "hub_n", percent))
+    if not first:
+        fits = fits.filter(_parities_allow(percent))
     slots = F.max(F.ceil(F.col("size") / EDGES)).cast("long").alias("slots")
-    return fits.groupBy(F.col("hub").alias("a"), F.col("rep").alias("b")).agg(slots)
+    edges = fits.groupBy("hub", "rep", "n", "hub_n").agg(slots)
+    if first:
+        edges = edges.join(bits, "rep").join(hub_bits, "hub").filter(_parities_allow(percent))
+    return edges.select(F.col("hub").alias("a"), F.col("rep").alias("b"), "slots")
 
 
 def _may_link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -285,16 +319,25 @@ def _may_link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counts.filter(100 * F.col("common") >= percent * F.col("n")).select("rep")
 
 
+def _crowded(distinct: DataFrame) -> DataFrame:
+    """``key``, ``rep`` and ``size`` of the buckets with several sets (``rep``, ``keys``). Most buckets
+    have one only; all members are moved once, to be counted and to meet their count."""
+    every = distinct.select("rep", F.explode("keys").alias("key")).repartition("key")
+    # Counts that read all columns share the exchange of the members.
+    ends = [F.min("rep").alias("low"), F.max("rep").alias("high")]
+    sizes = every.groupBy("key").agg(F.count(F.lit(1)).alias("size"), *ends).filter("low < high")
+    return every.join(sizes.select("key", "size"), "key")
+
+
 def linked(distinct: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Confirmed links (``a``, ``b``) between sets (``rep``, ``n``, ``keys``), enough to connect all that
     share a bucket and are similar enough, directly or over others; and their components
     (``rep``, ``root``), of sets with a link."""
     spark = distinct.sparkSession
-    every = distinct.select("rep", "n", F.explode("keys").alias("key"))
-    sizes = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    crowded = written(every.join(sizes, "key"), "buckets")
+    crowded = written(_crowded(distinct), "buckets")
     # Members in the order in which they become hubs: those who meet most others first.
     met = crowded.groupBy("rep").agg((-F.sum("size")).alias("rank"))
+    met = met.join(distinct.select("rep", "n"), "rep")
     crowded = written(crowded.join(met, "rep"), "buckets")
     bits = chosen(sets, crowded.select(F.col("rep").alias("row")).distinct(), only_parities=True)
     bits = written(bits.withColumnRenamed("row", "rep"), "parities")
@@ -313,10 +356,8 @@ def linked(distinct: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tupl
             ),
             "hubs",
         )
-        ones = hubs.join(bits.toDF("hub", "hub_parities"), "hub")
-        pairs = placed.join(bits, "rep").join(ones, "key")
-        pairs = pairs.filter((F.col("root") != F.col("hub_root")) & (turn > F.col("hub_turn")))
-        new = written(_edges(pairs, percent).join(tried, ["a", "b"], "left_anti"), "edges")
+        edges = _edges(placed, hubs, bits, percent, n_hubs == 1)
+        new = written(edges.join(tried, ["a", "b"], "left_anti"), "edges")
         more = written(confirmed(new, sets, percent), "links")
         found, tried = found.union(more), tried.union(new.select("a", "b"))
         if not more.isEmpty():

@@ -220,3 +220,50 @@ def test_bands_meet_as_often_as_similar_sets_do():
         met.append(same.mean())
     assert abs(np.mean(met) - (90 / 110) ** near_copies.VALUES) < 0.05
     assert min(met) > 0
+
+
+def test_members_of_buckets_are_moved_once(spark):
+    """Counts and members of all buckets, most of which have one member, share an exchange."""
+    made = [(i, 5, [i // 3, 1000 + i, 2000 + i % 2]) for i in range(300)] + [(300, 1, [9999])]
+    distinct = near_copies.written(spark.createDataFrame(made, "rep long, n long, keys array<long>"), "x")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        crowded = near_copies._crowded(distinct).select("key", "rep", "size")
+        found = crowded.collect()
+        plan = crowded._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wanted = [(i // 3, i, 3) for i in range(300)] + [(2000 + i % 2, i, 150) for i in range(300)]
+    assert multiset(map(tuple, found)) == multiset(wanted)
+    assert plan.count("Generate explode") == 1 and plan.count("ReusedExchange") == 1
+
+
+def test_sets_come_once_for_each_of_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "ROWS", 64)
+    made = [(i, f"w{i} " * (i % 5) + f"v{i % 97} u{i}", "en", "s", 1) for i in range(1500)]
+    sets = near_copies.written(near_copies.sets_of(table(spark, made).coalesce(2)), "sets")
+    every = {r["row"]: r["shingles"] for r in sets.collect()}
+    numbers = sorted(every)
+    asked = [(n, at, k) for at, n in enumerate(numbers[::9]) for k in range(at % 4)]
+    asked += [(numbers[5], -1, k) for k in range(700)]
+    rows = spark.createDataFrame(asked, "row long, a long, slot long").repartition(3)
+    found = near_copies.chosen(sets, rows).collect()
+    assert multiset((r["row"], r["a"], r["slot"]) for r in found) == multiset(asked)
+    assert all(r["shingles"] == every[r["row"]] for r in found)
+
+
+def test_parities_refuse_the_same_pairs_of_first_hubs_and_of_later_ones(spark):
+    rng = np.random.default_rng(4)
+    pool = rng.integers(-(1 << 63), 1 << 63, 200, np.int64)
+    sets = [np.sort(rng.choice(pool[: 52 + 3 * (i % 9)], 50 + 3 * (i % 9), False)) for i in range(90)]
+    bits = near_copies.parities(pa.array(sets, pa.list_(pa.int64()))).tolist()
+    bits = spark.createDataFrame(list(enumerate(bits)), "rep long, parities array<long>")
+    made = [(k, i, len(x), -5, 90, i) for i, x in enumerate(sets) for k in range(i % 9, 9, 2)]
+    schema = "key long, rep long, n long, rank long, size long, root long"
+    members = spark.createDataFrame(made, schema)
+    hubs = members.filter("rep = key").selectExpr(
+        "key", "rep AS hub", "n AS hub_n", "root AS hub_root", "struct(rank, rep) AS hub_turn"
+    )
+    edges = [near_copies._edges(members, hubs, bits, 80, first).collect() for first in (True, False)]
+    assert multiset(map(tuple, edges[0])) == multiset(map(tuple, edges[1]))
+    assert 0 < len(edges[0]) < 9 * 81
